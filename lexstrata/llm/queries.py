@@ -22,6 +22,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.suffixes import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexstrata.llm import token_files as t
 
@@ -29,6 +35,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.token_rows(files)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.substrings import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
@@ -92,9 +104,41 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_token_files, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting)}
+
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 ORACLES = {
+    "op2_suffix_dedup": """
+        WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        places AS (SELECT doc_id, b, unnest(range(1, greatest(octet_length(b) - 98, 1))) AS p FROM docs),
+        strings AS (SELECT doc_id, p, md5(array_slice(b, p, p + 99)) AS g FROM places),
+        ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM strings),
+        late AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM ranked WHERE k > 1),
+        runs AS (SELECT doc_id, min(p) AS a, max(p) + 99 AS z FROM late GROUP BY doc_id, run),
+        marked AS (SELECT *, CASE WHEN a <= max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM runs),
+        grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS span FROM marked),
+        spans AS (SELECT doc_id, span, min(a) AS a, max(z) AS z FROM grouped GROUP BY doc_id, span),
+        gaps AS (SELECT doc_id, coalesce(lag(z) OVER w, 0) + 1 AS a, s.a - 1 AS z, s.a AS at FROM spans AS s WINDOW w AS (PARTITION BY doc_id ORDER BY s.a)
+            UNION ALL SELECT doc_id, max(z) + 1, NULL, NULL FROM spans GROUP BY doc_id),
+        kept AS (SELECT doc_id, string_agg(hex(array_slice(b, gaps.a, coalesce(gaps.z, octet_length(b)))), '' ORDER BY gaps.a) AS h FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+        counts AS (SELECT doc_id, sum(z - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(coalesce(unhex(h), b)) AS kept_sha256 FROM docs LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op6_substring_dedup": f"""
+        WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+        windows AS (SELECT doc_id, p, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) AS g,
+            count(*) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n FROM words),
+        firsts AS (SELECT g, min(doc_id) AS f FROM windows WHERE n = 13 GROUP BY g HAVING min(doc_id) < max(doc_id)),
+        late AS (SELECT doc_id, p FROM windows JOIN firsts USING (g) WHERE n = 13 AND doc_id > f),
+        removed AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM late),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n FROM removed GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM docs LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
     "op10_chat_formatting": """
         WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
         numbered AS (SELECT *, row_number() OVER w AS k FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
