@@ -28,6 +28,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.overlap import similarity_components
+
+    return similarity_components(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexstrata.llm import token_files as t
 
@@ -104,7 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op4_jaccard_join, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting)}
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -126,6 +132,22 @@ ORACLES = {
         SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
             sha256(coalesce(unhex(h), b)) AS kept_sha256 FROM docs LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op4_jaccard_join": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, list_transform({WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p, len(w) AS n FROM docs),
+        windows AS (SELECT doc_id, n, string_agg(word, ' ') OVER v AS g, count(*) OVER v AS k FROM words
+            WINDOW v AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+        shingles AS (SELECT DISTINCT doc_id, md5(g) AS g FROM windows WHERE k = 4
+            UNION ALL SELECT doc_id, md5(array_to_string(w, ' ')) FROM docs WHERE len(w) BETWEEN 1 AND 3),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * same >= 85 * (x.n + y.n - same)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+        least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+    """,
     "op6_substring_dedup": f"""
         WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
         words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
