@@ -116,7 +116,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_decontamination, op4_jaccard_join, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_decontamination, op4_jaccard_join, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting, pipeline)}
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
