@@ -147,13 +147,13 @@ SYNC_DAY = "1997-03-21"
     m AS (SELECT DISTINCT child_id FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM ch WHERE c = child_id AND c_from <= DATE '{SYNC_DAY}' AND (c_to IS NULL OR DATE '{SYNC_DAY}' <= c_to))),
     latest AS (SELECT c, rev_idx FROM ch QUALIFY row_number() OVER (PARTITION BY c ORDER BY c_from DESC, rev_idx) = 1),
     opened AS (SELECT c, min(rev_idx) AS closes FROM ch WHERE c_to IS NULL GROUP BY c)
-    SELECT child_id AS item_id, closes, coalesce(closes, rev_idx) AS copies, '{SYNC_DAY}' AS valid_from, 'change' AS mod_type, modified_by_id
+    SELECT child_id AS item_id, CAST(closes AS VARCHAR) AS closes, coalesce(closes, rev_idx) AS copies, '{SYNC_DAY}' AS valid_from, 'change' AS mod_type, modified_by_id
     FROM m JOIN wanted USING (child_id) JOIN latest ON latest.c = child_id LEFT JOIN opened ON opened.c = child_id""")
 def sync_revision_tree(spark, d):
     parents, children = family(spark, d)
     at = F.lit(SYNC_DAY).cast("date")
     parents = parents.where(F.col("valid_from") <= at).withColumn("valid_from", at)
-    return temporal.synced_children(parents, children, at).select("item_id", "closes", "copies", day("valid_from"), "mod_type", "modified_by_id")
+    return temporal.synced_children(parents, children, at).select("item_id", F.col("closes").cast("string").alias("closes"), "copies", day("valid_from"), "mod_type", "modified_by_id")
 
 
 def items(spark, d) -> DataFrame:
