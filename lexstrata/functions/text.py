@@ -57,7 +57,7 @@ def without_tags(html: Column) -> Column:
 def without_thinking(text: Column) -> Column:
     """Thinking blocks and code fences out."""
     bare = F.regexp_replace(text, "(?is)<think(ing)?>.*?</think(ing)?>", "")
-    return F.trim(F.regexp_replace(bare, "(?im)^```[a-z]*\\s*$", ""))
+    return F.regexp_replace(F.regexp_replace(bare, "(?im)^```[a-z]*\\s*$", ""), "^\\s+|\\s+$", "")
 
 
 def for_search(text: Column) -> Column:
