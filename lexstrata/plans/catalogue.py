@@ -583,3 +583,70 @@ def fragment_parse(spark, d):
     from lexstrata.operators.fragments import parse_fragments
 
     return parse_fragments(table(spark, d, "pages").select(F.col("page_id").alias("key"), F.col("html"), F.lit("article").alias("item_type"), F.lit("1").alias("item_number")))
+
+
+@query("""WITH b AS (SELECT l_orderkey AS item_id, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord FROM lineitem WHERE l_linenumber <> 3),
+    n AS (SELECT DISTINCT l_orderkey AS item_id FROM lineitem WHERE l_linenumber = 3)
+    SELECT 1 AS k, count(*) AS n_blocks, CAST(sum(CASE WHEN l_linenumber < 3 THEN 1 ELSE 0 END) AS BIGINT) AS before FROM b WHERE item_id IN (SELECT item_id FROM n)""")
+def child_ref_insert(spark, d):
+    from pyspark.sql import Window
+
+    from lexstrata.operators.bodies import with_references
+
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("item_id"), F.col("l_linenumber").alias("ref_item_id"), "l_partkey", "l_suppkey", "l_extendedprice")
+    w = Window.partitionBy("item_id").orderBy("ref_item_id", "l_partkey", "l_suppkey", "l_extendedprice")
+    old = rows.where("ref_item_id <> 3").withColumn("ord", F.row_number().over(w)).select("item_id", "ord", "ref_item_id")
+    places = rows.select("ref_item_id", F.col("ref_item_id").alias("place")).distinct()
+    new = with_references(old, rows.where("ref_item_id = 3").select("item_id", "ref_item_id").distinct(), places)
+    added = new.where("ref_item_id = 3").select("item_id", F.col("ord").alias("own"))
+    return new.join(added, "item_id").where("ref_item_id <> 3").agg(F.lit(1).alias("k"), F.count("*").alias("n_blocks"), F.sum((F.col("ord") < F.col("own")).cast("long")).alias("before"))
+
+
+@query("SELECT o_orderkey, unnest(CASE WHEN o_orderkey % 3 = 0 THEN ['p1', 'p2', CAST(o_custkey AS VARCHAR)] ELSE ['p1', CAST(o_custkey AS VARCHAR)] END) AS block, unnest(CASE WHEN o_orderkey % 3 = 0 THEN [1, 2, 3] ELSE [1, 2] END) AS ord FROM orders")
+def body_rewrite(spark, d):
+    from lexstrata.operators.bodies import rewritten
+
+    o = table(spark, d, "orders")
+    old = o.select("o_orderkey", F.lit(4).alias("ord"), F.col("o_custkey").alias("ref_item_id"))
+    texts = highlights.paragraph_rows(o, "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("p1"), F.lit("p2"))).otherwise(F.array(F.lit("p1")))).withColumnRenamed("paragraph", "html_text")
+    return rewritten(old, texts, "o_orderkey").select("o_orderkey", F.coalesce("html_text", "ref_item_id").alias("block"), "ord")
+
+
+POINTS = ("a;", "b;", "c.", "d.")
+
+
+@query("SELECT c_custkey AS parent_item_id, unnest(['1)', '2)', '3)', '4)']) AS item_number, unnest(['a;', 'b;', 'c;', 'd.']) AS new_text FROM customer")
+def punctuation_after_addition(spark, d):
+    from lexstrata.operators.bodies import after_addition
+
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("parent_item_id"), F.posexplode(F.array(*map(F.lit, POINTS))).alias("k", "text"))
+    rows = rows.select("parent_item_id", F.concat(F.col("k") + 1, F.lit(")")).alias("item_number"), "text", (F.col("k") == 3).alias("added"))
+    return after_addition(rows).select("parent_item_id", "item_number", "new_text")
+
+
+@query("SELECT c_custkey AS parent_item_id, unnest(['1)', '2)', '3)']) AS item_number, unnest(['a;', CASE WHEN c_custkey % 2 = 0 THEN 'b.' ELSE 'b;' END, 'c.']) AS new_text FROM customer")
+def punctuation_after_deletion(spark, d):
+    from lexstrata.operators.bodies import after_deletion
+
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("parent_item_id"), F.posexplode(F.array(*map(F.lit, POINTS[:3]))).alias("k", "text"))
+    rows = rows.select("parent_item_id", F.concat(F.col("k") + 1, F.lit(")")).alias("item_number"), "text", ((F.col("k") == 2) & (F.col("parent_item_id") % 2 == 0)).alias("deleted"))
+    return after_deletion(rows).select("parent_item_id", "item_number", "new_text")
+
+
+@query("WITH p AS (SELECT p_partkey, p_brand, p_size, row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) + CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS k FROM part) SELECT p_partkey AS seq, p_brand || '_point_' || p_size || CASE WHEN k > 1 THEN '_' || k ELSE '' END AS item_id FROM p")
+def new_item_ids(spark, d):
+    from lexstrata.operators.bodies import new_ids
+
+    p = table(spark, d, "part")
+    known = p.where("p_size % 2 = 0").select(F.concat_ws("_", "p_brand", F.lit("point"), "p_size").alias("item_id")).distinct()
+    added = p.select(F.col("p_partkey").alias("seq"), F.col("p_brand").alias("parent_item_id"), F.lit("point").alias("item_type"), F.concat("p_size", F.lit(")")).alias("item_number"))
+    return new_ids(added, known).select("seq", "item_id")
+
+
+@query("WITH s AS (SELECT n_nationkey AS c, n_regionkey AS r, n_nationkey * 10 AS top FROM nation), w AS (SELECT DISTINCT c_nationkey % 5 AS r, c_custkey % 260 AS number FROM customer) SELECT w.r AS parent_item_id, number, arg_max(c, top) AS container_id FROM w JOIN s ON s.r = w.r AND top <= number GROUP BY 1, 2")
+def container_choice(spark, d):
+    from lexstrata.operators.bodies import containers
+
+    s = table(spark, d, "nation").select(F.col("n_nationkey").alias("container_id"), F.col("n_regionkey").alias("parent_item_id"), (F.col("n_nationkey") * 10).alias("top"))
+    w = table(spark, d, "customer").select((F.col("c_nationkey") % 5).alias("parent_item_id"), (F.col("c_custkey") % 260).alias("number")).distinct()
+    return containers(s, w)
