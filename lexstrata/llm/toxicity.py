@@ -109,6 +109,8 @@ def matched(text: str, automaton) -> tuple[float, int]:
     hits, spared = [], []
     for end, (n, weight) in automaton.iter(text):
         low, high = end - n + 1, end + 1
+        if not weight and text[high : high + 1] == "s":  # a plural
+            high += 1
         if (low and text[low - 1].isalnum()) or (high < len(text) and text[high].isalnum()):
             continue
         (hits if weight else spared).append((low, high, weight))
@@ -187,7 +189,6 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, most_words:
     known = {r.word: r.odds for r in found.where(F.col("word").isin(list(model.weights))).where("bad >= 3").collect()}
     model.weights |= {r.word: float(r.odds) for r in top} | {w: max(0.0, float(x)) for w, x in known.items()}
     model.weights = {w: x for w, x in model.weights.items() if x > 0}
-    # a third of the weights' scale is kept for entries the labels don't show
     scale = max(model.weights.values())
     model.weights = {w: x / scale for w, x in model.weights.items()}
     seen = rows.select("toxic", rated(model)("text").alias("x")).toPandas()  # most_rows rows of two numbers, but for copies of a doc_id
