@@ -84,3 +84,43 @@ def containers(sections: DataFrame, wanted: DataFrame) -> DataFrame:
     that with the greatest top not above it."""
     joined = wanted.join(sections, "parent_item_id").where(F.col("top") <= F.col("number"))
     return joined.groupBy("parent_item_id", "number").agg(F.max_by("container_id", F.struct("top", "container_id")).alias("container_id"))
+
+
+def rendered_tree(roots: DataFrame, blocks: DataFrame, most_levels: int = 16) -> DataFrame:
+    """root_id, html: the texts of a root's body and, at the place of each reference, those of what it refers to.
+
+    Level by level: a row carries the places that lead to it, and the whole is put together once, in
+    their order. Cycles end at most_levels.
+    """
+    at = roots.select("root_id", F.col("root_id").alias("item_id"), F.expr("cast(array() AS array<int>)").alias("path"))
+    out = None
+    for _ in range(most_levels):
+        rows = at.join(blocks, "item_id").withColumn("path", F.concat("path", F.array(F.col("ord").cast("int"))))
+        texts = rows.where("html_text IS NOT NULL").select("root_id", "path", "html_text")
+        out = texts if out is None else out.unionByName(texts)
+        at = rows.where("ref_item_id IS NOT NULL").select("root_id", F.col("ref_item_id").alias("item_id"), "path")
+    ordered = F.array_sort(F.collect_list(F.struct("path", "html_text")))
+    return out.groupBy("root_id").agg(F.array_join(F.transform(ordered, lambda x: x["html_text"]), "\n").alias("html"))
+
+
+def selected(blocks, spec):
+    """Of an array of blocks those that 'a-b,c' names, counted from 1, in its order; 'all' or blank takes all, places beyond the end none."""
+    from lexstrata.functions.text import listed_numbers
+
+    picked = F.transform(F.filter(listed_numbers(spec), lambda k: (k >= 1) & (k <= F.size(blocks))), lambda k: F.get(blocks, k - 1))
+    return F.when(F.coalesce(F.trim(spec), F.lit("")).isin("", "all"), blocks).otherwise(picked)
+
+
+def reorganised(points: DataFrame, triggers: DataFrame, additions: DataFrame) -> DataFrame:
+    """Points (item_id, parent_item_id, item_number) of triggered articles moved under a new part 1, with further new parts.
+
+    triggers: parent_item_id; additions: parent_item_id, item_number of new parts from 2 on. Returns item_id (new),
+    old_id, parent_item_id, item_type, item_number; articles that aren't triggered are left as they are.
+    """
+    part = F.concat_ws("_", F.col("parent_item_id"), F.lit("part"), F.lit("1"))
+    bare = F.regexp_replace("item_number", "[.)]+$", "")
+    moved = points.join(triggers, "parent_item_id", "left_semi").select(F.concat_ws("_", part, F.lit("point"), bare).alias("item_id"), F.col("item_id").alias("old_id"), part.alias("parent_item_id"), F.lit("point").alias("item_type"), "item_number")
+    none = F.lit(None).cast("string")
+    first = triggers.select(part.alias("item_id"), none.alias("old_id"), "parent_item_id", F.lit("part").alias("item_type"), F.lit("1").alias("item_number"))
+    more = additions.join(triggers, "parent_item_id", "left_semi").select(F.concat_ws("_", "parent_item_id", F.lit("part"), bare).alias("item_id"), none.alias("old_id"), "parent_item_id", F.lit("part").alias("item_type"), bare.alias("item_number"))
+    return moved.unionByName(first).unionByName(more)

@@ -51,3 +51,18 @@ def empty_marks(*lists: Column) -> Column:
     for c in lists:
         total = total + F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
     return total == 0
+
+
+def occurrences(text: Column, part: Column) -> Column:
+    return F.when(F.length(part) > 0, (F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).otherwise(0).cast("int")
+
+
+def declared_replacements(rows: DataFrame, key: str) -> DataFrame:
+    """key, pos, old_text, new_text, position of each declared pair: 'i-k' for the k-th of as many places as both wordings have.
+
+    rows: key, pos, old, new (paragraphs), pairs (array of struct old, new).
+    """
+    each = rows.select(key, "pos", "old", "new", F.explode("pairs").alias("p"))
+    times = F.least(occurrences(F.col("old"), F.col("p.old")), occurrences(F.col("new"), F.col("p.new")))
+    many = each.withColumn("times", times).where("times > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return many.select(key, "pos", F.col("p.old").alias("old_text"), F.col("p.new").alias("new_text"), F.concat_ws("-", "pos", "k").alias("position"))

@@ -650,3 +650,44 @@ def container_choice(spark, d):
     s = table(spark, d, "nation").select(F.col("n_nationkey").alias("container_id"), F.col("n_regionkey").alias("parent_item_id"), (F.col("n_nationkey") * 10).alias("top"))
     w = table(spark, d, "customer").select((F.col("c_nationkey") % 5).alias("parent_item_id"), (F.col("c_custkey") % 260).alias("number")).distinct()
     return containers(s, w)
+
+
+@query("""WITH n AS (SELECT n_regionkey, n_nationkey, n_name || coalesce((SELECT string_agg(chr(10) || c_name, '' ORDER BY c_custkey) FROM customer WHERE c_nationkey = n_nationkey), '') AS t FROM nation)
+    SELECT 'r' || r_regionkey AS root_id, md5(r_name || (SELECT string_agg(chr(10) || t, '' ORDER BY n_nationkey) FROM n WHERE n_regionkey = r_regionkey)) AS h FROM region""")
+def render_tree(spark, d):
+    from lexstrata.operators.bodies import rendered_tree
+
+    none = F.lit(None).cast("string")
+    own = lambda t, i, text_: table(spark, d, t).select(F.concat(F.lit(t[0]), i).alias("item_id"), F.lit(0).alias("ord"), F.col(text_).alias("html_text"), none.alias("ref_item_id"))
+    ref = lambda t, i, up, p: table(spark, d, t).select(F.concat(F.lit(p), up).alias("item_id"), (F.col(i) + 1).cast("int").alias("ord"), none.alias("html_text"), F.concat(F.lit(t[0]), i).alias("ref_item_id"))
+    blocks = own("region", "r_regionkey", "r_name").union(own("nation", "n_nationkey", "n_name")).union(own("customer", "c_custkey", "c_name")).union(ref("nation", "n_nationkey", "n_regionkey", "r")).union(ref("customer", "c_custkey", "c_nationkey", "n"))
+    roots = table(spark, d, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("root_id"))
+    return rendered_tree(roots, blocks, 3).select("root_id", F.md5("html").alias("h"))
+
+
+@query(r"WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS b FROM documents) SELECT doc_id, md5(array_to_string(CASE WHEN doc_id % 3 = 0 THEN b ELSE list_concat(b[1:2], b[4:4]) END, '|')) AS h FROM p")
+def paragraph_select(spark, d):
+    from lexstrata.operators.bodies import selected
+
+    spec = F.when(F.col("doc_id") % 3 == 0, "all").otherwise("1-2,4")
+    return table(spark, d, "documents").select("doc_id", F.md5(F.array_join(selected(F.split("text", "\n"), spec), "|")).alias("h"))
+
+
+@query("""WITH p AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 10 = 0), a AS (SELECT DISTINCT l_orderkey FROM p)
+    SELECT 'a' || l_orderkey || '_part_1_point_' || l_linenumber AS item_id, 'a' || l_orderkey || '_part_1' AS parent_item_id, 'point' AS item_type FROM p
+    UNION ALL SELECT 'a' || l_orderkey || '_part_1', 'a' || l_orderkey, 'part' FROM a UNION ALL SELECT 'a' || l_orderkey || '_part_2', 'a' || l_orderkey, 'part' FROM a""")
+def reorganisation(spark, d):
+    from lexstrata.operators.bodies import reorganised
+
+    rows = table(spark, d, "lineitem").select(F.concat(F.lit("a"), "l_orderkey").alias("parent_item_id"), "l_orderkey", "l_linenumber").distinct()
+    points = rows.select(F.concat_ws("_", "parent_item_id", F.lit("point"), "l_linenumber").alias("item_id"), "parent_item_id", F.concat("l_linenumber", F.lit(")")).alias("item_number"))
+    hit = rows.where("l_orderkey % 10 = 0").select("parent_item_id").distinct()
+    return reorganised(points, hit, hit.withColumn("item_number", F.lit("2."))).select("item_id", "parent_item_id", "item_type")
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 3 + 1 AS a, o_orderkey % 4 AS b FROM orders), k AS (SELECT o_orderkey, unnest(range(1, least(a, b) + 1)) AS k FROM o)
+    SELECT o_orderkey, 'old' AS old_text, 'fresh' AS new_text, '1-' || k AS position FROM k""")
+def declared_replacement(spark, d):
+    pairs = F.array(F.struct(F.lit("old").alias("old"), F.lit("fresh").alias("new")))
+    rows = table(spark, d, "orders").select("o_orderkey", F.lit(1).alias("pos"), F.repeat(F.lit("an old "), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("old"), F.repeat(F.lit("a fresh "), (F.col("o_orderkey") % 4).cast("int")).alias("new"), pairs.alias("pairs"))
+    return highlights.declared_replacements(rows, "o_orderkey").select("o_orderkey", "old_text", "new_text", "position")
