@@ -26,10 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexstrata.llm.kernels import BASES, Prefix, Words, batches, blocks, mix, sliding_min, window_starts
 from lexstrata.llm.shared import only, partitions, stored
-from lexstrata.llm.superwindows import FOUND_DDL, SENT_DDL, flat_lists, keyed, resolver, send, superwindows, with_lists
+from lexstrata.llm.superwindows import FOUND_DDL, NO_ID, SENT_DDL, flat_lists, keyed, resolver, send, superwindows, with_lists
 
 PLACE_BITS = 28
 
@@ -201,12 +202,12 @@ def deduplicated(docs: DataFrame, size: int = 13, text: str = "text") -> DataFra
     Untouched texts stay byte for byte; a cut takes the white space after each removed word.
     """
     fields = docs.schema.fields
-    docs = only(docs, *[f.name for f in fields])
-    ids = keyed(docs.select("doc_id", docs[text].alias("text")))
-    found = repeats(ids, size)
-    rows = keyed_all(docs, text)
-    listed = with_lists(rows, found, "start", "end")
-    at = [f.name for f in fields].index(text)
+    names = [f.name for f in fields]
+    at = names.index(text)
+    found = repeats(keyed(only(docs, "doc_id", text).toDF("doc_id", "text")), size)
+    safe = docs.toDF(*[f"c{k}" for k in range(len(fields))])  # no name clashes with those added
+    keys = F.coalesce(f"c{names.index('doc_id')}", F.lit(NO_ID)).cast("long").alias("doc"), F.hash(F.coalesce(F.col(f"c{at}"), F.lit(""))).alias("rid")
+    listed = with_lists(safe.select("*", *keys), found, "start", "end")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -230,12 +231,4 @@ def deduplicated(docs: DataFrame, size: int = 13, text: str = "text") -> DataFra
                 columns = [texts if k == at else some.column(k) for k in range(len(fields))]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields]).filter(pa.array(stays))
 
-    return listed.select(*[f.name for f in fields], "list").mapInArrow(run, docs.schema)
-
-
-def keyed_all(docs: DataFrame, text: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from lexstrata.llm.superwindows import NO_ID
-
-    return docs.select("*", F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("rid"))
+    return listed.select(*safe.columns, "list").mapInArrow(run, docs.schema)

@@ -99,7 +99,10 @@ def test_words(docs_of, corpus, size):
 def test_cut_texts(docs_of, words):
     a, b, p = words(30), words(30), words(50)
     texts = ["  " + " ".join(a + p) + "\n", "\n".join(b) + " " + " ".join(p), " ".join(p), None, ""]
-    got = {r.doc_id: r.text for r in substrings.deduplicated(docs_of(texts)).collect()}
+    docs = docs_of(texts).withColumnRenamed("source", "list").withColumnRenamed("lang", "doc").withColumnRenamed("n_chars", "rid")
+    out = substrings.deduplicated(docs)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r.text for r in out.collect()}
     assert got == {0: texts[0], 1: "\n".join(b) + " ", 3: None, 4: ""}
 
 
