@@ -53,8 +53,9 @@ def dominating(requested: DataFrame, closed: DataFrame) -> DataFrame:
 def rebuild_plan(items: DataFrame, requested: DataFrame, closed: DataFrame, with_ancestors: bool = True) -> DataFrame:
     """Known requested items that no other covers and, if asked for, all their ancestors, with step: deepest first, then by id.
 
-    Steps are numbered within a depth, so no task sees all items.
+    Steps are numbered within a depth, so no task sees all items. The closure is read several times, so it is kept.
     """
+    closed = cut(closed)
     known = requested.join(items.select("item_id"), "item_id", "left_semi") if not with_ancestors else requested
     top = dominating(known, closed)
     plan = top
