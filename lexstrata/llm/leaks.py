@@ -71,6 +71,30 @@ def rows_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.uint16), offs // 2
 
 
+def pieces_of(f: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of `width` features of each row (the last filled up with FEATURES), their rows and starts."""
+    count = -(-np.diff(first) // width)
+    row = np.repeat(np.arange(len(count)), count)
+    start = first[row] + width * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
+    at = start[:, None] + np.arange(width)
+    return np.where(at < first[row + 1][:, None], (f % FEATURES)[np.minimum(at, len(f) - 1)], FEATURES), row, start
+
+
+def with_zero(x: np.ndarray) -> np.ndarray:
+    """x with a row of zeros for the filling."""
+    return np.concatenate([x, np.zeros((1, x.shape[1]), x.dtype)])
+
+
+def eights(n: int, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups that begin at `begin` in stretches of eight places (n where there is none), and each one's group."""
+    ends = np.append(begin[1:], n)
+    count = -(-(ends - begin) // 8)
+    group = np.repeat(np.arange(len(begin)), count)
+    start = begin[group] + 8 * (np.arange(len(group)) - np.repeat(np.cumsum(count) - count, count))
+    at = start[:, None] + np.arange(8)
+    return np.where(at < ends[group][:, None], at, n), group
+
+
 def frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
     """Documents of each feature, and of all. A row for each feature reaches the driver."""
 
@@ -79,8 +103,9 @@ def frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
         for part in parts:
             f, first = rows_of(part.column(0))
             row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            pairs = np.unique(row * FEATURES + (f % FEATURES))
-            total += np.bincount(pairs % FEATURES, minlength=FEATURES)
+            pairs = row * FEATURES + (f % FEATURES)
+            pairs.sort()
+            total += np.bincount(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]] % FEATURES, minlength=FEATURES)
             docs += len(first) - 1
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(FEATURES), -1)), pa.array(np.append(total, docs))], names=["feature", "n"])
 
@@ -101,30 +126,28 @@ def latent_base(words: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     """A latent vector for each feature: its row of the right singular vectors of the TF-IDF matrix
     of all passages, scaled to its IDF weight (else the singular values drown rare words)."""
     omega = np.random.default_rng(seed).standard_normal((FEATURES, rank)).astype(np.float32)
-    weighted = omega * idf[:, None]
+    weighted, useful = with_zero(omega * idf[:, None]), np.append(idf > 0, False)
     group = 256
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((FEATURES, rank), np.float32)
         for part in parts:
             f, first = rows_of(part.column(0))
-            f = f % FEATURES
-            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            passage = (np.arange(len(f)) - first[row]) // PASSAGE
-            new = np.ones(len(f), bool)
-            new[1:] = (row[1:] != row[:-1]) | (passage[1:] != passage[:-1])
-            begin = np.flatnonzero(new)
-            for at in range(0, len(begin), 1 << 15):
-                lo, hi = begin[at], begin[at + (1 << 15)] if at + (1 << 15) < len(begin) else len(f)
-                own = f[lo:hi]
-                sums = np.add.reduceat(weighted[own], begin[at : at + (1 << 15)] - lo)
-                place = np.cumsum(new[lo:hi]) - 1
-                heavy = np.flatnonzero(idf[own] > 0)
-                order = heavy[np.argsort(own[heavy], kind="stable")]
-                if len(order):
-                    names = own[order]
-                    starts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-                    total[names[starts]] += np.add.reduceat(sums[place[order]], starts)
+            if not len(f):
+                continue
+            passages, _, _ = pieces_of(f, first, PASSAGE)
+            for at in range(0, len(passages), 1 << 15):
+                own = passages[at : at + (1 << 15)]
+                sums = with_zero(weighted[own].sum(1))
+                flat = own.ravel()
+                heavy = np.flatnonzero(useful[flat])
+                order = heavy[np.argsort(flat[heavy].astype(np.uint16), kind="stable")]
+                # rows of one feature, in stretches of eight filled up with zeros
+                names = flat[order]
+                begin = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+                at8, member = eights(len(names), begin)
+                place = np.append(order // PASSAGE, len(own))
+                np.add.at(total, names[begin][member], sums[place[at8]].sum(1))
         total *= idf[:, None]
         yield pa.RecordBatch.from_arrays([pa.array(range(FEATURES // group), pa.int32()), pa.array([x.tobytes() for x in total.reshape(-1, group * rank)], pa.binary())], names=["part", "sums"])
 
@@ -206,47 +229,41 @@ def searcher(items: list[np.ndarray], base: np.ndarray, share: float):
         wide = np.full((len(own), PASSAGE), 1 << 20, np.int64)
         for k, w in enumerate(own):
             wide[k, : len(w)] = w
-        heavy = base.any(1)
+        heavy, padded = base.any(1), with_zero(base)
         strong = [int(heavy[np.unique(w) % FEATURES].sum()) for w in own]
         need = np.maximum(2, np.ceil(0.4 * np.array(strong)))
         across = np.ascontiguousarray(vectors.T)
         for part in parts:
             f, first = rows_of(part.column(1))
-            size = np.diff(first)
-            count = np.where(size > 0, np.maximum(-(-(size - PASSAGE) // STRIDE), 0) + 1, 0)
-            row = np.repeat(np.arange(len(size)), count)
-            start = first[row] + STRIDE * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
-            stop = np.minimum(start + PASSAGE, first[row + 1])
+            if not len(f):
+                continue
+            halves, half_row, half_start = pieces_of(f, first, STRIDE)
+            # a passage is a half and the next one of its row; a row's last half alone is one only if it is its first
+            n_halves = -(-np.diff(first) // STRIDE)
+            last = np.cumsum(n_halves) - 1
+            together = np.ones(len(halves), bool)
+            together[last[n_halves > 1]] = False
+            lone = np.zeros(len(halves), bool)
+            lone[last[n_halves == 1]] = True
             hits = []
-            for at in range(0, len(row), ROWS_AT_ONCE):
-                s, e = start[at : at + ROWS_AT_ONCE], stop[at : at + ROWS_AT_ONCE]
-                lo, hi = int(s[0]), int(e[-1])
-                # halves: a passage is two strides of the text, and a row's last one may be shorter
-                sums = np.zeros((len(s), RANK), np.float32)
-                values = base[f[lo:hi] % FEATURES]
-                edges = np.empty(2 * len(s), np.int64)
-                edges[::2], edges[1::2] = s - lo, np.minimum(s + STRIDE, e) - lo
-                half = np.add.reduceat(np.concatenate([values, np.zeros((1, values.shape[1]), np.float32)]), np.minimum(edges, hi - lo))[::2]
-                sums = half
-                second = np.flatnonzero(e > s + STRIDE)
-                nxt = second[(second + 1 < len(s))]
-                follow = nxt[(s[nxt + 1] == s[nxt] + STRIDE) & (row[at + nxt + 1] == row[at + nxt])]
-                sums = sums.copy()
-                sums[follow] += half[follow + 1]
-                rest = np.setdiff1d(second, follow)
-                for k in rest.tolist():
-                    sums[k] += values[s[k] + STRIDE - lo : e[k] - lo].sum(0)
+            for at in range(0, len(halves), ROWS_AT_ONCE):
+                end = min(at + ROWS_AT_ONCE, len(halves))
+                values = padded[halves[at : end + 1]].sum(1)
+                values = with_zero(values) if end == len(halves) else values
+                own_rows = np.flatnonzero(together[at:end])
+                sums = values[own_rows] + np.where(lone[at + own_rows], 0, 1).astype(np.float32)[:, None] * values[own_rows + 1]
+                row, s = half_row[at + own_rows], half_start[at + own_rows]
+                e = np.minimum(s + PASSAGE, first[row + 1])
                 likeness = unit(sums) @ across
                 found = np.flatnonzero(likeness.ravel() > COSINE)
                 if len(found):
                     p, w = found // len(own), found % len(own)
-                    text = np.full((len(p), PASSAGE), -1, np.int64)
                     cell = s[p][:, None] + np.arange(PASSAGE)
                     text = np.where(cell < e[p][:, None], f[np.minimum(cell, len(f) - 1)], -1)
                     both = (wide[w][:, :, None] == text[:, None, :]).any(2)
                     both &= heavy[wide[w] % FEATURES]
                     ok = both.sum(1) >= need[w]
-                    hits.append((row[at + p[ok]], w[ok], s[p[ok]]))
+                    hits.append((row[p[ok]], w[ok], s[p[ok]]))
             if not hits:
                 continue
             r, w, s = (np.concatenate(x) for x in zip(*hits, strict=True))
