@@ -82,14 +82,14 @@ def fences(measured: DataFrame, upper: float, reach: float, least: int) -> DataF
     def fence(df: DataFrame, by: list[str], prefix: str) -> DataFrame:
         out = [F.col("n").alias(f"{prefix}_n")]
         for m, floor in MEASURES.items():
-            mid, high = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.5, upper))
+            mid, high = (F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m, F.lit(q))) for q in (0.5, upper))
             out.append(F.greatest(F.lit(floor), high + reach * (high - mid)).alias(f"{prefix}_{m}"))
         return df.select(*by, *out)
 
-    g, l, c = fence(groups, ["lang", "source"], "g"), fence(langs, ["lang"], "l"), fence(corpus, [], "c")
-    l = l.withColumnRenamed("lang", "l_lang")
-    both = g.join(l, F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(c, F.lit(True), "left")  # one row on the right
-    pick = lambda m: F.when(F.col("g_n") >= least, F.col(f"g_{m}")).when(F.col("l_n") >= least, F.col(f"l_{m}")).otherwise(F.col(f"c_{m}"))
+    g, own = fence(groups, ["lang", "source"], "g"), fence(langs, ["lang"], "l").withColumnRenamed("lang", "l_lang")
+    all_ = fence(corpus, [], "c").first()  # one row of numbers
+    both = g.join(own, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+    pick = lambda m: F.when(F.col("g_n") >= least, F.col(f"g_{m}")).when(F.col("l_n") >= least, F.col(f"l_{m}")).otherwise(F.lit(all_[f"c_{m}"]).cast("double"))
     return both.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[pick(m).alias(f"fence_{m}") for m in MEASURES])
 
 
