@@ -68,10 +68,11 @@ def rebuild_plan(items: DataFrame, requested: DataFrame, closed: DataFrame, with
 def resolve_paths(items: DataFrame, paths: DataFrame, steps: int, transparent: list[str]) -> DataFrame:
     """path_id, item_id, n_matches: each item that a path of (type, number) tokens leads to.
 
-    paths: path_id, tokens (array of struct type, number). A path starts at roots. An item that
-    matches the next token takes it; one that doesn't is passed through if its type is transparent.
+    paths: path_id, npa_id, tokens (array of struct type, number). A path starts at the roots of its
+    document (npa_id of both). An item that matches the next token takes it; one that doesn't is
+    passed through if its type is transparent.
     """
-    nodes = items.select("item_id", "parent_item_id", "item_type", "item_number")
+    nodes = items.select("npa_id", "item_id", "parent_item_id", "item_type", "item_number")
     n = F.size("tokens")
 
     def advance(rows: DataFrame) -> DataFrame:
@@ -80,13 +81,13 @@ def resolve_paths(items: DataFrame, paths: DataFrame, steps: int, transparent: l
         rows = rows.withColumn("hit", F.coalesce(hit, F.lit(False)))
         return rows.where(F.col("hit") | F.col("item_type").isin(transparent)).withColumn("used", F.col("used") + F.col("hit").cast("int"))
 
-    roots = advance(nodes.where("parent_item_id IS NULL").join(paths.where(n > 0), F.lit(True)).withColumn("used", F.lit(0)))
+    roots = advance(nodes.where("parent_item_id IS NULL").join(paths.where(n > 0), "npa_id").withColumn("used", F.lit(0)))
     at, found = roots, []
     for _ in range(steps):
         found.append(at.where((F.col("used") == n) & F.col("hit")).select("path_id", "item_id"))
-        children = nodes.select("item_id", F.col("parent_item_id").alias("up"), "item_type", "item_number")
-        open_ = at.where(F.col("used") < n).select(F.col("item_id").alias("up"), "path_id", "tokens", "used")
-        at = advance(children.join(open_, "up").drop("up"))
+        children = nodes.select("npa_id", "item_id", F.col("parent_item_id").alias("up"), "item_type", "item_number")
+        open_ = at.where(F.col("used") < n).select("npa_id", F.col("item_id").alias("up"), "path_id", "tokens", "used")
+        at = advance(children.join(open_, ["npa_id", "up"]).drop("up"))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

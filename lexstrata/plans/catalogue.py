@@ -211,10 +211,19 @@ def rebuild_plan(spark, d):
     return tree.rebuild_plan(i, requested(spark, d), tree.closure(i, 4), with_ancestors=False)
 
 
+def regional_items(spark, d) -> DataFrame:
+    """items with the region as the document."""
+    n = table(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("n"), "n_regionkey")
+    i = items(spark, d)
+    above = F.when(F.col("item_type") == "article", F.col("parent_item_id")).when(F.col("item_type") == "chapter", F.col("item_id"))
+    joined = i.withColumn("above", above).join(n, F.col("above") == F.col("n"), "left")
+    return joined.withColumn("npa_id", F.coalesce("n_regionkey", F.substring("item_id", 2, 9).cast("int"))).select("npa_id", *i.columns)
+
+
 def path_table(spark, d) -> DataFrame:
     """Full paths, and for each nation one that skips its region and names a kind of customer."""
-    full = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("f"), "n_nationkey").alias("path_id"), F.array(F.struct(F.lit("section").alias("type"), F.col("r_name").alias("number")), F.struct(F.lit("chapter").alias("type"), F.col("n_name").alias("number"))).alias("tokens"))
-    loose = table(spark, d, "nation").select(F.concat(F.lit("l"), "n_nationkey").alias("path_id"), F.array(F.struct(F.lit("chapter").alias("type"), F.col("n_name").alias("number")), F.struct(F.lit("article").alias("type"), F.lit("BUILDING").alias("number"))).alias("tokens"))
+    full = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("f"), "n_nationkey").alias("path_id"), F.col("n_regionkey").alias("npa_id"), F.array(F.struct(F.lit("section").alias("type"), F.col("r_name").alias("number")), F.struct(F.lit("chapter").alias("type"), F.col("n_name").alias("number"))).alias("tokens"))
+    loose = table(spark, d, "nation").select(F.concat(F.lit("l"), "n_nationkey").alias("path_id"), F.col("n_regionkey").alias("npa_id"), F.array(F.struct(F.lit("chapter").alias("type"), F.col("n_name").alias("number")), F.struct(F.lit("article").alias("type"), F.lit("BUILDING").alias("number"))).alias("tokens"))
     return full.union(loose)
 
 
@@ -223,12 +232,12 @@ PATHS = "found AS (SELECT 'f' || n_nationkey AS path_id, 'n' || n_nationkey AS i
 
 @query(f"WITH {PATHS} SELECT path_id, item_id, count(*) OVER (PARTITION BY path_id) AS n_matches FROM found")
 def path_resolve(spark, d):
-    return tree.resolve_paths(items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
+    return tree.resolve_paths(regional_items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
 
 
 @query(f"WITH {PATHS} SELECT path_id, count(*) AS n_matches FROM found GROUP BY path_id HAVING count(*) > 1")
 def ambiguity_report(spark, d):
-    found = tree.resolve_paths(items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
+    found = tree.resolve_paths(regional_items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
     return found.where("n_matches > 1").select("path_id", "n_matches").distinct()
 
 

@@ -64,9 +64,9 @@ def test_plan_with_cycle_and_dominance(spark):
 
 
 def test_paths_pass_through_containers(spark):
-    i = spark.createDataFrame([("s", None, "section", "1"), ("a", "s", "article", "1"), ("p", "a", "point", "1"), ("p2", "a", "point", "1")], ITEMS)
-    tokens = "path_id string, tokens array<struct<type: string, number: string>>"
-    paths = spark.createDataFrame([("x", [("article", "1"), ("point", "1")]), ("y", [("article", "1")]), ("z", [("article", "9")])], tokens)
+    i = spark.createDataFrame([("s", None, "section", "1"), ("a", "s", "article", "1"), ("p", "a", "point", "1"), ("p2", "a", "point", "1")], ITEMS).withColumn("npa_id", F.lit(1))
+    tokens = "path_id string, npa_id int, tokens array<struct<type: string, number: string>>"
+    paths = spark.createDataFrame([("x", 1, [("article", "1"), ("point", "1")]), ("y", 1, [("article", "1")]), ("z", 1, [("article", "9")]), ("w", 2, [("article", "1")])], tokens)
     got = {(r.path_id, r.item_id, r.n_matches) for r in tree.resolve_paths(i, paths, 4, ["section", "chapter"]).collect()}
     assert got == {("x", "p", 2), ("x", "p2", 2), ("y", "a", 1)}
 
