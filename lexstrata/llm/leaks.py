@@ -2,14 +2,16 @@
 
 1. Every text becomes a sequence of word features (hashes of lower-case words without ASCII
    punctuation), stored once.
-2. Document frequencies over all documents give IDF weights; features in more than COMMON of the
-   documents weigh nothing.
+2. Document frequencies over all documents give IDF weights of at least LEAST_WEIGHT: no feature is
+   left out, however many documents hold it.
 3. A randomised SVD of the TF-IDF matrix of all passages: each task adds up its part of
    A'(A R) for a random R, parts are summed by blocks of features, and the right singular
    vectors come from the sum alone (Nystroem), whose size depends on the number of features only.
 4. Passages (PASSAGE words, every STRIDE words) and windows of the benchmark's items are compared by
    cosine in the latent space, all passages against all items.
-5. A candidate must share features with the item's window; then the longest common subsequence of
+   Beside these candidates stand those of an exact count filter (`overlapping`): every stretch of
+   text that shares as many words with an item as a leak must, whatever weights the words have.
+5. A latent candidate must share features with the item's window; then the longest common subsequence of
    the item and the text around the passage is taken. A leak has at least `share` of the item's
    words in it, in a stretch of text not much longer than the item, and, unless nearly all of the item
    is there, at least half of the item's last words (its answer).
@@ -24,7 +26,9 @@ tables give no rows; further columns are ignored. Texts are whole whatever their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ from lexstrata.llm.shared import only, partitions, stored
 
 FEATURES, RANK = 1 << 14, 64
 PASSAGE, STRIDE = 16, 8
-COMMON = 0.05
+LEAST_WEIGHT = 0.1
 COSINE = 0.5
 LEAST_WORDS = 8
 MOST_ITEMS = 5_000
@@ -117,9 +121,7 @@ def frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def weights(df: np.ndarray, docs: int) -> np.ndarray:
-    idf = np.log((docs + 1) / (df + 1)).astype(np.float32)
-    idf[df > max(COMMON * docs, 20)] = 0
-    return idf
+    return np.maximum(np.log((docs + 1) / (df + 1)), LEAST_WEIGHT).astype(np.float32)
 
 
 def latent_base(words: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
@@ -210,10 +212,20 @@ def lcs_bits(a: np.ndarray, b: np.ndarray) -> int:
     return v | 1 << len(a)
 
 
+def fewest(n: int, share: float) -> float:
+    """Words of an item of n that a leak has at least."""
+    return max(LEAST_WORDS - 1, share * n)
+
+
+def slack(n: int) -> int:
+    """Words before and after an item of n that its stretch of text takes in."""
+    return STRIDE + n // 8
+
+
 def leaked(item: np.ndarray, text: np.ndarray, share: float) -> int:
     """The common subsequence's length if the text (a stretch of little more than the item) leaks it, or 0."""
     n = lcs(item, text)
-    if n < max(LEAST_WORDS - 1, share * len(item)):
+    if n < fewest(len(item), share):
         return 0
     tail = max(3, len(item) // 5)
     if n < 0.85 * len(item) and 2 * lcs(item[-tail:], text) < tail:
@@ -221,7 +233,102 @@ def leaked(item: np.ndarray, text: np.ndarray, share: float) -> int:
     return n
 
 
-def searcher(items: list[np.ndarray], base: np.ndarray, share: float):
+@dataclass
+class Rarest:
+    """Items with stretches of up to `width` words, and where their rarest words stand."""
+
+    width: int
+    members: np.ndarray
+    begin: np.ndarray  # of each 16-bit feature in `item` and `times`
+    item: np.ndarray
+    times: np.ndarray
+    need: np.ndarray
+
+
+def rarest(items: list[np.ndarray], idf: np.ndarray, share: float) -> list[Rarest]:
+    """An index for `overlapping`. A leak lacks at most `spare` of its item's words, so of any part of
+    the item it has all but `spare`; the part taken is that of the rarest words, which few texts hold."""
+    widths: dict[int, list[int]] = {}
+    for k, f in enumerate(items):
+        widths.setdefault(max(64, 1 << (len(f) + 2 * slack(len(f)) - 1).bit_length()), []).append(k)
+    out = []
+    for width, members in widths.items():
+        word, item, times, need = [], [], [], []
+        for j, k in enumerate(members):
+            f = items[k]
+            least = int(np.ceil(fewest(len(f), share) - 1e-9))
+            spare = len(f) - least
+            u, n = np.unique(f, return_counts=True)
+            order = np.argsort(-idf[u % FEATURES], kind="stable")
+            total = np.cumsum(n[order])
+            order = order[: np.searchsorted(total, spare + (least + 1) // 2) + 1]
+            word.append(u[order])
+            item.append(np.full(len(order), j))
+            times.append(n[order])
+            need.append(total[len(order) - 1] - spare)
+        word, item, times = (np.concatenate(x) for x in (word, item, times))
+        order = np.argsort(word, kind="stable")
+        begin = np.append(0, np.cumsum(np.bincount(word, minlength=1 << 16)))
+        out.append(Rarest(width, np.array(members), begin, item[order], times[order], np.array(need)))
+    return out
+
+
+def overlapping(f: np.ndarray, first: np.ndarray, index: list[Rarest], items: list[np.ndarray], share: float) -> Iterator[tuple[int, int, int]]:
+    """Row, item and place (in f, every STRIDE words of a row) of all stretches that hold enough of the item's words for a leak.
+
+    Rows are cut into segments of two widths, one every width, so each stretch lies whole in that of its first word.
+    """
+    within = np.zeros(1 << 16, bool)
+    for x in index:
+        held, m = np.diff(x.begin), len(x.members)
+        count = -(-np.diff(first) // x.width)
+        base = np.append(0, np.cumsum(count))
+        row_of = np.repeat(np.arange(len(count)), count)
+        for lo in range(0, len(f), 1 << 18):
+            # segments that begin in these words
+            a, b = (int(base[r] + -(-(y - first[r]) // x.width)) for y in (lo, min(lo + (1 << 18), len(f))) for r in [min(np.searchsorted(first, y, "right") - 1, len(count) - 1)])
+            if a == b:
+                continue
+            row = row_of[a:b]
+            start = first[row] + x.width * (np.arange(a, b) - base[row])
+            end = np.minimum(start + 2 * x.width, first[row + 1])
+            at = int(start[0]) + np.flatnonzero(held[f[start[0] : end[-1]]])
+            # the segment that begins last before a place, and the one before it in the same row
+            own = np.searchsorted(start, at, "right") - 1
+            before = (own > 0) & (row[own - 1] == row[own]) & (at < end[own - 1])
+            inside = at < end[own]
+            pairs = np.concatenate([own[inside] << 16 | f[at[inside]], own[before] - 1 << 16 | f[at[before]]])
+            pairs.sort()
+            pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
+            segment, word = pairs >> 16, pairs & 0xFFFF
+            step = max(1, (1 << 21) // m)
+            found = []
+            for low in range(0, b - a, step):
+                i, j = np.searchsorted(segment, [low, low + step])
+                n = held[word[i:j]]
+                places = np.repeat(x.begin[word[i:j]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                shared = np.bincount(np.repeat(segment[i:j] - low, n) * m + x.item[places], x.times[places], min(step, b - a - low) * m)
+                enough = np.flatnonzero(shared >= np.tile(x.need, min(step, b - a - low)))
+                found.append(np.stack([enough % m, enough // m + low]))
+            which, where = np.concatenate(found, 1)
+            order = np.argsort(which, kind="stable")
+            for k in np.unique(which).tolist():
+                item = items[x.members[k]]
+                within[item] = True
+                n, side, least = len(item), slack(len(item)), fewest(len(item), share) - 1e-9
+                for seg in where[order[slice(*np.searchsorted(which[order], [k, k + 1]))]].tolist():
+                    s, e, r = int(start[seg]), int(end[seg]), int(row[seg])
+                    zero, stop = int(first[r]), int(first[r + 1])
+                    up = np.append(0, np.cumsum(within[f[s:e]]))
+                    begin = zero if s == zero else zero + -(-(s + side - zero) // STRIDE) * STRIDE
+                    p = np.arange(begin, min(stop, s + x.width + side), STRIDE)
+                    enough = up[np.minimum(p + n + side, stop) - s] - up[np.maximum(p - side, zero) - s] >= least
+                    for y in p[enough].tolist():
+                        yield r, int(x.members[k]), y
+                within[item] = False
+
+
+def searcher(items: list[np.ndarray], base: np.ndarray, idf: np.ndarray, share: float):
     """mapInArrow function over (doc_id, words): leaks of each document."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +340,7 @@ def searcher(items: list[np.ndarray], base: np.ndarray, share: float):
         strong = [int(heavy[np.unique(w) % FEATURES].sum()) for w in own]
         need = np.maximum(2, np.ceil(0.4 * np.array(strong)))
         across = np.ascontiguousarray(vectors.T)
+        index = rarest(items, idf, share)
         for part in parts:
             f, first = rows_of(part.column(1))
             if not len(f):
@@ -264,17 +372,16 @@ def searcher(items: list[np.ndarray], base: np.ndarray, share: float):
                     both &= heavy[wide[w] % FEATURES]
                     ok = both.sum(1) >= need[w]
                     hits.append((row[p[ok]], w[ok], s[p[ok]]))
-            if not hits:
-                continue
-            r, w, s = (np.concatenate(x) for x in zip(*hits, strict=True))
+            r, w, s = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else np.zeros((3, 0), np.int64)
+            latent = zip(r.tolist(), owner[w].tolist(), (s - place[w]).tolist(), strict=True)
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for r_, w_, s_ in zip(r.tolist(), w.tolist(), s.tolist(), strict=True):
-                item = items[owner[w_]]
-                slack = STRIDE + len(item) // 8
-                a = max(first[r_], s_ - place[w_] - slack)
-                b = min(first[r_ + 1], s_ - place[w_] + len(item) + slack)
+            for r_, k, p in dict.fromkeys(chain(latent, overlapping(f, first, index, items, share))):
+                item = items[k]
+                side = slack(len(item))
+                a = max(first[r_], p - side)
+                b = min(first[r_ + 1], p + len(item) + side)
                 n = leaked(item, f[a:b], share)
-                key = r_, int(owner[w_])
+                key = r_, k
                 if n > best.get(key, (0, 0, 0))[0]:
                     best[key] = n, int(a - first[r_]), int(b - first[r_])
             if best:
@@ -295,7 +402,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.6) -> DataFram
 
     def search(block: list) -> DataFrame:
         items = [x for _, x in block]
-        shared = spark.sparkContext.broadcast((items, base))  # MOST_ITEMS items and FEATURES * RANK numbers at most
+        shared = spark.sparkContext.broadcast((items, base, idf))  # MOST_ITEMS items and FEATURES * RANK numbers at most
 
         def run(parts):
             yield from searcher(*shared.value, share)(parts)

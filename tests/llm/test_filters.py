@@ -68,6 +68,19 @@ def test_leaks(spark, docs_of, words):
     assert leaks.leaks(docs_of(texts).where("false"), bench).count() == 0 and leaks.leaks(docs_of(texts), bench.where("false")).count() == 0
 
 
+def test_leaks_of_common_items(spark, docs_of, words):
+    items = [words(n) for n in (10, 14, 34, 60)]
+    texts = [" ".join(words(60) + (items[k // 3 % 4] if k % 3 == 0 else []) + words(50)) for k in range(240)]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    # each item in a twelfth of the documents, then all of them in a third
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()} == {(k, k // 3 % 4) for k in range(0, 240, 3)}
+    texts = [" ".join(words(60) + (sum(items, []) if k % 3 == 0 else []) + words(50)) for k in range(240)]
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()} == {(k, i) for k in range(0, 240, 3) for i in range(4)}
+    # long documents, in which every word is common
+    texts = [" ".join(words(1500) + (items[k] if k < 4 else []) + words(1500)) for k in range(60)]
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()} == {(k, k) for k in range(4)}
+
+
 def test_lcs():
     import numpy as np
 
