@@ -6,7 +6,9 @@ matches are summed. A lexicon entry inside an exception phrase doesn't count. Th
 by a power of the text's length in words, goes through a logistic curve.
 
 The lexicon is a small starting list plus entries found in the labelled training rows: folded
-words whose share among toxic rows is far above that among the others. Weights are log odds.
+words whose share among toxic rows is far above that among the others, however small the part of
+the toxic rows that holds them, so that the insults of a rare language or source count. Copies of
+a text are one piece of evidence. Weights are log odds.
 The curve is fitted on the same rows. Training takes at most `most_rows` labelled rows, those
 with the smallest hash of doc_id; labels of other rows are never read, and neither lang, source
 nor doc_id enters a score.
@@ -169,23 +171,24 @@ def training(docs: DataFrame, labels: DataFrame, most_rows: int, in_training) ->
     return only(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, most_words: int = 200, least_rows: int = 5, least_odds: float = 3.0, in_training=lambda doc_id: F.lit(True)) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, least_rows: int = 5, least_odds: float = 3.0, in_training=lambda doc_id: F.lit(True)) -> Model:
     """Learns lexicon, weights and curve.
 
-    most_rows: bound of the labelled sample. most_words: bound of the learned lexicon.
-    least_rows, least_odds: toxic rows that a learned word stands in, and log odds, at least.
+    most_rows: bound of the labelled sample, and so of the words that can be learned.
+    least_rows, least_odds: toxic texts that a learned word stands in, and log odds, at least.
     """
     model = Model()
     rows = training(docs, labels, most_rows, in_training)
-    words = rows.select("toxic", F.explode(folded_words()("text")).alias("word"))
-    totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
+    texts = rows.distinct()
+    words = texts.select("toxic", F.explode(folded_words()("text")).alias("word"))
+    totals = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return model
     counted = words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
     found = counted.select("word", "bad", odds.alias("odds"))
-    top = found.where((F.col("bad") >= least_rows) & (F.col("odds") >= least_odds) & (F.col("bad") >= 0.02 * bad)).orderBy(F.desc("odds"), "word").limit(most_words).collect()
+    top = found.where((F.col("bad") >= least_rows) & (F.col("odds") >= least_odds)).collect()  # words of most_rows rows at most
     known = {r.word: r.odds for r in found.where(F.col("word").isin(list(model.weights))).where("bad >= 3").collect()}
     model.weights |= {r.word: float(r.odds) for r in top} | {w: max(0.0, float(x)) for w, x in known.items()}
     model.weights = {w: x for w, x in model.weights.items() if x > 0}

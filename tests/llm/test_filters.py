@@ -116,6 +116,21 @@ def test_toxicity_learns_and_holds_out(spark, docs_of, words):
     assert plain.weights == toxicity.Model().weights
 
 
+def test_toxicity_learns_rare_insults(spark, docs_of, words):
+    insults = ["zor" + a + b for a in "abcdefghkmnopqr" for b in "abcdefghkmnopqr"]  # 225, each in six toxic texts
+    toxic = [" ".join(words(20) + [insults[(3 * k + i) % 225] for i in range(3)]) for k in range(450)]
+    toxic += [" ".join([*words(20), "malquez", *words(5)]) for _ in range(8)]  # under 2% of them
+    copied = " ".join(["copied", *words(20)])
+    texts = toxic + [copied] * 30 + [" ".join(words(25)) for _ in range(1000)]
+    docs = docs_of(texts)
+    labels = spark.createDataFrame([(k, int(k < len(toxic) + 30)) for k in range(len(texts))], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert {*map(toxicity.fold, insults), "maiquez"} <= set(model.weights)
+    assert "copied" not in model.weights  # one text, whatever its copies
+    got = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.score(model, docs.text).alias("s")).collect()}
+    assert all(got[k] >= 0.5 for k in range(len(toxic))) and all(got[k] < 0.5 for k in range(len(toxic) + 30, len(texts)))
+
+
 def test_chat(spark):
     turn = "conv_id long, turn long, role string, text string"
     t = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (4, 0, "user", "hi"), (4, 1, "assistant", "no"), (5, 0, "user", None), (6, 0, "user", ""), (None, 0, "user", "hi"), (None, 1, "assistant", "yo"), (2, 1, "assistant", "yo")]
