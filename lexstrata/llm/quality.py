@@ -4,7 +4,9 @@ Base measures come from the words of a text; thresholds come from the corpus its
 (lang, source) group, and for every lang and the whole corpus as fallbacks for small groups, a
 mergeable quantile sketch of each measure is kept; sketches of groups are merged into those of
 languages and of the corpus. A document is rejected if a measure lies beyond the group's upper
-fence: the upper quantile plus `reach` times its distance from the median, and at least `floor`.
+fence: the upper quantile plus `reach` times its distance from the median. Where most documents
+measure 0 that distance says nothing, so it counts as no less than one step (a symbol, a repeated
+line, two windows that repeat each other) makes in the group's median document, and in the document itself.
 Documents and thresholds meet in a join. Only built-in functions run.
 
 Nulls: a null text has no words, so it fails the base rules; null lang or source form groups of
@@ -19,8 +21,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.llm.shared import only, stored
 
-#: measure, floor of its fence
-MEASURES = {"symbol_share": 0.05, "dup_line_share": 0.3, "repeat_share": 0.4, "long_words": 16.0}
+MEASURES = ("symbol_share", "dup_line_share", "repeat_share", "long_words")
 SKETCH_K = 400
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -70,27 +71,36 @@ def shares() -> dict[str, Column]:
     }
 
 
-def fences(measured: DataFrame, upper: float, reach: float, least: int) -> DataFrame:
-    """lang, source and for each measure its fence; groups of under `least` documents use their language's, or the corpus's."""
-    usable = measured.where("NOT base_failed").select("lang", "source", *[c.alias(m) for m, c in shares().items()])
-    groups = usable.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(m, SKETCH_K).alias(m) for m in MEASURES])
+def steps() -> dict[str, Column]:
+    """The least by which each measure that is mostly 0 rises above it."""
+    n = F.greatest(F.col("n_words"), F.lit(1))
+    return {"symbol_share": 1 / F.greatest(F.col("word_chars"), F.lit(1)), "dup_line_share": 1 / F.sqrt(n), "repeat_share": 6 / n}
+
+
+def fences(measured: DataFrame, upper: float, least: int) -> DataFrame:
+    """lang, source and for each measure its upper quantile and spread; groups of under `least` documents use their language's, or the corpus's."""
+    usable = measured.where("NOT base_failed").select("lang", "source", *[c.alias(m) for m, c in shares().items()], *[c.alias(f"{m}_step") for m, c in steps().items()])
+    sketched = [*MEASURES, *[f"{m}_step" for m in steps()]]
+    groups = usable.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(m, SKETCH_K).alias(m) for m in sketched])
     groups = stored(groups, "sketches")  # a row for each language and source
-    merged = [F.kll_merge_agg_double(m).alias(m) for m in MEASURES]
+    merged = [F.kll_merge_agg_double(m).alias(m) for m in sketched]
     langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
     corpus = groups.agg(F.sum("n").alias("n"), *merged)
 
     def fence(df: DataFrame, by: list[str], prefix: str) -> DataFrame:
         out = [F.col("n").alias(f"{prefix}_n")]
-        for m, floor in MEASURES.items():
-            mid, high = (F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m, F.lit(q))) for q in (0.5, upper))
-            out.append(F.greatest(F.lit(floor), high + reach * (high - mid)).alias(f"{prefix}_{m}"))
+        quantile = lambda m, q: F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m, F.lit(q)))
+        for m in MEASURES:
+            high = quantile(m, upper)
+            spread = high - quantile(m, 0.5)
+            out += [high.alias(f"{prefix}_high_{m}"), (F.greatest(spread, quantile(f"{m}_step", 0.5)) if m in steps() else spread).alias(f"{prefix}_spread_{m}")]
         return df.select(*by, *out)
 
     g, own = fence(groups, ["lang", "source"], "g"), fence(langs, ["lang"], "l").withColumnRenamed("lang", "l_lang")
     all_ = fence(corpus, [], "c").first()  # one row of numbers
     both = g.join(own, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     pick = lambda m: F.when(F.col("g_n") >= least, F.col(f"g_{m}")).when(F.col("l_n") >= least, F.col(f"l_{m}")).otherwise(F.lit(all_[f"c_{m}"]).cast("double"))
-    return both.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[pick(m).alias(f"fence_{m}") for m in MEASURES])
+    return both.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[pick(f"{k}_{m}").alias(f"{k}_{m}") for m in MEASURES for k in ("high", "spread")])
 
 
 def quality(docs: DataFrame, upper: float = 0.75, reach: float = 6.0, least: int = 100) -> DataFrame:
@@ -98,9 +108,10 @@ def quality(docs: DataFrame, upper: float = 0.75, reach: float = 6.0, least: int
     measured = measures(only(docs, "doc_id", "text", "lang", "source"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = stored(measured.withColumn("base_failed", failed), "measures")
-    limits = fences(measured, upper, reach, least)
+    limits, least_spread = fences(measured, upper, least), steps()
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
-    inside = [F.coalesce(c <= F.col(f"fence_{m}"), F.lit(True)) for m, c in shares().items()]
+    spread = lambda m: F.greatest(F.col(f"spread_{m}"), least_spread[m]) if m in least_spread else F.col(f"spread_{m}")
+    inside = [F.coalesce(c <= F.col(f"high_{m}") + reach * spread(m), F.lit(True)) for m, c in shares().items()]
     good = inside[0]
     for x in inside[1:]:
         good = good & x

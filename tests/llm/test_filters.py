@@ -49,6 +49,18 @@ def test_quality_rejects_outliers_and_keeps_the_rest(docs_of, words):
     assert quality.quality(docs_of(texts).where("false")).count() == 0
 
 
+def test_quality_fences_follow_the_source(spark, words):
+    rng = random.Random(6)
+    marked = lambda n: " ".join(words(80) + ["#"] * n)
+    long = lambda n: " ".join(x * n for x in words(80))
+    rows = [(marked(0), "prose") for _ in range(150)] + [(marked(rng.randint(5, 20)), "code") for _ in range(150)] + [(long(rng.choice([1, 2, 3])), "terms") for _ in range(150)]
+    # the same measure in two sources: 12 symbols (a share of 0.03), words of 9 letters on average
+    rows += [(marked(12), "prose"), (marked(12), "code"), (long(2), "prose"), (long(2), "terms")]
+    docs = spark.createDataFrame([(k, t, "en", s, len(t)) for k, (t, s) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
+    assert kept == set(range(len(rows))) - {450, 452}
+
+
 def test_leaks(spark, docs_of, words):
     items = [words(n) for n in (12, 20, 45)]
     texts = [" ".join(words(150)) for _ in range(60)]
