@@ -22,6 +22,7 @@ tables are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,7 +43,7 @@ LOOK_ALIKES = {
     "a": "а@4αạ", "b": "ьв8β", "c": "сϲ¢", "d": "ԁ", "e": "е3є€ε", "g": "ɡ9", "h": "һн", "i": "і1|ıιl!", "j": "ј", "k": "кκ",
     "m": "м", "n": "пη", "o": "о0οø", "p": "рρ", "s": "ѕ5$", "t": "т7τ+", "u": "υц", "v": "ѵν", "w": "ѡω", "x": "хχ", "y": "уү", "z": "2ʐ",
 }
-BARE = "!|$@+¢€"  # stand for letters only between letters
+BARE = "!|$@+¢€"  # stand for letters beside letters or digits; at the edges of a word perhaps
 FOLD_MOST = 40  # letters kept in a folded word when learning
 
 
@@ -73,14 +74,24 @@ SIGNS = {ord(c): latin for latin, others in LOOK_ALIKES.items() for c in others
 ASCII = bytes(TABLE.get(i, chr(i)).encode()[0] if TABLE.get(i, chr(i)) else i for i in range(128)) + bytes(range(128, 256))
 
 
-def fold(text: str) -> str:
-    """Lower-case skeleton of a text: look-alikes become the Latin letter, l and i are one."""
+RUN = re.compile(f"[{re.escape(BARE)}]+")
+
+
+def beside(text: str, m: re.Match) -> tuple[bool, bool]:
+    """Whether a letter or digit stands before and after a run of signs."""
+    return m.start() > 0 and text[m.start() - 1].isalnum(), text[m.end() : m.end() + 1].isalnum()
+
+
+def fold(text: str, leading: bool = False, trailing: bool = False) -> str:
+    """Lower-case skeleton of a text: look-alikes become the Latin letter, l and i are one. Runs of signs within
+    words are letters, those at the start or the end of words if asked for. Places stay the same."""
+
+    def spelled(m: re.Match) -> str:
+        before, after = beside(text, m)
+        return m[0].translate(SIGNS) if before and after or leading and after or trailing and before else m[0]
+
     if any(c in text for c in BARE):
-        chars = list(text)
-        for k in range(1, len(chars) - 1):
-            if ord(chars[k]) in SIGNS and chars[k + 1].isalnum() and chars[k - 1].isalnum():
-                chars[k] = SIGNS[ord(chars[k])]
-        text = "".join(chars)
+        text = RUN.sub(spelled, text)
     if text.isascii():
         return text.encode().translate(ASCII).decode()
     return text.translate(TABLE)
@@ -105,9 +116,8 @@ class Model:
         return found
 
 
-def matched(text: str, automaton) -> tuple[float, int]:
-    """Sum of the weights of the entries that stand as words outside exceptions, and words."""
-    text = fold(text)
+def standing(text: str, automaton) -> tuple[list, list]:
+    """Places and weights of the entries, and of the exceptions, that stand as words in a folded text."""
     hits, spared = [], []
     for end, (n, weight) in automaton.iter(text):
         low, high = end - n + 1, end + 1
@@ -116,9 +126,25 @@ def matched(text: str, automaton) -> tuple[float, int]:
         if (low and text[low - 1].isalnum()) or (high < len(text) and text[high].isalnum()):
             continue
         (hits if weight else spared).append((low, high, weight))
+    return hits, spared
+
+
+def matched(text: str, automaton) -> tuple[float, int]:
+    """Sum of the weights of the entries that stand as words outside exceptions, and words.
+
+    Signs at the edges of words are read bare and as letters; the first reading counts where two find entries.
+    """
+    plain = fold(text)
+    hits, spared = standing(plain, automaton)
+    edges = {x for x in (beside(text, m) for m in RUN.finditer(text)) if x[0] != x[1]} if any(c in text for c in BARE) else ()
+    for leading, trailing in ((True, False), (False, True), (True, True)):
+        if edges and (not leading or (False, True) in edges) and (not trailing or (True, False) in edges):
+            more, other = standing(fold(text, leading, trailing), automaton)
+            hits += [x for x in more if not any(x[0] < high and low < x[1] for low, high, _ in hits)]
+            spared += other
     if spared:
         hits = [x for x in hits if not any(low <= x[0] and x[1] <= high for low, high, _ in spared)]
-    return sum(x[2] for x in hits), max(1, len(text.split()))
+    return sum(x[2] for x in hits), max(1, len(plain.split()))
 
 
 def rated(model: Model):

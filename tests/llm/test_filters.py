@@ -116,6 +116,14 @@ def test_folding_and_exceptions():
     assert not any(hits(t) for t in ("idiotic", "trash can", "the trash bags", "guinea pig", "", "1 2 3"))
 
 
+def test_signs_at_edges_and_in_runs():
+    model = toxicity.Model()
+    score = lambda t: toxicity.matched(t, model.automaton())[0]
+    assert all(score(t) == 1 for t in ("a$$hole", "@sshole", "$tupid", "@$$hole!", "you @sshole, no", "idiot!!", "$cum!", "idio+", "!diot"))
+    assert score("$tupid idiot! @sshole") == 3
+    assert not any(score(t) for t in ("$5", "a+", "$$$", "wow!", "+rash can", "idiotic!"))
+
+
 def test_toxicity_learns_and_holds_out(spark, docs_of, words):
     texts = [" ".join([*words(40), *(["zorgbag"] * (k % 4 == 0)), *words(20)]) for k in range(200)] + EDGE_TEXTS
     docs = docs_of(texts)
