@@ -93,6 +93,26 @@ def test_leaks_of_common_items(spark, docs_of, words):
     assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()} == {(k, k) for k in range(4)}
 
 
+def test_leaks_recall_against_brute_force(spark, docs_of, words):
+    import numpy as np
+
+    rng = random.Random(9)
+    items = [words(rng.randint(15, 59)) for _ in range(60)]
+    texts = []
+    for k in range(360):  # a third verbatim, a third with 20%, a third with 38% of the words substituted
+        changed = [rng.choice(words(1)) if rng.random() < (0, 0.2, 0.38)[k % 3] else w for w in items[k // 6]]
+        texts.append(" ".join(words(rng.randint(0, 80)) + changed + words(rng.randint(0, 80))))
+    seq = lambda t: leaks.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+    want = set()
+    for k, t in enumerate(texts):
+        f, item = seq(t), seq(" ".join(items[k // 6]))
+        side = leaks.STRIDE + len(item) // 8
+        if any(leaks.leaked(item, f[max(0, p - side) : p + len(item) + side], 0.6) for p in range(0, len(f), leaks.STRIDE)):
+            want.add((k, k // 6))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert len(want) > 280 and want <= {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()}
+
+
 def test_lcs():
     import numpy as np
 
