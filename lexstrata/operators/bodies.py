@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexstrata.functions.numbers import number_tuple
+from lexstrata.session import cut
 
 
 def renumbered(blocks: DataFrame, keys: list[str], *order) -> DataFrame:
@@ -90,15 +93,19 @@ def rendered_tree(roots: DataFrame, blocks: DataFrame, most_levels: int = 16) ->
     """root_id, html: the texts of a root's body and, at the place of each reference, those of what it refers to.
 
     Level by level: a row carries the places that lead to it, and the whole is put together once, in
-    their order. Cycles end at most_levels.
+    their order. A reference to an item that leads to it is left out. From most_levels on, each level is looked at
+    before it is taken.
     """
-    at = roots.select("root_id", F.col("root_id").alias("item_id"), F.expr("cast(array() AS array<int>)").alias("path"))
+    at = roots.select("root_id", F.col("root_id").alias("item_id"), F.expr("cast(array() AS array<int>)").alias("path"), F.array("root_id").alias("above"))
     out = None
-    for _ in range(most_levels):
+    for level in count():
+        if level >= most_levels and (at := cut(at)).isEmpty():
+            break
         rows = at.join(blocks, "item_id").withColumn("path", F.concat("path", F.array(F.col("ord").cast("int"))))
         texts = rows.where("html_text IS NOT NULL").select("root_id", "path", "html_text")
         out = texts if out is None else out.unionByName(texts)
-        at = rows.where("ref_item_id IS NOT NULL").select("root_id", F.col("ref_item_id").alias("item_id"), "path")
+        further = rows.where("ref_item_id IS NOT NULL AND NOT array_contains(above, ref_item_id)")
+        at = further.select("root_id", F.col("ref_item_id").alias("item_id"), "path", F.concat("above", F.array("ref_item_id")).alias("above"))
     ordered = F.array_sort(F.collect_list(F.struct("path", "html_text")))
     return out.groupBy("root_id").agg(F.array_join(F.transform(ordered, lambda x: x["html_text"]), "\n").alias("html"))
 

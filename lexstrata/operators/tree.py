@@ -14,16 +14,15 @@ from lexstrata.functions.text import type_rank
 from lexstrata.session import cut
 
 
-def closure(items: DataFrame, most: int = 64) -> DataFrame:
+def closure(items: DataFrame) -> DataFrame:
     """item_id, ancestor_id, distance (1: the parent); the shortest where several ways lead up."""
     out = items.where("parent_item_id IS NOT NULL").select("item_id", F.col("parent_item_id").alias("ancestor_id"), F.lit(1).alias("distance")).distinct()
-    reach, pairs = 1, -1
-    while reach < most:
+    reach = 1
+    while True:
         if reach >= 4:  # each round reads the last one twice
             out = cut(out)
-            if (now := out.count()) == pairs:
+            if out.where(F.col("distance") > reach // 2).isEmpty():  # then none is further either
                 break
-            pairs = now
         up = out.select(F.col("item_id").alias("ancestor_id"), F.col("ancestor_id").alias("higher"), F.col("distance").alias("more"))
         far = out.join(up, "ancestor_id").select("item_id", F.col("higher").alias("ancestor_id"), (F.col("distance") + F.col("more")).alias("distance"))
         out = out.unionByName(far).groupBy("item_id", "ancestor_id").agg(F.min("distance").alias("distance"))

@@ -176,18 +176,18 @@ ITEMS = """
 @query(f"WITH RECURSIVE {ITEMS} SELECT item_id, parent_item_id, item_type, item_number, depth FROM items JOIN dep USING (item_id)")
 def tree_flatten(spark, d):
     i = items(spark, d)
-    return i.join(tree.depths(i, tree.closure(i, 4)), "item_id").select("item_id", "parent_item_id", "item_type", "item_number", "depth")
+    return i.join(tree.depths(i, tree.closure(i)), "item_id").select("item_id", "parent_item_id", "item_type", "item_number", "depth")
 
 
 @query(f"WITH RECURSIVE {ITEMS} SELECT item_id, ancestor_id, distance FROM clo")
 def tree_ancestors(spark, d):
-    return tree.closure(items(spark, d), 4)
+    return tree.closure(items(spark, d))
 
 
 @query(f"WITH RECURSIVE {ITEMS} SELECT item_id, (SELECT count(*) FROM clo WHERE ancestor_id = items.item_id) AS n_descendants FROM items")
 def subtree_sizes(spark, d):
     i = items(spark, d)
-    return tree.subtree_sizes(i, tree.closure(i, 4))
+    return tree.subtree_sizes(i, tree.closure(i))
 
 
 REQUESTED = "req AS (SELECT 'c' || c_custkey AS item_id FROM customer WHERE c_custkey % 97 = 0 UNION SELECT 'n' || n_nationkey FROM nation WHERE n_nationkey % 9 = 0 UNION SELECT 'x1'), top AS (SELECT item_id FROM req WHERE item_id NOT IN (SELECT item_id FROM clo WHERE ancestor_id IN (SELECT item_id FROM req)))"
@@ -202,13 +202,13 @@ def requested(spark, d) -> DataFrame:
 @query(f"WITH RECURSIVE {ITEMS}, {REQUESTED}, plan AS (SELECT item_id FROM top UNION SELECT ancestor_id FROM clo WHERE item_id IN (SELECT item_id FROM top)) SELECT item_id, depth, CAST(row_number() OVER (PARTITION BY depth ORDER BY item_id) AS INTEGER) AS step FROM plan JOIN dep USING (item_id)")
 def rebuild_order(spark, d):
     i = items(spark, d)
-    return tree.rebuild_plan(i, requested(spark, d), tree.closure(i, 4))
+    return tree.rebuild_plan(i, requested(spark, d), tree.closure(i))
 
 
 @query(f"WITH RECURSIVE {ITEMS}, {REQUESTED} SELECT item_id, depth, CAST(row_number() OVER (PARTITION BY depth ORDER BY item_id) AS INTEGER) AS step FROM top JOIN dep USING (item_id)")
 def rebuild_plan(spark, d):
     i = items(spark, d)
-    return tree.rebuild_plan(i, requested(spark, d), tree.closure(i, 4), with_ancestors=False)
+    return tree.rebuild_plan(i, requested(spark, d), tree.closure(i), with_ancestors=False)
 
 
 def regional_items(spark, d) -> DataFrame:
@@ -528,7 +528,7 @@ def highlight_positions(spark, d):
 
 def issue_rows(spark, d) -> DataFrame:
     i = items(spark, d)
-    i = i.join(tree.depths(i, tree.closure(i, 4)), "item_id").withColumn("item_level", F.when(F.col("item_id").endswith("7"), F.lit(None)).otherwise(F.col("depth"))).withColumn("item_type", F.when(F.col("item_id").endswith("9"), "odd").otherwise(F.col("item_type")))
+    i = i.join(tree.depths(i, tree.closure(i)), "item_id").withColumn("item_level", F.when(F.col("item_id").endswith("7"), F.lit(None)).otherwise(F.col("depth"))).withColumn("item_type", F.when(F.col("item_id").endswith("9"), "odd").otherwise(F.col("item_type")))
     return verify.item_checks(i)
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexstrata.session import cut
+
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """path, raw, doc (VARIANT; null where the file isn't JSON), broken."""
@@ -21,11 +25,14 @@ def parsed(rows: DataFrame) -> DataFrame:
 def flatten_items(docs: DataFrame, most_levels: int = 16) -> DataFrame:
     """A row for each item of the trees: path, item_id, parent_item_id, item_type, item_number, item_level, depth, sort_path, item.
 
-    Level by level; sort_path orders items as they stand in the document.
+    Level by level; sort_path orders items as they stand in the document. From most_levels on, each level is looked
+    at before it is taken.
     """
     at = docs.where("NOT broken").select("path", F.variant_get("doc", "$.npa_items_revision", "array<variant>").alias("children"), F.lit(None).cast("string").alias("parent_item_id"), F.expr("cast(array() AS array<int>)").alias("sort_path"))
     levels = []
-    for depth in range(1, most_levels + 1):
+    for depth in count(1):
+        if depth > most_levels and (at := cut(at.where("size(children) > 0"))).isEmpty():
+            break
         rows = at.select("path", "parent_item_id", "sort_path", F.posexplode("children").alias("k", "item"))
         rows = rows.select("path", F.variant_get("item", "$.item_id", "string").alias("item_id"), "parent_item_id", F.variant_get("item", "$.item_type", "string").alias("item_type"), F.variant_get("item", "$.item_number", "string").alias("item_number"), F.try_variant_get("item", "$.item_level", "int").alias("item_level"), F.lit(depth).alias("depth"), F.concat("sort_path", F.array("k")).alias("sort_path"), "item")
         levels.append(rows)

@@ -120,3 +120,22 @@ def test_json_round_trip(spark, tmp_path):
     assert {(r.block_type, r.ref_item_id) for r in blocks.collect()} == {("paragraph", None), ("child_ref", "c")}
     assert documents.rendered(blocks, ["item_id"]).first().html == "<p>x</p>"
     assert verify.passed(verify.inlined_children(blocks)).first().passed
+
+
+def test_trees_of_any_depth(spark):
+    import json
+
+    from lexstrata.operators import bodies, tree
+    from lexstrata.sources import documents
+
+    n = 150
+    chain = spark.createDataFrame([(f"i{k}", f"i{k - 1}" if k else None) for k in range(n)], "item_id string, parent_item_id string")
+    assert tree.closure(chain).count() == n * (n - 1) // 2
+    blocks = spark.createDataFrame([x for k in range(8) for x in ((f"i{k}", 1, f"t{k}", None), (f"i{k}", 2, None, f"i{(k + 1) % 8}"))], "item_id string, ord int, html_text string, ref_item_id string")
+    roots = spark.createDataFrame([("i0",)], "root_id string")
+    assert bodies.rendered_tree(roots, blocks, 3).first().html == "\n".join(f"t{k}" for k in range(8))
+    item = None
+    for k in reversed(range(8)):
+        item = {"item_id": f"i{k}", "item_children": [item] if item else []}
+    docs = documents.parsed(spark.createDataFrame([("p", json.dumps({"npa_items_revision": [item]}))], "path string, raw string"))
+    assert documents.flatten_items(docs, 3).count() == 8
