@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexstrata.llm.kernels import BYTE_VALUES, Prefix, batches, blocks
+from lexstrata.llm.kernels import batches, blocks
 from lexstrata.llm.shared import only
+from lexstrata.llm.token_cache import IdCache
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
@@ -301,27 +302,24 @@ class Pieces:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
         start, first = self.units(data, offs)
-        h, example, inverse = np.unique(Prefix(BYTE_VALUES[0][data]).of(start[:-1], start[1:]), return_index=True, return_inverse=True)
-        if self.cache is None or len(self.cache[0]) > MOST_UNITS:
-            self.cache = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        keys, at, count, ids = self.cache
-        new = np.flatnonzero(~np.isin(h, keys, assume_unique=True))
-        if len(new):
-            low, size = start[example[new]], np.diff(start)[example[new]]
-            short = size <= LONG_UNIT
-            flat, each = self.segment_many(data, low[short], size[short])
-            many = [self.segment_one(data[a : a + s].tobytes()) for a, s in zip(low[~short], size[~short], strict=True)]
-            more = np.concatenate([each, np.array([len(x) for x in many], np.int64)])
-            own = np.concatenate([new[short], new[~short]])
-            all_keys = np.concatenate([keys, h[own]])
-            order = np.argsort(all_keys)
-            begin = np.concatenate([at, len(ids) + np.cumsum(more) - more])
-            self.cache = keys, at, count, ids = all_keys[order], begin[order], np.concatenate([count, more])[order], np.concatenate([ids, flat, np.array([i for x in many for i in x], np.uint32)])
-        place = np.searchsorted(keys, h)
-        each = count[place][inverse]
+        if self.cache is None:
+            self.cache = IdCache(self.segment, MOST_UNITS)
+        flat, each = self.cache.counts(data, start[:-1], start[1:])
         sums = np.concatenate([[0], np.cumsum(each)])
-        flat = np.repeat(at[place][inverse] - sums[:-1], each) + np.arange(sums[-1])
-        return ids[flat], sums[first[1:]] - sums[first[:-1]]
+        return flat, sums[first[1:]] - sums[first[:-1]]
+
+    def segment(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after another, and the number for each."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        short = np.flatnonzero(size <= LONG_UNIT)
+        data = np.frombuffer(b"".join(units), np.uint8)
+        flat, each = self.segment_many(data, (np.cumsum(size) - size)[short], size[short])
+        if len(short) == len(units):
+            return flat, each
+        lists = [self.segment_one(u) if len(u) > LONG_UNIT else None for u in units]
+        own = iter(np.split(flat, np.cumsum(each)[:-1])) if len(short) else iter(())
+        lists = [next(own) if x is None else np.array(x, np.uint32) for x in lists]
+        return np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
 
     def decode(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and offsets of the texts; the first space of each is left out again."""
@@ -345,11 +343,20 @@ class Pieces:
 
 
 def encoded(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
-    """docs with piece_ids (array of int) and decoded (the text read back from them)."""
+    """docs with piece_ids (array of int) and decoded (the text read back from them).
+
+    Columns of docs that have these names already stay under a name with "_given" behind it.
+    """
+    taken = set(docs.columns) | {"piece_ids", "decoded"}
+    for name in ("piece_ids", "decoded"):
+        if name in docs.columns:
+            other = f"{name}_given"
+            while other in taken:
+                other += "_given"
+            docs, taken = docs.withColumnRenamed(name, other), taken | {other}
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by the vocabulary
-    kept = [f for f in docs.schema.fields if f.name not in ("piece_ids", "decoded")]
-    docs = only(docs, *[f.name for f in kept])
+    kept = docs.schema.fields
     at = [f.name for f in kept].index(text)
     ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "piece_ids array<int>", "decoded string"])
 

@@ -42,8 +42,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexstrata.llm import token_files as t
+    from lexstrata.llm.token_cache import vocabulary_size
 
-    files = t.token_files(table(spark, sf_dir, "documents"), t.library_encoder(tokenizer_path("word_bpe_49k.json")), t.bits_for(49_408), end_id=2)
+    path = tokenizer_path("word_bpe_49k.json")
+    files = t.token_files(table(spark, sf_dir, "documents"), t.library_encoder(path), t.bits_for(vocabulary_size(path)), end_id=2)
     return t.token_rows(files)
 
 
@@ -74,20 +76,18 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_events(docs: DataFrame, path: str) -> dict[str, DataFrame]:
     """Batches over all documents: every count inserted; then those of texts in `lang` en revised
-    to a version that also counts an end mark; then later exact copies of a text deleted."""
-    from lexstrata.llm.token_counts import counted
+    to a version that also counts an end mark; then, of rows with one text, all but the first deleted
+    (smallest doc_id, null last; rows that repeat a doc_id are copies too)."""
+    from lexstrata.llm.token_counts import counted, later_copies
 
     first, second = "word_bpe_49k", "word_bpe_49k+end"
     rows = stored(counted(docs, path), "counts")
     row = lambda version, sign, n: [F.lit(version).alias("version"), F.lit(sign).alias("sign"), n.alias("n_tokens")]
-    n = F.col("n_tokens")
+    n, english = F.col("n_tokens"), F.coalesce(F.col("lang") == "en", F.lit(False))
     inserts = rows.select("source", "lang", *row(first, 1, n))
-    english = rows.where("lang = 'en'")
-    revised = english.select("source", "lang", *row(first, -1, n)).unionByName(english.select("source", "lang", *row(second, 1, n + 1)))
-    now = rows.select("doc_id", "source", "lang", "text_hash", F.when(F.col("lang") == "en", second).otherwise(first).alias("version"), F.when(F.col("lang") == "en", n + 1).otherwise(n).alias("n_tokens"))
-    keep = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    copies = now.join(keep, "text_hash").where("doc_id > first")
-    deleted = copies.select("source", "lang", "version", F.lit(-1).alias("sign"), "n_tokens")
+    old = rows.where(english)
+    revised = old.select("source", "lang", *row(first, -1, n)).unionByName(old.select("source", "lang", *row(second, 1, n + 1)))
+    deleted = later_copies(rows).select("source", "lang", F.when(english, second).otherwise(first).alias("version"), F.lit(-1).alias("sign"), (n + english.cast("long")).alias("n_tokens"), "copies")
     return {"b1": inserts, "b2": revised, "b3": deleted}
 
 

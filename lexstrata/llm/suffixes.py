@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexstrata.llm.kernels import BASES, BYTE_VALUES, Prefix, batches, blocks, sliding_min, strings, window_starts
+from lexstrata.llm.kernels import BASES, SEEDS, Prefix, batches, blocks, eights, mix, sliding_min, span_hashes, strings, window_starts
 from lexstrata.llm.shared import only, partitions, stored
 from lexstrata.llm.substrings import cut
 from lexstrata.llm.superwindows import FOUND, FOUND_DDL, changes, flat_lists, keyed, later, merged, superwindows, with_lists
@@ -45,9 +45,9 @@ def finder(size: int):
         starts, row = window_starts(offs, size)
         if not len(starts):
             return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-        prefix = Prefix(BYTE_VALUES[0][data])
+        prefix = Prefix(mix(eights(data)[:-1] ^ np.uint64(SEEDS[0])))  # of places that eight bytes follow
         at = np.arange(len(data) - gram + 1)
-        hashes = prefix.of(at, at + gram)
+        hashes = prefix.of(at, at + gram - 7)
         keys = (hashes >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
         best = sliding_min(keys, size - gram + 1)[starts]
         del at, hashes, keys
@@ -188,7 +188,8 @@ def sharder(size: int):
         ask = ~late & split[o]
         if ask.any():
             p = own[ask]
-            low, high = (Prefix(BYTE_VALUES[w][np.maximum(codes - 1, 0)], BASES[w]).of(p, p + size).view(np.int64) for w in (0, 1))
+            raw = np.maximum(codes - 1, 0).astype(np.uint8)
+            low, high = (span_hashes(raw, p, p + size, w).view(np.int64) for w in (0, 1))
             yield from batches(CLASSES, [np.ones(len(p), bool), low, high, d[ask], r[ask], s[ask], s[ask] + 1])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,135 +1,116 @@
-"""Token ids of texts through a library's tokenizer, asked once for each distinct word.
+"""Token ids of texts, made once for each distinct stretch (a word, or a unit of a piece model).
 
-Of use where a tokenizer drops white space and never joins what it separates: the ids of a
-text are then those of its words, one after another.
+Of use where a tokenizer never joins what white space separates: the ids of a text are then
+those of its stretches, one after another.
 """
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Callable
+
 import numpy as np
 
-from lexstrata.llm.kernels import Words
+from lexstrata.llm.kernels import Words, equal_spans, span_hashes
 
 MOST_WORDS = 600_000
 
 
-class WordIds:
-    """Ids by word hash; starts afresh beyond `most` words, so memory stays bounded."""
+class IdCache:
+    """Ids by the hash of a stretch of bytes, whose bytes are kept and compared on every hit.
+
+    It starts afresh beyond `most` stretches, so memory stays bounded. make(list of bytes) gives
+    (ids one after another, the number for each).
+    """
 
-    def __init__(self, encode_words, most: int = MOST_WORDS):
-        self.encode_words, self.most = encode_words, most
+    def __init__(self, make: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = MOST_WORDS):
+        self.make, self.most = make, most
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) + len(keys) > self.most:
-            self.clear()
-        found = self.encode_words(words)
-        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        at = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint32)])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
+        self.at, self.count, self.place, self.size = (np.zeros(0, np.int64) for _ in range(4))
+        self.ids, self.bytes = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+
+    def learn(self, keys: np.ndarray, stretches: list[bytes]) -> None:
+        ids, count = self.make(stretches)
+        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        order = np.argsort(all_keys := np.concatenate([self.keys, keys]))
+        self.keys = all_keys[order]
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])[order]
         self.count = np.concatenate([self.count, count])[order]
-
-    def encode(self, data: np.ndarray, offs: np.ndarray, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after another (empty unless asked for), and the number for each row."""
-        words = Words(data, offs)
-        h, inverse = np.unique(words.hashes(), return_inverse=True)
-        known = np.isin(h, self.keys, assume_unique=True)
-        new = np.flatnonzero(~known)
+        self.place = np.concatenate([self.place, len(self.bytes) + np.cumsum(size) - size])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.ids = np.concatenate([self.ids, ids])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(stretches), np.uint8)])
+
+    def counts(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all stretches one after another (empty unless asked for), and the number for each."""
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        h, example, inverse = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(h, self.keys, assume_unique=True))
+        if len(self.keys) + len(new) > self.most:
+            self.clear()
+            new = np.arange(len(h))
         if len(new):
-            example = np.zeros(len(h), np.int64)
-            example[inverse] = np.arange(len(inverse))
-            raw = data.tobytes()
-            if len(h) > self.most:  # more distinct words than are kept: no cache for this block
-                fresh = WordIds(self.encode_words, len(h))
-                fresh.learn(h, [raw[words.start[i] : words.end[i]].decode() for i in example])
-                return fresh.look_up(h, inverse, words, ids)
-            if len(self.keys) + len(new) > self.most:
-                self.clear()
-                new = np.arange(len(h))
-            self.learn(h[new], [raw[words.start[i] : words.end[i]].decode() for i in example[new]])
-        return self.look_up(h, inverse, words, ids)
-
-    def look_up(self, h, inverse, words, ids) -> tuple[np.ndarray, np.ndarray]:
-        if not len(h):
-            return np.zeros(0, np.uint32), np.zeros(len(words.offs) - 1, np.int64)
-        place = np.searchsorted(self.keys, h)
-        count = self.count[place][inverse]
-        sums = np.zeros(len(count) + 1, np.int64)
-        np.cumsum(count, out=sums[1:])
-        per_row = sums[words.first[1:]] - sums[words.first[:-1]]
+            some = example[new]
+            self.learn(h[new], [data[a:b].tobytes() for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)])
+        own, size = np.searchsorted(self.keys, h)[inverse], end - start
+        wrong = np.flatnonzero((self.size[own] != size) | ~equal_spans(data, start, self.bytes, self.place[own], np.minimum(size, self.size[own])))
+        at, count, held = self.at[own], self.count[own], self.ids
+        if len(wrong):  # another stretch has this hash
+            more, each = self.make([data[start[i] : end[i]].tobytes() for i in wrong])
+            at[wrong], count[wrong] = len(held) + np.cumsum(each) - each, each
+            held = np.concatenate([held, more])
+        if len(self.keys) > self.most:  # one block alone has more
+            self.clear()
         if not ids:
-            return np.zeros(0, np.uint32), per_row
-        at = self.at[place][inverse]
-        flat = np.repeat(at - sums[:-1], count) + np.arange(sums[-1])
-        return self.ids[flat], per_row
+            return np.zeros(0, np.uint32), count
+        sums = np.cumsum(count) - count
+        return held[np.repeat(at - sums, count) + np.arange(int(count.sum()))], count
 
 
 class LibraryWords:
-    """Words to ids (as bytes of uint32) by the tokenizers library; nothing is added.
+    """Words to ids by the tokenizers library, each word as a text of its own; nothing is added.
 
-    Runs the library's own normaliser, pre-tokenizer and model, and keeps what it gave for
-    each lower-case stem. ASCII case and trailing ASCII punctuation are taken off first where
-    the last character before it is an ASCII letter: every pre-tokenizer this accepts parts
-    letters from punctuation there.
+    Only where the file's normaliser lower-cases are ASCII words without an added token's first
+    character asked for in lower case, once for all their spellings.
     """
 
-    TAIL = ".,;:!?*#$%&"
-
-    def __init__(self, path: str, most: int = MOST_WORDS):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.model, self.most, self.stems = self.whole.model, most, {}
-        self.contents = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        probe = ["Abc.", "abc,.", "Ab", "ab!!"]
-        got = [self.whole.encode(w, add_special_tokens=False).ids for w in probe]
-        parted = [self.whole.encode(c, add_special_tokens=False).ids + (self.whole.encode(t, add_special_tokens=False).ids if t else []) for c, t in (("abc", "."), ("abc", ",."), ("ab", ""), ("ab", "!!"))]
-        direct = [i.id for i in self.model.tokenize("abc")]
-        self.stemmed = got == parted and direct == got[0][: len(direct)]
-
-    def pieces(self, text: str) -> bytes:
-        if "<" in text and any(c in text for c in self.contents):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        elif self.stemmed and text.isascii() and text.isalpha():
-            ids = [t.id for t in self.model.tokenize(text)]
-        elif self.whole.normalizer is None or self.whole.pre_tokenizer is None:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        else:
-            parts = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(text))
-            ids = [t.id for p, _ in parts for t in self.model.tokenize(p)]
-        return np.array(ids, np.uint32).tobytes()
-
-    def __call__(self, words: list[str]) -> list[bytes]:
-        stems, out = self.stems, []
-        if len(stems) > self.most:
-            stems.clear()
-        for w in words:
-            tail = b""
-            if self.stemmed:
-                stem = w.rstrip(self.TAIL)
-                if stem and len(stem) < len(w) and "a" <= stem[-1].lower() <= "z":
-                    end = w[len(stem) :]
-                    tail = stems.get(end)
-                    if tail is None:
-                        tail = stems[end] = self.pieces(end)
-                    w = stem
-                if w.isascii() and not any(c in w for c in self.contents):
-                    w = w.lower()
-            found = stems.get(w)
-            if found is None:
-                found = stems[w] = self.pieces(w)
-            out.append(found + tail if tail else found)
-        return out
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.library = Tokenizer.from_file(path)
+        self.starts = {t.content[:1] for t in self.library.get_added_tokens_decoder().values()}
+        norm = json.loads(self.library.to_str())["normalizer"] or {}
+        self.lowers = "Lowercase" in {n["type"] for n in norm.get("normalizers", [norm]) if n}
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [w.decode() for w in words]
+        if self.lowers:
+            texts = [t.lower() if t.isascii() and not any(c in t for c in self.starts) else t for t in texts]
+        once = list(dict.fromkeys(texts))
+        found = dict(zip(once, (e.ids for e in self.library.encode_batch_fast(once, add_special_tokens=False)), strict=True))
+        lists = [found[t] for t in texts]
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum())), count
+
+
+class WordIds:
+    """Ids of whole texts from those of their words."""
+
+    def __init__(self, words: Callable, most: int = MOST_WORDS):
+        self.cache = IdCache(words, most)
+
+    def encode(self, data: np.ndarray, offs: np.ndarray, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after another (empty unless asked for), and the number for each row."""
+        words = Words(data, offs)
+        flat, count = self.cache.counts(data, words.start, words.end, ids)
+        sums = np.concatenate([[0], np.cumsum(count)])
+        return flat, sums[words.first[1:]] - sums[words.first[:-1]]
 
 
 _shared: dict[str, WordIds] = {}
@@ -140,3 +121,10 @@ def shared_cache(path: str) -> WordIds:
     if path not in _shared:
         _shared[path] = WordIds(LibraryWords(path))
     return _shared[path]
+
+
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id of a tokenizers file."""
+    from tokenizers import Tokenizer
+
+    return 1 + max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())

@@ -16,6 +16,14 @@ def docs_of(spark):
     return make
 
 
+def thue_morse(n, a="a", b="b"):
+    """A word whose complement has the same polynomial value modulo 2**64 from 1024 letters on."""
+    return "".join((a, b)[bin(i).count("1") & 1] for i in range(n))
+
+
+TWINS = [thue_morse(1024), thue_morse(1024, "b", "a"), thue_morse(2048), thue_morse(2048, "b", "a"), thue_morse(8192), thue_morse(8192, "b", "a")]
+
+
 @pytest.fixture
 def words():
     import random

@@ -10,10 +10,16 @@ from hypothesis import strategies as st
 from lexstrata.llm import queries, token_counts, token_files
 from lexstrata.llm.pieces import Pieces
 
-from .conftest import EDGE_TEXTS
+from .conftest import EDGE_TEXTS, TWINS
 
 PATH = queries.tokenizer_path("word_bpe_49k.json")
-ODD = ["a<|endoftext|>b c", "ΑΣ ΟΔΟΣ. ́e ́", "it's Σ\tΣ I'LL 's 12 34٣", "e\ń Å", "\x1c\x1d a\x85b", "İstanbul ǅ ﬁ", "<|startoftext|>", "Word. WORD! word,,, w0rd. #$%&", "don't, can't.", "K.. Å. ſ."]
+ODD = ["a<|endoftext|>b c", "ΑΣ ΟΔΟΣ. ́e ́", "it's Σ\tΣ I'LL 's 12 34٣", "e\ń Å", "\x1c\x1d a\x85b", "İstanbul ǅ ﬁ", "<|startoftext|>", "Word. WORD! word,,, w0rd. #$%&", "don't, can't.", "K.. Å. ſ.", "<|ENDOFTEXT|> <|StartOfText|> x<|ENDOFTEXT|>. x<|endoftext|>.", "İ. İ. i̇.", *TWINS]
+
+
+def test_vocabulary():
+    from lexstrata.llm.token_cache import vocabulary_size
+
+    assert vocabulary_size(PATH) == 49_408
 
 
 @pytest.mark.parametrize("bits", [1, 5, 8, 11, 16, 17, 32])
@@ -53,6 +59,30 @@ def test_token_files_match_the_library(docs_of):
     assert token_files.token_rows(token_files.token_files(none, token_files.library_encoder(PATH), 16, 2)).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aBİıſKσΣςé\u0301\u0307.,!'<|>endoftx 7\t\x1c#$&", max_size=12) | st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "'LL", "x'S"]), max_size=6))
+def test_word_ids_match_the_library(parts):
+    from tokenizers import Tokenizer
+
+    from lexstrata.llm import token_cache
+
+    library = test_word_ids_match_the_library.__dict__.setdefault("library", Tokenizer.from_file(PATH))
+    raw = np.frombuffer("".join(parts).encode(), np.uint8)
+    ids, count = token_cache.shared_cache(PATH).encode(raw, np.array([0, len(raw)]))
+    assert ids.tolist() == library.encode("".join(parts), add_special_tokens=False).ids and count.tolist() == [len(ids)]
+
+
+def test_stretches_of_one_hash_keep_their_own_ids(monkeypatch):
+    from lexstrata.llm import token_cache
+
+    monkeypatch.setattr(token_cache, "span_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    cache = token_cache.IdCache(lambda words: (np.array([w[0] for w in words], np.uint32), np.ones(len(words), np.int64)), 3)
+    for _ in range(2):
+        data = np.frombuffer(b"abacdeef", np.uint8)
+        start, end = np.array([0, 1, 2, 3, 4, 6, 7]), np.array([1, 2, 3, 4, 6, 7, 8])
+        assert cache.counts(data, start, end)[0].tolist() == list(b"abacdef")
+
+
 @pytest.fixture(scope="module")
 def model():
     return Pieces(queries.tokenizer_path("piece_bpe_32k.model"))
@@ -102,9 +132,12 @@ def test_many_units_equal_one_by_one(model):
 def test_piece_tables(docs_of, model):
     from lexstrata.llm.pieces import encoded, piece_digests
 
-    docs = docs_of(EDGE_TEXTS).withColumnRenamed("source", "decoded")
+    texts = EDGE_TEXTS + TWINS
+    docs = docs_of(texts)
     got = {r.doc_id: (r.piece_ids, r.decoded) for r in encoded(docs, model).collect()}
-    assert got == {k: (model.encode_text(t or ""), t or "") for k, t in enumerate(EDGE_TEXTS)}
+    assert got == {k: (model.encode_text(t or ""), t or "") for k, t in enumerate(texts)}
+    clash = encoded(docs.withColumnRenamed("source", "decoded").withColumnRenamed("lang", "decoded_given"), model)
+    assert {r.doc_id: (r.decoded, r.decoded_given_given) for r in clash.collect()} == {r.doc_id: (r.text or "", r.source) for r in docs.collect()}
     assert all(r.round_trip for r in piece_digests(docs, model).collect())
     assert piece_digests(docs.where("false"), model).count() == 0
 
@@ -119,12 +152,23 @@ def test_rollup_batches_are_idempotent(spark, tmp_path):
     assert r.commit("b2", make(("a", "en", "v1", -1, 5), ("a", "en", "v2", 1, 6))) and r.commit("b3", make())
     want = {("a", "en", "v1", 1, 10), ("a", "en", "v2", 1, 6), (None, None, "v1", 1, 7), ("b", "de", "v1", 1, 0)}
     assert {tuple(x) for x in r.totals().collect()} == want
-    (tmp_path / "r/batch=b4").mkdir()  # a job that died before its success marker
+    (tmp_path / "r/data/dead").mkdir()  # a job that died before it published
     assert {tuple(x) for x in r.totals().collect()} == want and r.commit("b4", make(("b", "de", "v1", -1, 0)))
+    assert not r._publish("b4", ["b4\tother"])  # a second driver with the same id comes too late
     other = token_counts.Rollup(spark, f"file://{tmp_path}/s")
-    r.compact(other, "all")
-    r.compact(other, "all")
-    assert {tuple(x) for x in other.totals().collect()} == want - {("b", "de", "v1", 1, 0)}
+    assert r.compact(other, "all") and not r.compact(other, "all")
+    left = want - {("b", "de", "v1", 1, 0)}
+    assert {tuple(x) for x in other.totals().collect()} == left
+    assert not other.commit("b1", first) and other.commit("b5", make(("a", "en", "v2", -1, 6)))
+    assert {tuple(x) for x in other.totals().collect()} == left - {("a", "en", "v2", 1, 6)}
+    clash = first.selectExpr("*", "'x' AS d", "1 AS n", "2 AS d_docs")
+    assert other.commit("b6", clash) and other.totals().where("version = 'v1' AND source = 'a'").first().n_docs == 3
+
+
+def test_later_copies(spark):
+    rows = [(1, "a", "en", b"x", 5), (2, "a", "en", b"x", 5), (2, "b", "de", b"x", 5), (None, None, None, b"x", 5), (3, "b", "de", b"y", 2), (None, "b", "de", b"z", 1), (None, "b", "de", b"z", 1)]
+    got = token_counts.later_copies(spark.createDataFrame(rows, "doc_id long, source string, lang string, text_hash binary, n_tokens long")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([("a", "en", 5, 1), ("b", "de", 5, 1), (None, None, 5, 1), ("b", "de", 1, 1)], key=repr)
 
 
 def test_count_query_equals_recount(spark, docs_of):
