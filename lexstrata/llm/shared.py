@@ -1,8 +1,7 @@
-"""Shared folder, narrow tables and table reading for the operators of this subpackage."""
+"""Shared folder, narrow tables, table reading and joins on crowded keys for the operators of this subpackage."""
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 import zipfile
@@ -11,10 +10,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ARROW_BATCH = "8m"
+
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application."""
+    """Sends this package to the executors, once for each application, and bounds the bytes of an Arrow batch."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     if getattr(context, "_lexstrata_sent", False):
         return
     top = Path(__file__).resolve().parent.parent
@@ -32,9 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (tests), a new local one."""
+    """The folder that spark.checkpoint.dir names. Where it is unset, a local master (tests) gets a new one; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexstrata-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -42,16 +46,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors.
-
-    Shuffle files that only the written plan used are released afterwards.
-    """
+    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexstrata/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lexstrata_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._lexstrata_path).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -61,3 +69,25 @@ def partitions(spark: SparkSession) -> int:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, so that further columns with clashing names can't disturb a plan."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def crowded(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that more than one in 4 * partitions of the rows hold: at most 4 * partitions keys, so they may be broadcast."""
+    counts = stored(rows.groupBy(key).agg(F.count("*").alias("n")), "counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    out = counts.where(F.col("n") > max(32, total // (4 * partitions(rows.sparkSession)))).select(key)
+    return out.where(F.col(key).isNotNull())
+
+
+def joined_by_key(rows: DataFrame, by_key: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
+    """rows with the columns of by_key, which has one row for each key; how is left or inner.
+
+    Crowded keys (`hot`, or those found now) are joined by broadcast, a bounded number of rows, and
+    all others by a shuffle, so no key brings a large share of the rows to one task.
+    """
+    hot = crowded(rows, key) if hot is None else hot
+    few = by_key.join(F.broadcast(hot), key, "left_semi")
+    met = rows.join(F.broadcast(hot.withColumnRenamed(key, "hot_key")), F.col(key) == F.col("hot_key"), "left")
+    near = met.where("hot_key IS NOT NULL").drop("hot_key").join(F.broadcast(few), key, how)
+    rest = met.where("hot_key IS NULL").drop("hot_key").join(by_key, key, how)
+    return near.unionByName(rest)

@@ -115,8 +115,8 @@ def finder(size: int):
     return find
 
 
-def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits, place_bits: int, length: int | None = None):
-    """Superwindows from each window's chosen key (rank, place, length - 1; or a fixed length)."""
+def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits, place_bits: int, length: int | None = None, ahead: int = 0):
+    """Superwindows from each window's chosen key (rank, place, length - 1; or a fixed length). ahead: elements after its own that a value of `prefix` stands for."""
     new = np.ones(len(starts), bool)
     new[1:] = (best[1:] != best[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
@@ -126,8 +126,8 @@ def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray
     if length is None:
         length = (key & np.uint64((1 << int(low_bits)) - 1)).astype(np.int64) + 1
     begin = starts[at]
-    name = prefix.of(low, low + length)
-    content = mix(prefix.of(begin, begin + count + size - 1) + (low - begin).astype(np.uint64))
+    name = prefix.of(low, low + length - ahead)
+    content = mix(prefix.of(begin, begin + count + size - 1 - ahead) + (low - begin).astype(np.uint64))
     return name, content, row[at], begin - first[row[at]], count
 
 

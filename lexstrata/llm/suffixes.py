@@ -45,13 +45,13 @@ def finder(size: int):
         starts, row = window_starts(offs, size)
         if not len(starts):
             return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-        prefix = Prefix(mix(eights(data)[:-1] ^ np.uint64(SEEDS[0])))  # of places that eight bytes follow
+        prefix = Prefix(mix(eights(data)[:-1] ^ np.uint64(SEEDS[0])))  # each stands for eight bytes
         at = np.arange(len(data) - gram + 1)
         hashes = prefix.of(at, at + gram - 7)
         keys = (hashes >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
         best = sliding_min(keys, size - gram + 1)[starts]
         del at, hashes, keys
-        name, content, row, start, count = cut(best, starts, row, offs, size, prefix, np.uint64(0), 32, gram)
+        name, content, row, start, count = cut(best, starts, row, offs, size, prefix, np.uint64(0), 32, gram, 7)
         return name, content, row, start, count
 
     return find

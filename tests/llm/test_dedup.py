@@ -9,7 +9,7 @@ import pytest
 
 from lexstrata.llm import overlap, substrings, suffixes
 
-from .conftest import EDGE_TEXTS
+from .conftest import EDGE_TEXTS, TWINS
 
 
 def order(i):
@@ -70,6 +70,7 @@ def corpus(words):
             w[at:at] = passage[a : a + rng.randint(10, 40)]
         texts.append(" ".join(w))
     texts += [texts[0], texts[3], texts[3] + " tail", "head " + texts[5], "ab " * 200, "ab " * 150, "x " * 14, "y" * 260, texts[2][:300] + texts[2]]
+    texts += [" ".join(x) for t in TWINS for x in (texts[0].split()[:20] + [t] + texts[1].split()[:20],)]  # differ in one long word only
     return texts + EDGE_TEXTS
 
 
@@ -172,11 +173,52 @@ def test_components(docs_of, families, n, percent):
 
 
 def test_components_over_parts(docs_of, families, monkeypatch):
-    monkeypatch.setattr(overlap, "MOST_NODES", 7)
+    monkeypatch.setattr(overlap, "MOST_SHINGLES", 700)
     docs = list(enumerate(families))
     assert rows(overlap.similarity_components(docs_of(docs))) == brute_components(docs, 4, 85)
 
 
+def test_words_that_look_alike_do_not_link(docs_of):
+    docs = [(k, t) for k, t in enumerate(TWINS)] + [(9, TWINS[0])]
+    assert rows(overlap.similarity_components(docs_of(docs))) == brute_components(docs, 4, 85)
+
+
+def test_long_lists_over_tasks(docs_of, families, monkeypatch):
+    monkeypatch.setattr(overlap, "SHORT_LIST", 2)
+    docs = list(enumerate(families))
+    assert rows(overlap.similarity_components(docs_of(docs))) == brute_components(docs, 4, 85)
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5])
+def test_heap_merge(least):
+    rng = random.Random(least)
+    for _ in range(200):
+        lists = [sorted(rng.sample(range(12), rng.randint(0, 9))) for _ in range(rng.randint(0, 6))]
+        want = [(v, n) for v in range(12) if (n := sum(v in x for x in lists)) >= least]
+        assert list(overlap.heap_merged(lists, least)) == want
+
+
+def test_components_of_edges(spark):
+    from lexstrata.llm.components import components
+
+    rng = random.Random(1)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(1000, 1200)] + [(rng.randrange(5000, 5400), rng.randrange(5000, 5400)) for _ in range(150)] + [(3, 3), (None, 5)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    assert {tuple(r) for r in components(df).collect()} == {(i, find(i)) for i in list(root)}
+    assert components(df.where("false")).count() == 0
+
+
 def test_divide_skip_is_exact():
     rng = np.random.default_rng(2)
     base = [rng.integers(0, 2**60, 80).astype(np.uint64) for _ in range(4)]
