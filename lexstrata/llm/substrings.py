@@ -2,20 +2,25 @@
 
 Each round of recompression names runs of one symbol, then pairs: symbols fall to a left or a
 right side by a bit of their name, and every left symbol followed by a right one becomes a new
-symbol. Names are hashes of what they stand for, so all executors give one name to equal
-substrings without asking each other. A symbol whose making looked only at words inside a
-window is an interior symbol of it, and is made in every other place where the window stands.
-
-Every window of `size` words takes as anchor its highest interior symbol, of equals the one
-with the smallest name (words themselves are the symbols of level 0, so there always is one).
-The Spark round in `superwindows` brings equal names together; shared ones reveal repeats, and a
-second round verifies single windows by 128-bit names where contents differ.
+symbol. A name is a hash of what it stands for (its left and right symbol, or a symbol and the length of its
+run), so all executors give one name to equal substrings without asking each other. A symbol whose
+making looked only at words inside a window is an interior symbol of it, and is made in every other
+place where the window stands.
+
+1. Every window of `size` words takes as anchor its highest interior symbol, of equals the one
+   with the smallest name (words themselves are the symbols of level 0, so there always is one).
+2. The first Spark round (`superwindows`) brings the symbols of one name together. A high symbol that
+   stands only once ends there, and with it all windows around it. Where a name stands in several
+   places, the stretches around it are compared by a second, independent hash: equal ones repeat as a whole.
+3. Stretches that share their high symbol but differ further out go to the second Spark round, where each
+   of their windows gets a symbol of its own, 128 bits wide, and equal ones meet.
 
 A word is removed if a window that covers it also starts in a document with a smaller doc_id.
 
 Nulls: a null text has no words; a null doc_id counts as greater than all others. Rows with one
 doc_id count as one document and remove nothing from each other; each gets a row. Empty tables
-give no rows; further columns are ignored. Texts are treated whole whatever their length.
+give no rows; further columns are ignored. Texts are treated whole whatever their length. Windows of
+more than MOST_SIZE words raise an error.
 """
 
 from __future__ import annotations
@@ -29,15 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexstrata.llm.kernels import BASES, Prefix, Words, batches, blocks, mix, sliding_min, window_starts
-from lexstrata.llm.shared import only, partitions, stored
-from lexstrata.llm.superwindows import FOUND_DDL, NO_ID, SENT_DDL, flat_lists, keyed, resolver, send, superwindows, with_lists
+from lexstrata.llm.shared import only, stored
+from lexstrata.llm.superwindows import ASKED, FOUND_DDL, KNOWN, NO_ID, SENT_DDL, dealt, flat_lists, keyed, resolver, send, superwindows, with_lists
 
-PLACE_BITS = 28
+PLACE_BITS, LENGTH_BITS, NAME_BITS = 28, 6, 26
+MOST_SIZE = 1 << LENGTH_BITS
 
 
 def rounds_for(size: int) -> int:
-    """Rounds of runs and pairs: as many as leave several interior symbols to a window."""
-    return 1 if size < 16 else 2 if size < 48 else 3
+    """Rounds of runs and pairs: as many as leave most windows an interior symbol of the last."""
+    return 2 if size < 24 else 3
 
 
 def symbols(name: np.ndarray, row: np.ndarray, rounds: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -89,6 +95,8 @@ def symbols(name: np.ndarray, row: np.ndarray, rounds: int) -> list[tuple[int, n
 
 def finder(size: int):
     """Superwindows of a block of texts, for windows of `size` words."""
+    if not 1 <= size <= MOST_SIZE:
+        raise ValueError(f"a window has 1 to {MOST_SIZE} words")
     rounds = rounds_for(size)
 
     def find(data: np.ndarray, offs: np.ndarray):
@@ -97,38 +105,49 @@ def finder(size: int):
         if not len(starts):
             return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
         name, word_row, n = words.hashes(), words.rows(), len(words)
+        top = np.iinfo(np.uint64).max
         by_length: dict[int, np.ndarray] = {}
+        found = []
         for level, names, low, high in symbols(name, word_row, rounds):
             ok = (low >= 0) & (high <= n) & (high - low <= size)
             ok[ok] = word_row[low[ok]] == word_row[high[ok] - 1]
             low, high, names = low[ok], high[ok], names[ok]
-            rank = (np.uint64(2 * rounds - level) << np.uint64(60)) | (names >> np.uint64(36) << np.uint64(32)) | (low.astype(np.uint64) << np.uint64(4))
+            found.append((level, names, low, high))
+            rank = (np.uint64(2 * rounds - level) << np.uint64(60)) | (names >> np.uint64(64 - NAME_BITS) << np.uint64(PLACE_BITS + LENGTH_BITS)) | (low.astype(np.uint64) << np.uint64(LENGTH_BITS))
             for length in np.unique(high - low).tolist():
-                k = by_length.setdefault(length, np.full(n, np.iinfo(np.uint64).max, np.uint64))
+                k = by_length.setdefault(length, np.full(n, top, np.uint64))
                 at = (high - low) == length
-                k[low[at]] = np.minimum(k[low[at]], rank[at] | np.uint64(length - 1))
-        best = np.full(n - size + 1, np.iinfo(np.uint64).max, np.uint64)
+                np.minimum.at(k, low[at], rank[at] | np.uint64(length - 1))
+        best = np.full(n - size + 1, top, np.uint64)
         for length, k in by_length.items():
             np.minimum(best, sliding_min(k, size - length + 1)[: n - size + 1], out=best)
-        return cut(best[starts], starts, row, words.first, size, Prefix(name), np.uint64(4), PLACE_BITS)
+        # the chosen symbols' own names, of all with their level and extent the one with the key's bits
+        names_at, keys_at = (np.concatenate(x) for x in zip(*((names, (np.uint64(2 * rounds - level) << np.uint64(60)) | (names >> np.uint64(64 - NAME_BITS) << np.uint64(PLACE_BITS + LENGTH_BITS)) | (low.astype(np.uint64) << np.uint64(LENGTH_BITS)) | (high - low - 1).astype(np.uint64)) for level, names, low, high in found), strict=True))
+        order = np.argsort(keys_at, kind="stable")
+        keys_at, names_at = keys_at[order], names_at[order]
+
+        def named(key: np.ndarray) -> np.ndarray:
+            return names_at[np.searchsorted(keys_at, key)]
+
+        return cut(best[starts], starts, row, words.first, size, Prefix(words.hashes(which=1), BASES[1]), LENGTH_BITS, PLACE_BITS, named)
 
     return find
 
 
-def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits, place_bits: int, length: int | None = None, ahead: int = 0):
-    """Superwindows from each window's chosen key (rank, place, length - 1; or a fixed length). ahead: elements after its own that a value of `prefix` stands for."""
+def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits: int, place_bits: int, named, ahead: int = 0):
+    """Superwindows from each window's chosen key (rank, place, low_bits more); named gives the names of keys.
+
+    prefix: of what contents are made of; ahead: elements after its own that a value of it stands for.
+    """
     new = np.ones(len(starts), bool)
     new[1:] = (best[1:] != best[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(starts)))
     key = best[at]
-    low = ((key >> low_bits) & np.uint64((1 << place_bits) - 1)).astype(np.int64)
-    if length is None:
-        length = (key & np.uint64((1 << int(low_bits)) - 1)).astype(np.int64) + 1
+    low = ((key >> np.uint64(low_bits)) & np.uint64((1 << place_bits) - 1)).astype(np.int64)
     begin = starts[at]
-    name = prefix.of(low, low + length - ahead)
     content = mix(prefix.of(begin, begin + count + size - 1 - ahead) + (low - begin).astype(np.uint64))
-    return name, content, row[at], begin - first[row[at]], count
+    return named(key), content, row[at], begin - first[row[at]], count
 
 
 def window_sender(size: int):
@@ -151,12 +170,11 @@ def window_sender(size: int):
 
 def repeats(docs: DataFrame, size: int) -> DataFrame:
     """doc, rid, start, end: windows of keyed documents that also start in a smaller doc_id."""
-    found = superwindows(docs, finder(size), True)
-    asked = with_lists(docs.select("doc", "rid", "text"), found.where("contested"), "start", "end", how="inner")
+    found = superwindows(docs, finder(size), True, True)
+    asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner")
     single = asked.select("doc", "rid", "text", "list").mapInArrow(window_sender(size), SENT_DDL)
-    dealt = single.repartition(partitions(docs.sparkSession), "name", "content")
-    second = stored(dealt.mapInArrow(resolver(True, False), FOUND_DDL), "windows")
-    return found.where("NOT contested").unionByName(second).select("doc", "rid", "start", "end")
+    second = stored(dealt(single, "name").mapInArrow(resolver(True, True), FOUND_DDL), "windows")
+    return found.unionByName(second).where(f"kind = {KNOWN}").select("doc", "rid", "start", "end")
 
 
 def removed_words(words: Words, row: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:

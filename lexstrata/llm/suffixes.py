@@ -3,14 +3,15 @@
 A byte is removed if a string of `size` bytes that covers it also starts earlier (in a smaller
 doc_id, or earlier in the same document); strings are judged on the input.
 
-Strings are dealt to shards by an anchor they choose themselves: of the `GRAM`-byte grams inside,
-the one with the smallest hash (of equals the first). Whole superwindows (see `superwindows`)
-that repeat are settled by their hash; where an anchor has several contents, those go to shards as
-short byte slices. A shard concatenates its slices, builds a suffix array by Larsson-Sadakane
-refinement in numpy, finds common prefixes (as far as `size`) by Kasai's method, and reads off
-classes of equal strings. An anchor with
-more slices than one shard should hold is split over several; each such shard then sends
-its classes, one row for a class, and the shards' sorted lists are merged by binary search.
+1. Strings choose an anchor inside themselves: of the `GRAM`-byte grams, the one with the smallest hash (of
+   equals the first). Stretches of strings with one anchor (see `superwindows`) whose anchor stands
+   nowhere else can't repeat; all others go, as short byte slices, to the shard of their anchor. Within a
+   task equal stretches are compared byte by byte before anything is sent, and one goes for all.
+2. A shard drops slices that equal one of an earlier place, byte by byte, concatenates the
+   others, builds a suffix array by Larsson-Sadakane refinement in numpy, finds common prefixes (as far
+   as `size`) by Kasai's method, and reads off classes of equal strings.
+3. An anchor with more slices than one shard should hold is split over several; each such shard then sends
+   its classes, one row for a class, and the shards' sorted lists are merged by binary search.
 
 Nulls: a null text is empty; a null doc_id counts as greater than all others. Rows with one
 doc_id count as one document, and equal places in them remove nothing from each other; each row
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexstrata.llm.kernels import BASES, SEEDS, Prefix, batches, blocks, eights, mix, sliding_min, span_hashes, strings, window_starts
-from lexstrata.llm.shared import only, partitions, stored
+from lexstrata.llm.kernels import SEEDS, Prefix, batches, blocks, eights, equal_spans, mix, sliding_min, span_hashes, strings, window_starts
+from lexstrata.llm.shared import joined_by_key, only, partitions, stored
 from lexstrata.llm.substrings import cut
-from lexstrata.llm.superwindows import FOUND, FOUND_DDL, changes, flat_lists, keyed, later, merged, superwindows, with_lists
+from lexstrata.llm.superwindows import ASKED, ASKED_CROWDED, FOUND, FOUND_DDL, KNOWN, changes, firsts, flat_lists, keyed, later, merged, superwindows, with_lists
 
 GRAM = 32
 SHARD_BYTES = 2 << 20
@@ -38,7 +39,7 @@ SPLIT_SLICES = 20_000
 
 
 def finder(size: int):
-    """Superwindows of a block of texts, for strings of `size` bytes."""
+    """Superwindows of a block of texts, for strings of `size` bytes (8 at least)."""
     gram = min(GRAM, size)
 
     def find(data: np.ndarray, offs: np.ndarray):
@@ -51,12 +52,25 @@ def finder(size: int):
         keys = (hashes >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
         best = sliding_min(keys, size - gram + 1)[starts]
         del at, hashes, keys
-        name, content, row, start, count = cut(best, starts, row, offs, size, prefix, np.uint64(0), 32, gram, 7)
-        return name, content, row, start, count
+
+        def named(key: np.ndarray) -> np.ndarray:
+            low = (key & np.uint64((1 << 32) - 1)).astype(np.int64)
+            return prefix.of(low, low + gram - 7)
+
+        return cut(best, starts, row, offs, size, prefix, 0, 32, named, 7)
 
     return find
 
 
+def same_strings(size: int):
+    """Whether stretches of `count` strings at two places are equal byte by byte."""
+
+    def same(data: np.ndarray, place: np.ndarray, other: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return equal_spans(data, place, data, other, count + size - 1)
+
+    return same
+
+
 def suffix_array(codes: np.ndarray) -> np.ndarray:
     """Places of the suffixes in sorted order.
 
@@ -131,20 +145,23 @@ SLICES_DDL = "shard long, split boolean, doc long, rid int, start long, bytes bi
 
 
 def slicer(size: int):
-    """mapInArrow function over (doc, rid, text, list): the contested slices, by shard."""
+    """mapInArrow function over (doc, rid, text, list): the slices asked about, by shard."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             docs, rids = (np.asarray(part.column(i)) for i in (0, 1))
             for lo, hi, data, offs in blocks(part.column(2)):
-                row, shard, parts_, start, end = flat_lists(part.column(3).slice(lo, hi - lo), "name", "parts", "start", "end")
+                row, shard, parts_, split, start, end = flat_lists(part.column(3).slice(lo, hi - lo), "name", "parts", "split", "start", "end")
                 low = offs[row] + start
                 length = end - start + size - 1
-                sums = np.concatenate([[0], np.cumsum(length)])
-                flat = data[np.repeat(low - sums[:-1], length) + np.arange(sums[-1])]
-                salt = (docs[lo:hi][row] % np.maximum(parts_, 1)).astype(np.int64)
-                cells = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(sums.astype(np.int32)), pa.py_buffer(flat)])
-                yield from batches(SLICES, [shard ^ (salt * np.int64(0x9E3779B97F4A7)), parts_ > 1, docs[lo:hi][row], rids[lo:hi][row], start, cells], 20_000)
+                salt = mix(docs[lo:hi][row].view(np.uint64) + (rids[lo:hi][row].astype(np.int64).view(np.uint64) << np.uint64(32))) % np.maximum(parts_, 1).astype(np.uint64)
+                shard = shard.view(np.uint64) ^ (salt * np.uint64(0x9E3779B97F4A7C15))
+                for a in range(0, len(row), 20_000):
+                    own = slice(a, a + 20_000)
+                    sums = np.concatenate([[0], np.cumsum(length[own])])
+                    flat = data[np.repeat(low[own] - sums[:-1], length[own]) + np.arange(sums[-1])]
+                    cells = pa.BinaryArray.from_buffers(pa.binary(), len(sums) - 1, [None, pa.py_buffer(sums.astype(np.int32)), pa.py_buffer(flat)])
+                    yield from batches(SLICES, [shard[own].view(np.int64), split[own] | (parts_[own] > 1), docs[lo:hi][row[own]], rids[lo:hi][row[own]], start[own], cells])
 
     return run
 
@@ -159,18 +176,31 @@ def sharder(size: int):
 
     def solve(cells, split, doc, rid, start):
         data, offs = strings(cells)
-        length = np.diff(offs)
         if not len(data):
             return
-        codes = np.zeros(len(data) + len(length), np.int32)  # each slice ends in a 0
-        at = offs[:-1] + np.arange(len(length))
-        place = np.repeat(at - offs[:-1], length) + np.arange(len(data))
-        codes[place] = data.astype(np.int32) + 1
+        length = np.diff(offs)
+        # slices that equal one of an earlier place are repeats; the others are sorted
+        hashes = span_hashes(data, offs[:-1], offs[1:])
+        by = np.lexsort((start, doc, length, hashes))
+        new = changes(hashes[by], length[by])
+        first = by[firsts(new)]
+        late = later(doc[by], start[by], new, False) & equal_spans(data, offs[by], data, offs[first], length[by])
+        gone = by[late]
+        if len(gone):
+            d, r, s, e = merged(doc[gone], rid[gone], start[gone], start[gone] + length[gone] - size + 1)
+            zero = np.zeros(len(d), np.int64)
+            yield from batches(CLASSES, [np.zeros(len(d), bool), zero, zero, d, r, s, e])
+        left = np.sort(by[~late])
+        split, doc, rid, start, low, length = split[left], doc[left], rid[left], start[left], offs[left], length[left]
+        if len(left) < 2 and not split.any():
+            return
+        at = np.cumsum(length + 1) - (length + 1)
+        codes = np.zeros(int((length + 1).sum()), np.int32)  # each slice ends in a 0
+        step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        codes[np.repeat(at, length) + step] = data[np.repeat(low, length) + step].astype(np.int32) + 1
         order = suffix_array(codes)
         prefix = common_prefixes(codes, order, size)
-        owner = np.zeros(len(codes), np.int64)
-        owner[at[1:]] = 1
-        owner = np.cumsum(owner)
+        owner = np.repeat(np.arange(len(left)), length + 1)
         room = length[owner] - (np.arange(len(codes)) - at[owner])
         whole = room[order] >= size  # suffixes with `size` bytes of their own slice
         cls = np.cumsum(prefix < size)[whole]
@@ -189,26 +219,32 @@ def sharder(size: int):
         if ask.any():
             p = own[ask]
             raw = np.maximum(codes - 1, 0).astype(np.uint8)
-            low, high = (span_hashes(raw, p, p + size, w).view(np.int64) for w in (0, 1))
-            yield from batches(CLASSES, [np.ones(len(p), bool), low, high, d[ask], r[ask], s[ask], s[ask] + 1])
+            one, two = (span_hashes(raw, p, p + size, w).view(np.int64) for w in (0, 1))
+            yield from batches(CLASSES, [np.ones(len(p), bool), one, two, d[ask], r[ask], s[ask], s[ask] + 1])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(parts), SLICES)
-        if not table.num_rows:
-            return
-        table = table.take(np.argsort(np.asarray(table["shard"]), kind="stable"))
-        shard = np.asarray(table["shard"])
-        size_of = np.asarray(pa.compute.binary_length(table["bytes"]))
-        first = np.flatnonzero(changes(shard))
-        filled = np.cumsum(size_of) - size_of
-        lo = 0
-        while lo < len(first):  # neighbouring small shards share one suffix array
-            hi = max(lo + 1, int(np.searchsorted(filled[first], filled[first[lo]] + SHARD_BYTES, "left")))
-            some = table.slice(first[lo], (first[hi] if hi < len(first) else len(shard)) - first[lo])
-            yield from solve(some["bytes"], *(np.asarray(some[c]) for c in ("split", "doc", "rid", "start")))
-            lo = hi
-
-    import pyarrow.compute  # noqa: F401
+        """Slices sorted by shard; neighbouring small shards share one suffix array."""
+        held, size_held, last = [], 0, None
+        for part in parts:
+            shard, bytes_ = np.asarray(part.column(0)), np.diff(strings(part.column(5))[1])
+            new = changes(shard)
+            new[:1] = len(shard) > 0 and shard[0] != last
+            lo, filled = 0, np.cumsum(bytes_)
+            for k in np.flatnonzero(new).tolist():
+                before = size_held + int(filled[k - 1] if k else 0) - int(filled[lo - 1] if lo else 0)
+                if before >= SHARD_BYTES:
+                    held.append(part.slice(lo, k - lo))
+                    yield from solved(held)
+                    held, size_held, lo = [], 0, k
+            held.append(part.slice(lo))
+            size_held += int(bytes_[lo:].sum())
+            last = shard[-1] if len(shard) else last
+        if held:
+            yield from solved(held)
+
+    def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield from solve(table["bytes"], *(np.asarray(table[c]) for c in ("split", "doc", "rid", "start")))
 
     return run
 
@@ -248,22 +284,24 @@ def merger(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     x = rows[late]
     if len(x):
         d, r, s, e = merged(x["doc"].copy(), x["rid"].copy(), x["start"].copy(), x["start"] + 1)
-        yield from batches(FOUND, [np.zeros(len(d), bool), np.zeros(len(d), np.int64), d, r, s, e])
+        yield from batches(FOUND, [np.full(len(d), KNOWN, np.int8), np.zeros(len(d), np.int64), d, r, s, e])
 
 
 def repeats(docs: DataFrame, size: int) -> DataFrame:
     """doc, rid, start, end: strings of keyed documents that start earlier elsewhere."""
+    if size < 8:
+        raise ValueError("a string has 8 bytes at least")
     n = partitions(docs.sparkSession)
-    found = superwindows(docs, finder(size), False)
-    contested = found.where("contested")
-    wide = contested.groupBy("name").agg(F.ceil(F.count("*") / F.lit(SPLIT_SLICES)).alias("parts")).where("parts > 1")
-    named = contested.join(wide, "name", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    asked = with_lists(docs.select("doc", "rid", "text"), named, "name", "parts", "start", "end", how="inner")
-    slices = asked.select("doc", "rid", "text", "list").mapInArrow(slicer(size), SLICES_DDL)
-    classes = stored(slices.repartition(n, "shard").mapInArrow(sharder(size), CLASSES_DDL), "classes")
+    found = superwindows(docs, finder(size), False, False, same_strings(size))
+    asked = found.where(f"kind >= {ASKED}").withColumn("split", F.col("kind") == ASKED_CROWDED)
+    wide = asked.groupBy("name").agg(F.ceil(F.count("*") / F.lit(SPLIT_SLICES)).cast("long").alias("parts")).where("parts > 1")
+    named = joined_by_key(asked, stored(wide, "wide"), "name").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    listed = with_lists(docs.select("doc", "rid", "text"), named, "name", "parts", "split", "start", "end", how="inner")
+    slices = listed.select("doc", "rid", "text", "list").mapInArrow(slicer(size), SLICES_DDL)
+    classes = stored(slices.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(sharder(size), CLASSES_DDL), "classes")
     across = classes.where("first").repartition(n, "low").mapInArrow(merger, FOUND_DDL)
     columns = ("doc", "rid", "start", "end")
-    return found.where("NOT contested").select(*columns).unionByName(classes.where("NOT first").select(*columns)).unionByName(across.select(*columns))
+    return found.where(f"kind = {KNOWN}").select(*columns).unionByName(classes.where("NOT first").select(*columns)).unionByName(across.select(*columns))
 
 
 def removed_bytes(offs: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:

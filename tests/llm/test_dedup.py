@@ -91,7 +91,25 @@ def test_bytes_over_split_shards(docs_of, corpus, monkeypatch):
     assert rows(suffixes.digests(docs_of(docs), 40)) == brute_bytes(docs, 40)
 
 
-@pytest.mark.parametrize("size", [13, 20])
+def test_crowded_anchors(docs_of, corpus, monkeypatch):
+    from lexstrata.llm import superwindows
+
+    monkeypatch.setattr(superwindows, "CROWD", 1)
+    monkeypatch.setattr(superwindows, "AT_ONCE", 50)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 500)
+    docs = list(enumerate(corpus)) + [(None, corpus[4]), (3, corpus[5]), (3, corpus[3]), (3, corpus[3])]
+    assert rows(suffixes.digests(docs_of(docs), 40)) == brute_bytes(docs, 40)
+    assert rows(substrings.digests(docs_of(docs), 13)) == brute_words(docs, 13)
+
+
+def test_sizes_out_of_range(docs_of):
+    with pytest.raises(ValueError):
+        substrings.digests(docs_of(["x"]), 65)
+    with pytest.raises(ValueError):
+        suffixes.digests(docs_of(["x"]), 7)
+
+
+@pytest.mark.parametrize("size", [13, 5, 40])
 def test_words(docs_of, corpus, size):
     docs = list(enumerate(corpus)) + [(None, corpus[4])]
     assert rows(substrings.digests(docs_of(docs), size)) == brute_words(docs, size)
