@@ -1,26 +1,30 @@
 """Operator 3: benchmark decontamination by latent semantic retrieval.
 
-1. Every text becomes a sequence of word features (hashes of lower-case words without ASCII
+1. Every text becomes a sequence of word features (bits of the hashes of lower-case words without ASCII
    punctuation), stored once.
 2. Document frequencies over all documents give IDF weights of at least LEAST_WEIGHT: no feature is
    left out, however many documents hold it.
 3. A randomised SVD of the TF-IDF matrix of all passages: each task adds up its part of
    A'(A R) for a random R, parts are summed by blocks of features, and the right singular
-   vectors come from the sum alone (Nystroem), whose size depends on the number of features only.
+   vectors and singular values come from the sum alone (Nystroem), whose size depends on the number of
+   features only. A feature's latent vector is its fold-in, its row of the singular vectors over the
+   singular values, at the length of its IDF weight.
 4. Passages (PASSAGE words, every STRIDE words) and windows of the benchmark's items are compared by
-   cosine in the latent space, all passages against all items.
-   Beside these candidates stand those of an exact count filter (`overlapping`): every stretch of
-   text that shares as many words with an item as a leak must, whatever weights the words have.
-5. A latent candidate must share features with the item's window; then the longest common subsequence of
-   the item and the text around the passage is taken. A leak has at least `share` of the item's
-   words in it, in a stretch of text not much longer than the item, and, unless nearly all of the item
-   is there, at least half of the item's last words (its answer).
+   cosine in the latent space. The items' windows stand in inverted lists around centroids (`Lists`); a
+   passage looks into those of the nearest third of the centroids. Beside these candidates stand those of an
+   exact count filter (`overlapping`): every stretch of text that shares as many words with an item as a
+   leak must, whatever weights the words have; no leak of the first kind below is missed by either.
+5. The longest common subsequence of the item and the text around the passage is taken over whole words
+   (64-bit hashes). A leak has at least `share` of the item's words in it, in a stretch of text not much
+   longer than the item, and, unless nearly all of the item is there, at least half of the item's last words
+   (its answer). A paraphrase, whose passage has a cosine of PARAPHRASE or more, needs PARAPHRASE_SHARE of
+   the words and two thirds of the answer. An item under LEAST_WORDS words leaks where all its words stand in a row.
 
 Items are a stated query set: they are read in blocks of MOST_ITEMS, each held against all rows.
 
-Nulls: null and empty texts leak nothing, null or empty items (under LEAST_WORDS words) match nothing,
-and a null doc_id or item_id is kept as null. Repeated rows of a doc_id give one row for each item. Empty
-tables give no rows; further columns are ignored. Texts are whole whatever their length.
+Nulls: null and empty texts leak nothing, null or empty items match nothing, and a null doc_id or item_id
+is kept as null. Repeated rows of a doc_id give one row for each item. Empty tables give no rows; further
+columns are ignored. Texts are whole whatever their length.
 """
 
 from __future__ import annotations
@@ -36,12 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexstrata.llm.kernels import LOWER, Words, batches, blocks, strings
-from lexstrata.llm.shared import only, partitions, stored
+from lexstrata.llm.shared import dropped, only, partitions, stored
 
 FEATURES, RANK = 1 << 14, 64
 PASSAGE, STRIDE = 16, 8
 LEAST_WEIGHT = 0.1
-COSINE = 0.5
+COSINE, PARAPHRASE, PARAPHRASE_SHARE = 0.5, 0.75, 0.45
 LEAST_WORDS = 8
 MOST_ITEMS = 5_000
 ROWS_AT_ONCE = 4096
@@ -51,10 +55,15 @@ LEAKS = pa.schema([("doc_id", pa.int64()), ("item", pa.int32()), ("lcs", pa.int3
 LEAKS_DDL = "doc_id long, item int, lcs int, start long, end long"
 
 
-def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """16-bit word features of all rows, and each row's first."""
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the folded words of all rows, and each row's first."""
     words = Words(FOLD[data], offs)
-    return (words.hashes() >> np.uint64(48)).astype(np.uint16), words.first
+    return words.hashes(), words.first
+
+
+def features(hashes: np.ndarray) -> np.ndarray:
+    """16-bit features of words."""
+    return (hashes >> np.uint64(48)).astype(np.uint16)
 
 
 def featured(docs: DataFrame) -> DataFrame:
@@ -63,7 +72,8 @@ def featured(docs: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for lo, hi, data, offs in blocks(part.column(1)):
-                f, first = features(data, offs)
+                h, first = word_hashes(data, offs)
+                f = features(h)
                 cells = pa.BinaryArray.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((2 * first).astype(np.int32)), pa.py_buffer(f)])
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(lo, hi - lo), cells], names=["doc_id", "words"])
 
@@ -125,8 +135,8 @@ def weights(df: np.ndarray, docs: int) -> np.ndarray:
 
 
 def latent_base(words: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """A latent vector for each feature: its row of the right singular vectors of the TF-IDF matrix
-    of all passages, scaled to its IDF weight (else the singular values drown rare words)."""
+    """A latent vector for each feature: its fold-in (row of the right singular vectors of the TF-IDF matrix
+    of all passages, over the singular values), scaled to its IDF weight."""
     omega = np.random.default_rng(seed).standard_normal((FEATURES, rank)).astype(np.float32)
     weighted, useful = with_zero(omega * idf[:, None]), np.append(idf > 0, False)
     group = 256
@@ -170,14 +180,50 @@ def latent_base(words: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     core = (core + core.T) / 2
     shift = 1e-6 * max(1e-12, np.trace(core) / rank)
     low = np.linalg.cholesky(core + (shift + max(0.0, -np.linalg.eigvalsh(core).min() * 1.01)) * np.eye(rank))
-    u, _, _ = np.linalg.svd(np.linalg.solve(low, y.T).T, full_matrices=False)
-    return (unit(u) * idf[:, None]).astype(np.float32)
+    u, values, _ = np.linalg.svd(np.linalg.solve(low, y.T).T, full_matrices=False)
+    return (unit(u / np.maximum(values, 1e-3 * max(values[0], 1e-9))) * idf[:, None]).astype(np.float32)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+class Lists:
+    """Vectors of unit length in inverted lists around centroids."""
+
+    def __init__(self, vectors: np.ndarray, seed: int = 3, rounds: int = 8):
+        n = len(vectors)
+        k = max(1, int(np.sqrt(n))) if n > 64 else 1
+        self.centroids = vectors[np.random.default_rng(seed).choice(n, k, replace=False)] if n else vectors
+        for _ in range(rounds if k > 1 else 0):
+            own = (vectors @ self.centroids.T).argmax(1)
+            sums = np.zeros_like(self.centroids)
+            np.add.at(sums, own, vectors)
+            held = np.linalg.norm(sums, axis=1) > 1e-6
+            self.centroids = np.where(held[:, None], unit(sums), self.centroids).astype(np.float32)
+        own = (vectors @ self.centroids.T).argmax(1) if n else np.zeros(0, np.int64)
+        self.members = [np.flatnonzero(own == c) for c in range(len(self.centroids))]
+        self.vectors = [np.ascontiguousarray(vectors[m].T) for m in self.members]
+        self.probes = max(1, -(-k // 3)) if k > 3 else k
+
+    def near(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, vector and cosine of pairs over `least`."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+        k = len(self.centroids)
+        if self.probes < k:
+            likeness = queries @ self.centroids.T
+            looks = np.zeros(likeness.shape, bool)
+            np.put_along_axis(looks, np.argpartition(-likeness, self.probes - 1, axis=1)[:, : self.probes], True, axis=1)
+        for c in range(k):
+            q = np.flatnonzero(looks[:, c]) if self.probes < k else np.arange(len(queries))
+            likeness = queries[q] @ self.vectors[c]
+            hit = np.flatnonzero(likeness.ravel() > least)
+            if len(hit):
+                m = len(self.members[c])
+                out.append((q[hit // m], self.members[c][hit % m], likeness.ravel()[hit]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def item_windows(items: list[np.ndarray], base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Latent vectors of the items' windows, each one's item and place, and its features."""
     vectors, owner, place, own = [], [], [], []
@@ -213,8 +259,8 @@ def lcs_bits(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def fewest(n: int, share: float) -> float:
-    """Words of an item of n that a leak has at least."""
-    return max(LEAST_WORDS - 1, share * n)
+    """Words of an item of n that a leak, other than a paraphrase, has at least."""
+    return n if n < LEAST_WORDS else max(LEAST_WORDS - 1, share * n)
 
 
 def slack(n: int) -> int:
@@ -222,15 +268,21 @@ def slack(n: int) -> int:
     return STRIDE + n // 8
 
 
-def leaked(item: np.ndarray, text: np.ndarray, share: float) -> int:
+def in_a_row(item: np.ndarray, text: np.ndarray) -> bool:
+    n = len(item)
+    return n <= len(text) and bool((np.lib.stride_tricks.sliding_window_view(text, n) == item).all(1).any())
+
+
+def leaked(item: np.ndarray, text: np.ndarray, share: float, cosine: float = 0.0) -> int:
     """The common subsequence's length if the text (a stretch of little more than the item) leaks it, or 0."""
-    n = lcs(item, text)
-    if n < fewest(len(item), share):
-        return 0
-    tail = max(3, len(item) // 5)
-    if n < 0.85 * len(item) and 2 * lcs(item[-tail:], text) < tail:
-        return 0
-    return n
+    if len(item) < LEAST_WORDS:
+        return len(item) if in_a_row(item, text) else 0
+    n, tail = lcs(item, text), max(3, len(item) // 5)
+    if n >= fewest(len(item), share):
+        return n if n >= 0.85 * len(item) or 2 * lcs(item[-tail:], text) >= tail else 0
+    if cosine >= PARAPHRASE and n >= max(LEAST_WORDS - 1, PARAPHRASE_SHARE * len(item)):
+        return n if 3 * lcs(item[-tail:], text) >= 2 * tail else 0
+    return 0
 
 
 @dataclass
@@ -328,23 +380,21 @@ def overlapping(f: np.ndarray, first: np.ndarray, index: list[Rarest], items: li
                 within[item] = False
 
 
-def searcher(items: list[np.ndarray], base: np.ndarray, idf: np.ndarray, share: float):
-    """mapInArrow function over (doc_id, words): leaks of each document."""
+def searcher(hashes: list[np.ndarray], base: np.ndarray, idf: np.ndarray, share: float):
+    """mapInArrow function over (doc_id, text): leaks of each document."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = [features(x) for x in hashes]
         vectors, owner, place, own = item_windows(items, base)
         wide = np.full((len(own), PASSAGE), 1 << 20, np.int64)
         for k, w in enumerate(own):
             wide[k, : len(w)] = w
         heavy, padded = base.any(1), with_zero(base)
-        strong = [int(heavy[np.unique(w) % FEATURES].sum()) for w in own]
-        need = np.maximum(2, np.ceil(0.4 * np.array(strong)))
-        across = np.ascontiguousarray(vectors.T)
-        index = rarest(items, idf, share)
-        for part in parts:
-            f, first = rows_of(part.column(1))
-            if not len(f):
-                continue
+        need = np.maximum(2, np.ceil(0.2 * np.array([int(heavy[np.unique(w) % FEATURES].sum()) for w in own])))
+        lists, index = Lists(vectors), rarest(items, idf, share)
+
+        def latent(f: np.ndarray, first: np.ndarray) -> dict[tuple[int, int, int], float]:
+            """Row, item and place of passages near an item's window, and their cosine."""
             halves, half_row, half_start = pieces_of(f, first, STRIDE)
             # a passage is a half and the next one of its row; a row's last half alone is one only if it is its first
             n_halves = -(-np.diff(first) // STRIDE)
@@ -353,7 +403,7 @@ def searcher(items: list[np.ndarray], base: np.ndarray, idf: np.ndarray, share:
             together[last[n_halves > 1]] = False
             lone = np.zeros(len(halves), bool)
             lone[last[n_halves == 1]] = True
-            hits = []
+            found: dict[tuple[int, int, int], float] = {}
             for at in range(0, len(halves), ROWS_AT_ONCE):
                 end = min(at + ROWS_AT_ONCE, len(halves))
                 values = padded[halves[at : end + 1]].sum(1)
@@ -362,31 +412,36 @@ def searcher(items: list[np.ndarray], base: np.ndarray, idf: np.ndarray, share:
                 sums = values[own_rows] + np.where(lone[at + own_rows], 0, 1).astype(np.float32)[:, None] * values[own_rows + 1]
                 row, s = half_row[at + own_rows], half_start[at + own_rows]
                 e = np.minimum(s + PASSAGE, first[row + 1])
-                likeness = unit(sums) @ across
-                found = np.flatnonzero(likeness.ravel() > COSINE)
-                if len(found):
-                    p, w = found // len(own), found % len(own)
+                p, w, cosine = lists.near(unit(sums), COSINE)
+                if len(p):
                     cell = s[p][:, None] + np.arange(PASSAGE)
                     text = np.where(cell < e[p][:, None], f[np.minimum(cell, len(f) - 1)], -1)
                     both = (wide[w][:, :, None] == text[:, None, :]).any(2)
                     both &= heavy[wide[w] % FEATURES]
                     ok = both.sum(1) >= need[w]
-                    hits.append((row[p[ok]], w[ok], s[p[ok]]))
-            r, w, s = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else np.zeros((3, 0), np.int64)
-            latent = zip(r.tolist(), owner[w].tolist(), (s - place[w]).tolist(), strict=True)
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for r_, k, p in dict.fromkeys(chain(latent, overlapping(f, first, index, items, share))):
-                item = items[k]
-                side = slack(len(item))
-                a = max(first[r_], p - side)
-                b = min(first[r_ + 1], p + len(item) + side)
-                n = leaked(item, f[a:b], share)
-                key = r_, k
-                if n > best.get(key, (0, 0, 0))[0]:
-                    best[key] = n, int(a - first[r_]), int(b - first[r_])
-            if best:
-                rows = pa.array([k[0] for k in best])
-                yield from batches(LEAKS, [part.column(0).take(rows), [k[1] for k in best], [v[0] for v in best.values()], [v[1] for v in best.values()], [v[2] for v in best.values()]])
+                    p, w, cosine = p[ok], w[ok], cosine[ok]
+                    for key, c in zip(zip(row[p].tolist(), owner[w].tolist(), (s[p] - place[w]).tolist(), strict=True), cosine.tolist(), strict=True):
+                        found[key] = max(c, found.get(key, 0.0))
+            return found
+
+        for part in parts:
+            for lo, hi, data, offs in blocks(part.column(1)):
+                h, first = word_hashes(data, offs)
+                if not len(h):
+                    continue
+                f = features(h)
+                near = latent(f, first)
+                best: dict[tuple[int, int], tuple[int, int, int]] = {}
+                for r, k, p in dict.fromkeys(chain(near, overlapping(f, first, index, items, share))):
+                    n_words = len(hashes[k])
+                    a = max(first[r], p - slack(n_words))
+                    b = min(first[r + 1], p + n_words + slack(n_words))
+                    n = leaked(hashes[k], h[a:b], share, near.get((r, k, p), 0.0))
+                    if n > best.get((r, k), (0, 0, 0))[0]:
+                        best[r, k] = n, int(a - first[r]), int(b - first[r])
+                if best:
+                    rows = pa.array([lo + k[0] for k in best])
+                    yield from batches(LEAKS, [part.column(0).take(rows), [k[1] for k in best], [v[0] for v in best.values()], [v[1] for v in best.values()], [v[2] for v in best.values()]])
 
     return run
 
@@ -398,7 +453,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.6) -> DataFram
     df, n = frequencies(words)
     idf = weights(df, n)
     base = latent_base(words, idf)
-    out, block = [], []
+    dropped(words)
+    texts, out, block = only(docs, "doc_id", "text"), [], []
 
     def search(block: list) -> DataFrame:
         items = [x for _, x in block]
@@ -407,15 +463,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.6) -> DataFram
         def run(parts):
             yield from searcher(*shared.value, share)(parts)
 
-        found = words.mapInArrow(run, LEAKS_DDL)
+        found = texts.mapInArrow(run, LEAKS_DDL)
         names = spark.createDataFrame([(k, i, len(x)) for k, (i, x) in enumerate(block)], "item int, item_id long, item_words int")
         return stored(found.join(names, "item").select("doc_id", "item_id", "lcs", "item_words", "start", "end"), "leaks")
 
     for r in only(benchmark, "item_id", "text").where("text IS NOT NULL").toLocalIterator():
         raw = np.frombuffer(r.text.encode(), np.uint8)
-        f, _ = features(raw, np.array([0, len(raw)]))
-        if len(f) >= LEAST_WORDS:
-            block.append((r.item_id, f))
+        h, _ = word_hashes(raw, np.array([0, len(raw)]))
+        if len(h):
+            block.append((r.item_id, h))
         if len(block) == MOST_ITEMS:
             out.append(search(block))
             block = []

@@ -93,6 +93,41 @@ def test_leaks_of_common_items(spark, docs_of, words):
     assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs_of(texts), bench).collect()} == {(k, k) for k in range(4)}
 
 
+def test_leaks_of_short_items_and_paraphrases(spark, docs_of, words):
+    item = words(40)
+    half = [w if k % 2 or k > 31 else words(1)[0] for k, w in enumerate(item)]  # 24 of 40 words stay, the answer whole
+    texts = [" ".join(words(90)) for _ in range(40)]
+    texts[3] = " ".join(words(30) + ["quark", "Lepton,", "boson"] + words(30))
+    texts[4] = " ".join(words(30) + ["quark", "boson", "lepton"] + words(30))
+    texts[5] = " ".join(words(30) + half + words(30))
+    bench = spark.createDataFrame([(1, "quark lepton boson"), (2, " ".join(item))], "item_id long, text string")
+    docs = docs_of(texts).withColumnRenamed("source", "leaking").withColumnRenamed("lang", "item").withColumnRenamed("n_chars", "words")
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs, bench).collect()} == {(3, 1), (5, 2)}
+    left = leaks.decontaminated(docs, bench)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(40)) - {3, 5}
+    import numpy as np
+
+    a, b = np.arange(40, dtype=np.uint64), np.arange(40, dtype=np.uint64)
+    b[np.arange(0, 32, 2)] += 100
+    b[[1, 3]] += 100  # 22 of 40 are left: only a near passage makes it a leak
+    assert leaks.leaked(a, b, 0.6) == 0 and leaks.leaked(a, b, 0.6, leaks.PARAPHRASE) == 22
+    b[-4:] += 100
+    assert leaks.leaked(a, b, 0.6, leaks.PARAPHRASE) == 0
+
+
+def test_lists_find_near_vectors():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = leaks.unit(rng.standard_normal((900, 64)).astype(np.float32))
+    q = leaks.unit(np.concatenate([x[:300] + 0.08 * rng.standard_normal((300, 64)), rng.standard_normal((300, 64))]).astype(np.float32))
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(q @ x.T > leaks.COSINE))}
+    a, b, c = leaks.Lists(x).near(q, leaks.COSINE)
+    got = set(zip(a.tolist(), b.tolist()))
+    assert got <= want and len(got) >= 0.9 * len(want) > 200 and np.allclose(c, (q[a] * x[b]).sum(1), atol=1e-5)
+    assert [len(z) for z in leaks.Lists(x[:0]).near(q, 0.5)] == [0, 0, 0]
+
+
 def test_leaks_recall_against_brute_force(spark, docs_of, words):
     import numpy as np
 
@@ -102,7 +137,7 @@ def test_leaks_recall_against_brute_force(spark, docs_of, words):
     for k in range(360):  # a third verbatim, a third with 20%, a third with 38% of the words substituted
         changed = [rng.choice(words(1)) if rng.random() < (0, 0.2, 0.38)[k % 3] else w for w in items[k // 6]]
         texts.append(" ".join(words(rng.randint(0, 80)) + changed + words(rng.randint(0, 80))))
-    seq = lambda t: leaks.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+    seq = lambda t: leaks.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
     want = set()
     for k, t in enumerate(texts):
         f, item = seq(t), seq(" ".join(items[k // 6]))
