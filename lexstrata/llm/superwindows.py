@@ -128,7 +128,8 @@ def send(name, content, doc, rid, start, count, by_document: bool, check: Callab
             late &= check(some, some[firsts(new)])
         drop[some[late]] = True
     keep = np.flatnonzero(~drop)
-    own, inverse, n = np.unique(name[keep], return_inverse=True, return_counts=True)
+    own, inverse = np.unique(name[keep], return_inverse=True)
+    n = np.bincount(inverse[np.unique(key[keep], return_index=True)[1]], minlength=len(own))  # contents of each name
     crowd = n[inverse] > CROWD
     shown = np.where(crowd, mix(name[keep] + content[keep] * SPREAD), name[keep])
     yield from batches(SENT, [crowd.astype(np.int8), shown.view(np.int64), content[keep].view(np.int64), doc[keep], rid[keep], (start[keep] << COUNT_BITS) | count[keep]])

@@ -71,6 +71,7 @@ def corpus(words):
         texts.append(" ".join(w))
     texts += [texts[0], texts[3], texts[3] + " tail", "head " + texts[5], "ab " * 200, "ab " * 150, "x " * 14, "y" * 260, texts[2][:300] + texts[2]]
     texts += [" ".join(x) for t in TWINS for x in (texts[0].split()[:20] + [t] + texts[1].split()[:20],)]  # differ in one long word only
+    texts += ["v " * 300, "u v v " * 90 + texts[0], "v " * 200]
     return texts + EDGE_TEXTS
 
 
