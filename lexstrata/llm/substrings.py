@@ -12,8 +12,8 @@ place where the window stands.
 2. The first Spark round (`superwindows`) brings the symbols of one name together. A high symbol that
    stands only once ends there, and with it all windows around it. Where a name stands in several
    places, the stretches around it are compared by a second, independent hash: equal ones repeat as a whole.
-3. Stretches that share their high symbol but differ further out go to the second Spark round, where each
-   of their windows gets a symbol of its own, 128 bits wide, and equal ones meet.
+3. Stretches that share their high symbol and half a window beside it, but differ further out, go to the
+   second Spark round, where each of their windows gets a symbol of its own, 128 bits wide, and equal ones meet.
 
 A word is removed if a window that covers it also starts in a document with a smaller doc_id.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.llm.kernels import BASES, Prefix, Words, batches, blocks, mix, sliding_min, window_starts
 from lexstrata.llm.shared import only, stored
-from lexstrata.llm.superwindows import ASKED, FOUND_DDL, KNOWN, NO_ID, SENT_DDL, dealt, flat_lists, keyed, resolver, send, superwindows, with_lists
+from lexstrata.llm.superwindows import ASKED, FOUND_DDL, KNOWN, NO_ID, SENT_DDL, dealt, flat_lists, keyed, released, resolver, send, superwindows, with_lists
 
 PLACE_BITS, LENGTH_BITS, NAME_BITS = 28, 6, 26
 MOST_SIZE = 1 << LENGTH_BITS
@@ -103,7 +103,7 @@ def finder(size: int):
         words = Words(data, offs)
         starts, row = window_starts(words.first, size)
         if not len(starts):
-            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int32))
         name, word_row, n = words.hashes(), words.rows(), len(words)
         top = np.iinfo(np.uint64).max
         by_length: dict[int, np.ndarray] = {}
@@ -137,7 +137,8 @@ def finder(size: int):
 def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits: int, place_bits: int, named, ahead: int = 0):
     """Superwindows from each window's chosen key (rank, place, low_bits more); named gives the names of keys.
 
-    prefix: of what contents are made of; ahead: elements after its own that a value of it stands for.
+    low_bits hold the anchor's length less one (0 bits: no sides are given). prefix: of what contents are
+    made of; ahead: elements after its own that a value of it stands for.
     """
     new = np.ones(len(starts), bool)
     new[1:] = (best[1:] != best[:-1]) | (row[1:] != row[:-1])
@@ -147,7 +148,13 @@ def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray
     low = ((key >> np.uint64(low_bits)) & np.uint64((1 << place_bits) - 1)).astype(np.int64)
     begin = starts[at]
     content = mix(prefix.of(begin, begin + count + size - 1 - ahead) + (low - begin).astype(np.uint64))
-    return named(key), content, row[at], begin - first[row[at]], count
+    length = (key & np.uint64((1 << low_bits) - 1)).astype(np.int64) + 1
+    half = (size - length + 1) // 2
+    sides = np.zeros(len(at), np.int64)
+    for ok, a, shift in ((low - begin >= half, low - half, 16), (begin + count + size - 1 - low - length >= half, low + length, 0)):
+        ok = np.flatnonzero(ok & (low_bits > 0))
+        sides[ok] |= ((prefix.of(a[ok], (a + half)[ok]) >> np.uint64(48)).astype(np.int64) | 1) << shift
+    return named(key), content, row[at], begin - first[row[at]], count, sides.astype(np.uint32).view(np.int32)
 
 
 def window_sender(size: int):
@@ -163,7 +170,7 @@ def window_sender(size: int):
                 count = end - start
                 row, t = np.repeat(row, count), np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
                 at = words.first[row] + t
-                yield from send(a.of(at, at + size), b.of(at, at + size), docs[lo:hi][row], rids[lo:hi][row], t, np.ones(len(t), np.int64), True)
+                yield from send(a.of(at, at + size), b.of(at, at + size), docs[lo:hi][row], rids[lo:hi][row], t, np.ones(len(t), np.int64), np.zeros(len(t), np.int32), True)
 
     return run
 
@@ -174,6 +181,7 @@ def repeats(docs: DataFrame, size: int) -> DataFrame:
     asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner")
     single = asked.select("doc", "rid", "text", "list").mapInArrow(window_sender(size), SENT_DDL)
     second = stored(dealt(single, "name").mapInArrow(resolver(True, True), FOUND_DDL), "windows")
+    released(docs.sparkSession)
     return found.unionByName(second).where(f"kind = {KNOWN}").select("doc", "rid", "start", "end")
 
 

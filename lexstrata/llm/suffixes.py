@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lexstrata.llm.kernels import SEEDS, Prefix, batches, blocks, eights, equal_spans, mix, sliding_min, span_hashes, strings, window_starts
 from lexstrata.llm.shared import joined_by_key, only, partitions, stored
 from lexstrata.llm.substrings import cut
-from lexstrata.llm.superwindows import ASKED, ASKED_CROWDED, FOUND, FOUND_DDL, KNOWN, changes, firsts, flat_lists, keyed, later, merged, superwindows, with_lists
+from lexstrata.llm.superwindows import ASKED, ASKED_CROWDED, FOUND, FOUND_DDL, KNOWN, changes, firsts, flat_lists, keyed, later, merged, released, superwindows, with_lists
 
 GRAM = 32
 SHARD_BYTES = 2 << 20
@@ -45,7 +45,7 @@ def finder(size: int):
     def find(data: np.ndarray, offs: np.ndarray):
         starts, row = window_starts(offs, size)
         if not len(starts):
-            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int32))
         prefix = Prefix(mix(eights(data)[:-1] ^ np.uint64(SEEDS[0])))  # each stands for eight bytes
         at = np.arange(len(data) - gram + 1)
         hashes = prefix.of(at, at + gram - 7)
@@ -108,13 +108,14 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
         h *= 2
 
 
-def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int, lane: int = 256) -> np.ndarray:
+def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int, lane: int | None = None) -> np.ndarray:
     """Kasai: common prefix, up to `most`, of each sorted suffix with the one before it.
 
     Stretches of `lane` text places run side by side; going on by one place shortens the prefix
     by at most one, so each stretch compares little more than its own length.
     """
     n = len(codes)
+    lane = lane or min(256, max(64, n >> 13))
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     out = np.zeros(n, np.int64)
@@ -174,33 +175,38 @@ def sharder(size: int):
     """mapInArrow function over the slices of some shards: repeats, and for split anchors the
     first of each class with its 128-bit hash, for the merge."""
 
-    def solve(cells, split, doc, rid, start):
-        data, offs = strings(cells)
-        if not len(data):
-            return
+    def distinct(held: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], tuple]:
+        """CLASSES rows of slices that equal one of an earlier place; and the others: split, doc, rid, start, length, bytes."""
+        table = pa.Table.from_batches(held).combine_chunks()
+        split, doc, rid, start = (np.asarray(table[c]) for c in ("split", "doc", "rid", "start"))
+        data, offs = strings(table["bytes"])
         length = np.diff(offs)
-        # slices that equal one of an earlier place are repeats; the others are sorted
         hashes = span_hashes(data, offs[:-1], offs[1:])
         by = np.lexsort((start, doc, length, hashes))
         new = changes(hashes[by], length[by])
         first = by[firsts(new)]
         late = later(doc[by], start[by], new, False) & equal_spans(data, offs[by], data, offs[first], length[by])
-        gone = by[late]
+        gone, left = by[late], np.sort(by[~late])
+        out = []
         if len(gone):
             d, r, s, e = merged(doc[gone], rid[gone], start[gone], start[gone] + length[gone] - size + 1)
             zero = np.zeros(len(d), np.int64)
-            yield from batches(CLASSES, [np.zeros(len(d), bool), zero, zero, d, r, s, e])
-        left = np.sort(by[~late])
-        split, doc, rid, start, low, length = split[left], doc[left], rid[left], start[left], offs[left], length[left]
-        if len(left) < 2 and not split.any():
+            out = list(batches(CLASSES, [np.zeros(len(d), bool), zero, zero, d, r, s, e]))
+        n = length[left]
+        own = data[np.repeat(offs[left] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        return out, (split[left], doc[left], rid[left], start[left], n, own)
+
+    def solve(split, doc, rid, start, length, data) -> Iterator[pa.RecordBatch]:
+        if len(doc) < 2 and not split.any():
             return
+        low = np.cumsum(length) - length
         at = np.cumsum(length + 1) - (length + 1)
         codes = np.zeros(int((length + 1).sum()), np.int32)  # each slice ends in a 0
         step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
         codes[np.repeat(at, length) + step] = data[np.repeat(low, length) + step].astype(np.int32) + 1
         order = suffix_array(codes)
         prefix = common_prefixes(codes, order, size)
-        owner = np.repeat(np.arange(len(left)), length + 1)
+        owner = np.repeat(np.arange(len(length)), length + 1)
         room = length[owner] - (np.arange(len(codes)) - at[owner])
         whole = room[order] >= size  # suffixes with `size` bytes of their own slice
         cls = np.cumsum(prefix < size)[whole]
@@ -224,27 +230,32 @@ def sharder(size: int):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Slices sorted by shard; neighbouring small shards share one suffix array."""
-        held, size_held, last = [], 0, None
+        held, size_held, last, pending = [], 0, None, []
+
+        def flush(at_end: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size_held, pending
+            if held:
+                known, left = distinct(held)
+                yield from known
+                pending.append(left)
+                held, size_held = [], 0
+            if pending and (at_end or sum(len(p[5]) for p in pending) >= SHARD_BYTES):
+                yield from solve(*(np.concatenate(x) for x in zip(*pending, strict=True)))
+                pending = []
+
         for part in parts:
-            shard, bytes_ = np.asarray(part.column(0)), np.diff(strings(part.column(5))[1])
-            new = changes(shard)
+            shard, sums = np.asarray(part.column(0)), np.append(0, np.cumsum(np.diff(strings(part.column(5))[1])))
+            new, lo = changes(shard), 0
             new[:1] = len(shard) > 0 and shard[0] != last
-            lo, filled = 0, np.cumsum(bytes_)
             for k in np.flatnonzero(new).tolist():
-                before = size_held + int(filled[k - 1] if k else 0) - int(filled[lo - 1] if lo else 0)
-                if before >= SHARD_BYTES:
+                if size_held + int(sums[k] - sums[lo]) >= SHARD_BYTES:
                     held.append(part.slice(lo, k - lo))
-                    yield from solved(held)
-                    held, size_held, lo = [], 0, k
+                    yield from flush(False)
+                    lo = k
             held.append(part.slice(lo))
-            size_held += int(bytes_[lo:].sum())
+            size_held += int(sums[-1] - sums[lo])
             last = shard[-1] if len(shard) else last
-        if held:
-            yield from solved(held)
-
-    def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield from solve(table["bytes"], *(np.asarray(table[c]) for c in ("split", "doc", "rid", "start")))
+        yield from flush(True)
 
     return run
 
@@ -298,6 +309,7 @@ def repeats(docs: DataFrame, size: int) -> DataFrame:
     named = joined_by_key(asked, stored(wide, "wide"), "name").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     listed = with_lists(docs.select("doc", "rid", "text"), named, "name", "parts", "split", "start", "end", how="inner")
     slices = listed.select("doc", "rid", "text", "list").mapInArrow(slicer(size), SLICES_DDL)
+    released(docs.sparkSession)
     classes = stored(slices.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(sharder(size), CLASSES_DDL), "classes")
     across = classes.where("first").repartition(n, "low").mapInArrow(merger, FOUND_DDL)
     columns = ("doc", "rid", "start", "end")

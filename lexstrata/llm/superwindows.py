@@ -6,8 +6,9 @@ same anchor form a superwindow: (name of the anchor, hash of all it spans, place
 windows). Equal superwindows hold equal windows, and equal windows lie in superwindows of one
 name. So a window can repeat only if its superwindow's name does, and one shuffle of superwindows
 tells which to look at: those that share a name ("asked"). Where the names and contents of
-superwindows are sure enough (`settle`), equal ones are known as repeats at once, and only names with
-several contents are asked about.
+superwindows are sure enough (`settle`), equal ones are known as repeats at once, and of the others only
+those are asked about that share half a window of context, left or right of the anchor, with another
+content of their name: of two equal windows around one anchor one side is that long.
 
 Which occurrence is the first: `by_document` compares documents only (occurrences in the first
 document all stay); otherwise places count too. Before the shuffle each task keeps, of equal
@@ -23,6 +24,7 @@ so that rows with one doc_id but different texts stay apart; such rows count as
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,13 +37,13 @@ from lexstrata.llm.shared import partitions, stored
 
 NO_ID = 2**63 - 1
 PLAIN, CROWDED, MARKER, REPEAT = range(4)
-SENT = pa.schema([("kind", pa.int8()), ("name", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("rid", pa.int32()), ("at", pa.int64())])
-SENT_DDL = "kind byte, name long, content long, doc long, rid int, at long"
+SENT = pa.schema([("kind", pa.int8()), ("name", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("rid", pa.int32()), ("at", pa.int64()), ("sides", pa.int32())])
+SENT_DDL = "kind byte, name long, content long, doc long, rid int, at long, sides int"
 KNOWN, ASKED, ASKED_CROWDED = range(3)
 FOUND = pa.schema([("kind", pa.int8()), ("name", pa.int64()), ("doc", pa.int64()), ("rid", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
 FOUND_DDL = "kind byte, name long, doc long, rid int, start long, end long"
 COUNT_BITS = 16
-CROWD = 64
+CROWD = 256
 AT_ONCE = 1 << 19
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,7 +90,8 @@ def merged(doc: np.ndarray, rid: np.ndarray, start: np.ndarray, end: np.ndarray)
 def sender(find: Callable, by_document: bool, same: Callable | None = None) -> Callable:
     """mapInArrow function over (doc, rid, text): superwindows for the shuffle.
 
-    find(bytes, offsets) gives names, contents, row numbers, first windows, numbers of windows.
+    find(bytes, offsets) gives names, contents, row numbers, first windows, numbers of windows, sides (16 bits of a
+    hash of the context left and right of the anchor, 0 where there isn't half a window of it).
     same(bytes, places of superwindows, places of others, numbers of windows), if given, says which
     are equal indeed; places count in the batch's bytes.
     """
@@ -98,20 +101,20 @@ def sender(find: Callable, by_document: bool, same: Callable | None = None) -> C
             docs, rids = (np.asarray(part.column(i)) for i in (0, 1))
             held, raw, base = [], [], 0
             for lo, hi, data, offs in blocks(part.column(2)):
-                name, content, row, start, count = find(data, offs)
-                held.append((name, content, docs[lo:hi][row], rids[lo:hi][row], start, count, base + offs[row] + start))
+                name, content, row, start, count, sides = find(data, offs)
+                held.append((name, content, docs[lo:hi][row], rids[lo:hi][row], start, count, sides, base + offs[row] + start))
                 raw.append(data)
                 base += len(data)
             if held:
-                name, content, doc, rid, start, count, place = (np.concatenate(x) for x in zip(*held, strict=True))
+                name, content, doc, rid, start, count, sides, place = (np.concatenate(x) for x in zip(*held, strict=True))
                 whole = np.concatenate(raw) if same else None
                 check = (lambda i, j: same(whole, place[i], place[j], count[i])) if same else None  # noqa: B023
-                yield from send(name, content, doc, rid, start, count, by_document, check)
+                yield from send(name, content, doc, rid, start, count, sides, by_document, check)
 
     return run
 
 
-def send(name, content, doc, rid, start, count, by_document: bool, check: Callable | None = None) -> Iterator[pa.RecordBatch]:
+def send(name, content, doc, rid, start, count, sides, by_document: bool, check: Callable | None = None) -> Iterator[pa.RecordBatch]:
     """SENT rows of superwindows. check(i, j) says which of the places i are equal to those of j."""
     name, content = name.view(np.uint64), content.view(np.uint64)
     key = name ^ (content * SPREAD)
@@ -132,19 +135,19 @@ def send(name, content, doc, rid, start, count, by_document: bool, check: Callab
     n = np.bincount(inverse[np.unique(key[keep], return_index=True)[1]], minlength=len(own))  # contents of each name
     crowd = n[inverse] > CROWD
     shown = np.where(crowd, mix(name[keep] + content[keep] * SPREAD), name[keep])
-    yield from batches(SENT, [crowd.astype(np.int8), shown.view(np.int64), content[keep].view(np.int64), doc[keep], rid[keep], (start[keep] << COUNT_BITS) | count[keep]])
+    yield from batches(SENT, [crowd.astype(np.int8), shown.view(np.int64), content[keep].view(np.int64), doc[keep], rid[keep], (start[keep] << COUNT_BITS) | count[keep], sides[keep]])
     if crowd.any():
         marked = own[n > CROWD].view(np.int64)
         zero = np.zeros(len(marked), np.int64)
-        yield from batches(SENT, [np.full(len(marked), MARKER, np.int8), marked, zero, zero, zero.astype(np.int32), zero])
+        yield from batches(SENT, [np.full(len(marked), MARKER, np.int8), marked, zero, zero, zero.astype(np.int32), zero, zero.astype(np.int32)])
     if drop.any():
         d, r, s, e = merged(doc[drop], rid[drop], start[drop], (start + count)[drop])
-        yield from batches(SENT, [np.full(len(d), REPEAT, np.int8), d ^ (s << 20), e, d, r, s])
+        yield from batches(SENT, [np.full(len(d), REPEAT, np.int8), d ^ (s << 20), e, d, r, s, np.zeros(len(d), np.int32)])
 
 
 def resolve(rows: list[np.ndarray], by_document: bool, settle: bool) -> Iterator[pa.RecordBatch]:
     """FOUND rows of all SENT rows of some names."""
-    kind, name, content, doc, rid, at = rows
+    kind, name, content, doc, rid, at, sides = rows
     known = kind == REPEAT
     ends = [(doc[known], rid[known], at[known], content[known])]
     crowded = np.unique(name[(kind == MARKER) | (kind == CROWDED)])
@@ -156,7 +159,7 @@ def resolve(rows: list[np.ndarray], by_document: bool, settle: bool) -> Iterator
     own = own[shared]
     if len(own):
         own = own[np.lexsort((at[own], doc[own], content[own], name[own]))]
-        name, content, doc, rid, at = (x[own] for x in (name, content, doc, rid, at))
+        name, content, doc, rid, at, sides = (x[own] for x in (name, content, doc, rid, at, sides))
         start, count = at >> COUNT_BITS, at & ((1 << COUNT_BITS) - 1)
         crowd = np.isin(name, crowded)
         ask = np.ones(len(name), bool)
@@ -164,8 +167,13 @@ def resolve(rows: list[np.ndarray], by_document: bool, settle: bool) -> Iterator
             new = changes(name, content)
             late = later(doc, start, new, by_document)
             ends.append((doc[late], rid[late], start[late], (start + count)[late]))
-            group = np.cumsum(changes(name)) - 1
-            ask = ~late & (crowd | (np.bincount(group, new)[group] > 1))
+            one = np.flatnonzero(new)  # each content once
+            group = np.cumsum(changes(name[one])).astype(np.int64) << 16
+            near = np.zeros(len(one), bool)
+            for side in ((sides[one] >> 16) & 0xFFFF, sides[one] & 0xFFFF):
+                _, inverse, n = np.unique(group | side, return_inverse=True, return_counts=True)
+                near |= (n[inverse] > 1) & (side > 0)
+            ask = ~late & (crowd | near[np.cumsum(new) - 1])
         yield from batches(FOUND, [(ASKED + crowd[ask]).astype(np.int8), name[ask], doc[ask], rid[ask], start[ask], (start + count)[ask]])
     d, r, s, e = merged(*(np.concatenate(x) for x in zip(*ends, strict=True)))
     yield from batches(FOUND, [np.full(len(d), KNOWN, np.int8), np.zeros(len(d), np.int64), d, r, s, e])
@@ -197,10 +205,18 @@ def dealt(sent: DataFrame, *keys: str) -> DataFrame:
     return sent.repartition(partitions(sent.sparkSession), *keys).sortWithinPartitions("name")
 
 
+def released(spark) -> None:
+    """Lets Spark drop the shuffle files of plans that are done: it does when the driver's JVM collects their handles."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def superwindows(docs: DataFrame, find: Callable, by_document: bool, settle: bool, same: Callable | None = None) -> DataFrame:
     """FOUND rows of keyed documents, in windows' numbers."""
     sent = docs.select("doc", "rid", "text").mapInArrow(sender(find, by_document, same), SENT_DDL)
-    return stored(dealt(sent, "name").mapInArrow(resolver(by_document, settle), FOUND_DDL), "superwindows")
+    out = stored(dealt(sent, "name").mapInArrow(resolver(by_document, settle), FOUND_DDL), "superwindows")
+    released(docs.sparkSession)
+    return out
 
 
 def with_lists(docs: DataFrame, rows: DataFrame, *columns: str, how: str = "left") -> DataFrame:
