@@ -85,27 +85,34 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
         nxt[: n - h] = key[h:]
         key = key * np.uint64(wide**h) + nxt
         h *= 2
+    more = 0
+    while more < h and wide ** (h + more + 1) < 2**62:
+        more += 1
+    if more:  # a few symbols of what follows still fit
+        nxt = np.zeros(n, np.uint64)
+        nxt[: n - h] = key[h:] // np.uint64(wide ** (h - more))
+        key, h = key * np.uint64(wide**more) + nxt, h + more
     order = np.argsort(key, kind="stable")
     new = changes(key[order])
-    while True:
-        ends = np.append(np.flatnonzero(new)[1:], n) - 1
-        sorted_rank = ends[np.cumsum(new) - 1]
-        rank = np.empty(n, np.int64)
-        rank[order] = sorted_rank
-        single = new & np.append(new[1:], True)
-        open_ = np.flatnonzero(~single)
-        if not len(open_):
-            return order
-        own = order[open_]
+    ends = np.append(np.flatnonzero(new)[1:], n) - 1
+    sorted_rank = ends[np.cumsum(new) - 1] if n else order
+    rank = np.empty(n, np.int64)
+    rank[order] = sorted_rank
+    place = np.flatnonzero(~(new & np.append(new[1:], True))) if n else order
+    own, group = order[place], sorted_rank[place]
+    while len(place):  # classes that aren't single yet
         follow = np.where(own + h < n, rank[np.minimum(own + h, n - 1)], -1) + 1
-        group = sorted_rank[open_]
         by = np.argsort(group.astype(np.uint64) * np.uint64(n + 2) + follow.astype(np.uint64), kind="stable")
-        order[open_] = own[by]
-        follow = follow[by]
-        split = np.ones(len(open_), bool)
-        split[1:] = (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])
-        new[open_] |= split
+        own, follow = own[by], follow[by]
+        order[place] = own
+        first = np.flatnonzero(changes(group, follow))
+        size = np.diff(np.append(first, len(place)))
+        group = np.repeat(place[first + size - 1], size)
+        rank[own] = group
+        left = np.repeat(size > 1, size)
+        place, own, group = place[left], own[left], group[left]
         h *= 2
+    return order
 
 
 def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int, lane: int | None = None) -> np.ndarray:
