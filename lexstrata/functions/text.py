@@ -50,8 +50,8 @@ def squeezed(text: Column) -> Column:
 
 
 def without_tags(html: Column) -> Column:
-    """Tags out, white space squeezed."""
-    return squeezed(F.regexp_replace(F.coalesce(html, F.lit("")), "<[^>]+>", " "))
+    """Tags out, with nothing in their place; white space squeezed."""
+    return squeezed(F.regexp_replace(F.coalesce(html, F.lit("")), "<[^>]+>", ""))
 
 
 def without_thinking(text: Column) -> Column:

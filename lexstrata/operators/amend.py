@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexstrata.functions.dates import closing_date
+from lexstrata.functions.dates import closing_date, parse_date
 from lexstrata.operators.temporal import active_for_writing, first_of
 
 
@@ -80,6 +80,25 @@ def chain_order(documents: DataFrame, keys: list[str], *order: Column) -> DataFr
     return documents.withColumn("step", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def document_number(number: Column) -> Column:
+    """The first run of digits of a document's number, else 0."""
+    return F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(F.coalesce(number, F.lit("")), "(\\d{1,18})", 1), F.lit("")), F.lit("999999999999999999")).cast("long"), F.lit(0).cast("long"))
+
+
+def document_date(*texts: Column) -> Column:
+    """The first of several written dates that is one, else the last day there is."""
+    return F.coalesce(*[parse_date(t) for t in texts], F.lit("9999-12-31").cast("date"))
+
+
+def chain_scan(documents: DataFrame, folder: str, name: str) -> DataFrame:
+    """Documents (number, date_signed, date_pub, valid_from, is_target) with step among those of their folder.
+
+    1 is the target: the flagged one, else the first by date, number and name; the others amend it in that order.
+    """
+    order = (F.desc("is_target"), document_date(F.col("date_signed"), F.col("date_pub"), F.col("valid_from")), document_number(F.col("number")), F.col(name))
+    return chain_order(documents, [folder], *order)
+
+
 def folded(timeline: DataFrame, batches: list[DataFrame], keep) -> DataFrame:
     """Amendments one after another; `keep` (a function of a table and a name) writes each step where all executors see it."""
     for k, changes in enumerate(batches):

@@ -22,10 +22,13 @@ def with_references(blocks: DataFrame, additions: DataFrame, places: DataFrame)
     places (ref_item_id, place) orders siblings. A reference goes after that of the nearest sibling before
     it, else before that of the nearest after it, else to the end.
     """
-    known = blocks.where("ref_item_id IS NOT NULL").join(places, "ref_item_id").select("item_id", F.col("ord").alias("at"), F.col("place").alias("p"))
-    new = additions.join(places, "ref_item_id")
-    held = new.join(known, "item_id", "left").groupBy("item_id", "ref_item_id", "place").agg(
-        F.max_by("at", F.when(F.col("p") < F.col("place"), F.struct("p", "at"))).alias("after"), F.min_by("at", F.when(F.col("p") > F.col("place"), F.struct("p", "at"))).alias("before"))
+    known = blocks.where("ref_item_id IS NOT NULL").join(places, "ref_item_id").select("item_id", F.lit(None).cast(additions.schema["ref_item_id"].dataType).alias("ref_item_id"), "place", F.col("ord").alias("at"), F.lit(1).alias("old"))
+    new = additions.join(places, "ref_item_id").select("item_id", "ref_item_id", "place", F.lit(None).cast("int").alias("at"), F.lit(0).alias("old"))
+    w = Window.partitionBy("item_id")
+    below, above = (w.orderBy("place", k, F.col("at")) for k in (F.asc("old"), F.desc("old")))  # siblings of one place count for neither side
+    near = known.unionByName(new).withColumn("after", F.last("at", ignorenulls=True).over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    near = near.withColumn("before", F.first("at", ignorenulls=True).over(above.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    held = near.where("old = 0").select("item_id", "ref_item_id", "place", "after", "before")
     ends = blocks.groupBy("item_id").agg(F.max("ord").alias("top"))
     placed = held.join(ends, "item_id", "left").select("item_id", "ref_item_id", F.coalesce(F.col("after") + 0.5, F.col("before") - 0.5, F.col("top") + 0.5, F.lit(1.0)).alias("spot"), "place")
     old = blocks.select("item_id", "ref_item_id", F.col("ord").cast("double").alias("spot"), F.lit(0).cast("int").alias("place"))
@@ -85,8 +88,11 @@ def new_ids(additions: DataFrame, items: DataFrame) -> DataFrame:
 def containers(sections: DataFrame, wanted: DataFrame) -> DataFrame:
     """Of numbered containers (container_id, parent_item_id, top: their greatest child number) the one for each wanted number:
     that with the greatest top not above it."""
-    joined = wanted.join(sections, "parent_item_id").where(F.col("top") <= F.col("number"))
-    return joined.groupBy("parent_item_id", "number").agg(F.max_by("container_id", F.struct("top", "container_id")).alias("container_id"))
+    none = F.lit(None).cast(sections.schema["container_id"].dataType)
+    both = sections.select("parent_item_id", F.col("top").alias("number"), "container_id", F.lit(0).alias("kind")).unionByName(wanted.select("parent_item_id", "number", none.alias("container_id"), F.lit(1).alias("kind")))
+    w = Window.partitionBy("parent_item_id").orderBy("number", "kind", "container_id")
+    found = both.withColumn("container_id", F.last("container_id", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return found.where("kind = 1 AND container_id IS NOT NULL").select("parent_item_id", "number", "container_id").distinct()
 
 
 def rendered_tree(roots: DataFrame, blocks: DataFrame, most_levels: int = 16) -> DataFrame:

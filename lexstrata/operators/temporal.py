@@ -28,8 +28,14 @@ def effective_revision(timeline: DataFrame, date: Column) -> DataFrame:
 
 
 def effective_grid(timeline: DataFrame, dates: DataFrame) -> DataFrame:
-    """effective_revision for each as_of date of a calendar. The calendar is the smaller side; Spark's own size check broadcasts it."""
-    joined = timeline.join(dates, covers(F.col("as_of")))
+    """effective_revision for each as_of date of a calendar.
+
+    The calendar's days go into every task as one array, so each revision looks up its own days and
+    no nested loop runs; a calendar has a bounded number of days.
+    """
+    days = dates.agg(F.array_sort(F.collect_set("as_of"))).scalar()
+    held = F.filter("_days", lambda day: (F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (day <= F.col("valid_to"))))
+    joined = timeline.withColumn("_days", days).withColumn("as_of", F.explode(held)).drop("_days")
     return first_of(joined, ["item_id", "as_of"], F.desc("valid_from"), F.asc("rev_idx"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.functions.numbers import number_tuple
 from lexstrata.functions.text import type_rank
-from lexstrata.session import cut
+from lexstrata.session import cut, numbered
 
 
 def closure(items: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def dominating(requested: DataFrame, closed: DataFrame) -> DataFrame:
 def rebuild_plan(items: DataFrame, requested: DataFrame, closed: DataFrame, with_ancestors: bool = True) -> DataFrame:
     """Known requested items that no other covers and, if asked for, all their ancestors, with step: deepest first, then by id.
 
-    Steps are numbered within a depth, so no task sees all items. The closure is read several times, so it is kept.
+    The closure is read several times, so it is kept.
     """
     closed = cut(closed)
     known = requested.join(items.select("item_id"), "item_id", "left_semi") if not with_ancestors else requested
@@ -60,37 +60,7 @@ def rebuild_plan(items: DataFrame, requested: DataFrame, closed: DataFrame, with
     plan = top
     if with_ancestors:
         plan = top.unionByName(closed.join(top, "item_id", "left_semi").select(F.col("ancestor_id").alias("item_id"))).distinct()
-    step = F.row_number().over(Window.partitionBy("depth").orderBy("item_id"))
-    return plan.join(depths(items, closed), "item_id").withColumn("step", step)
-
-
-def resolve_paths(items: DataFrame, paths: DataFrame, steps: int, transparent: list[str]) -> DataFrame:
-    """path_id, item_id, n_matches: each item that a path of (type, number) tokens leads to.
-
-    paths: path_id, npa_id, tokens (array of struct type, number). A path starts at the roots of its
-    document (npa_id of both). An item that matches the next token takes it; one that doesn't is
-    passed through if its type is transparent.
-    """
-    nodes = items.select("npa_id", "item_id", "parent_item_id", "item_type", "item_number")
-    n = F.size("tokens")
-
-    def advance(rows: DataFrame) -> DataFrame:
-        token = F.get("tokens", F.col("used"))
-        hit = (F.col("item_type") == token["type"]) & (token["number"].isNull() | (F.coalesce(F.col("item_number"), F.lit("")) == token["number"]))
-        rows = rows.withColumn("hit", F.coalesce(hit, F.lit(False)))
-        return rows.where(F.col("hit") | F.col("item_type").isin(transparent)).withColumn("used", F.col("used") + F.col("hit").cast("int"))
-
-    roots = advance(nodes.where("parent_item_id IS NULL").join(paths.where(n > 0), "npa_id").withColumn("used", F.lit(0)))
-    at, found = roots, []
-    for _ in range(steps):
-        found.append(at.where((F.col("used") == n) & F.col("hit")).select("path_id", "item_id"))
-        children = nodes.select("npa_id", "item_id", F.col("parent_item_id").alias("up"), "item_type", "item_number")
-        open_ = at.where(F.col("used") < n).select("npa_id", F.col("item_id").alias("up"), "path_id", "tokens", "used")
-        at = advance(children.join(open_, ["npa_id", "up"]).drop("up"))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.withColumn("n_matches", F.count("*").over(Window.partitionBy("path_id")))
+    return numbered(plan.join(depths(items, closed), "item_id"), "step", F.desc("depth"), F.asc("item_id"))
 
 
 def duplicate_ids(items: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from lexstrata.functions.dates import bad_date, valid_format
 # Item types and changes a document may have.
 ITEM_TYPES = ("section", "chapter", "article", "part", "point", "subpoint", "preamble", "appendix", "nested_appendix", "structured_table", "paragraph")
 MOD_TYPES = ("add", "change", "new_redaction", "delete")
+BLOCK_TYPES = ("paragraph", "table", "table_header", "table_fragment", "child_ref")
 
 
 def issues(rows: DataFrame, category: str, element: Column, severity: str = "error", message: str = "") -> DataFrame:
@@ -81,6 +82,96 @@ def inlined_children(blocks: DataFrame) -> DataFrame:
     return issues(found.where("refers AND many"), "children_inlined_in_body", F.col("item_id"), "warning")
 
 
+def block_checks(blocks: DataFrame) -> DataFrame:
+    """Blocks of an unknown type, and blocks that hold neither text nor a reference."""
+    known = F.coalesce(F.col("block_type").isin(*BLOCK_TYPES), F.lit(False))
+    empty = F.when(F.col("block_type") == "child_ref", F.col("ref_item_id").isNull()).otherwise(F.col("html_text").isNull())
+    return union([issues(blocks.where(~known), "body_block_type_unknown", F.col("item_id")), issues(blocks.where(known & empty), "body_block_invalid", F.col("item_id"), "warning")])
+
+
+def head_checks(heads: DataFrame) -> DataFrame:
+    """Titles with more than one open revision."""
+    from lexstrata.operators.temporal import active_conflicts
+
+    return issues(active_conflicts(heads), "head_revision_active_conflict", F.col("item_id"), "warning")
+
+
+def highlight_checks(timeline: DataFrame) -> DataFrame:
+    """Highlights (JSON text) that aren't an object."""
+    kind = F.schema_of_variant(F.try_parse_json("highlights"))
+    return issues(timeline.where(F.col("highlights").isNotNull() & ~F.coalesce(kind.startswith("OBJECT"), F.lit(False))), "highlights_invalid", F.col("item_id"), "warning")
+
+
+def inherited_references(blocks: DataFrame, timeline: DataFrame) -> DataFrame:
+    """References of a new wording that the revision before it had too, though the child has no open revision."""
+    refs = blocks.where("ref_item_id IS NOT NULL").select("item_id", "rev_idx", "ref_item_id").distinct()
+    before = refs.select("item_id", (F.col("rev_idx") + 1).alias("rev_idx"), "ref_item_id")
+    wordings = timeline.where("mod_type = 'new_redaction'").select("item_id", "rev_idx")
+    kept = refs.join(wordings, ["item_id", "rev_idx"]).join(before, ["item_id", "rev_idx", "ref_item_id"], "left_semi")
+    open_ = timeline.where("valid_to IS NULL").select(F.col("item_id").alias("ref_item_id")).distinct()
+    return issues(kept.join(open_, "ref_item_id", "left_anti"), "revision_body_source_violation", F.col("item_id"))
+
+
+def change_log_checks(log: DataFrame) -> DataFrame:
+    """Changes that were not applied."""
+    return issues(log.where(~F.coalesce(F.col("applied"), F.lit(False))), "change_skipped", F.col("change_id"), "warning")
+
+
+def change_log_counts(log: DataFrame) -> DataFrame:
+    return log.groupBy(F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count("*").alias("n"))
+
+
+def outcomes_by_kind(changes: DataFrame, timelines: DataFrame) -> DataFrame:
+    """change_id, passed of routed changes (see `router`): what each kind of target must show afterwards.
+
+    A prefix always passes. A deletion needs a revision that is deleted or not valid, a title one of a change or
+    new wording, a preamble its active one of any change, an addition at the root any added item, content
+    a revision of the change's own kind from the change's day on. Unresolved changes fail.
+    """
+    from lexstrata.operators.temporal import active_for_reading
+
+    key = F.concat_ws("\u0001", "scope", "item_id")
+    t = timelines.withColumn("key", key)
+    active = active_for_reading(t.withColumn("item_id", F.col("key"))).select("key", "rev_idx", F.lit(True).alias("active"))
+    shown = t.join(active, ["key", "rev_idx"], "left").select("key", F.col("mod_type"), F.col("not_valid"), F.col("valid_from").alias("since"), F.coalesce("active", F.lit(False)).alias("active"))
+    joined = changes.withColumn("key", key).join(shown, "key", "left")
+    fits = (
+        F.when(F.col("type") == "delete", (F.col("mod_type") == "delete") | F.col("not_valid").isNotNull())
+        .when(F.col("scope").isin("title", "element_title"), F.col("mod_type").isin("change", "new_redaction"))
+        .when(F.col("scope") == "preamble", F.col("active") & F.col("mod_type").isin("new_redaction", "change", "delete"))
+        .when(F.col("scope") == "root_addition", F.col("mod_type") == "add")
+        .otherwise((F.col("mod_type") == F.when(F.col("type").isin(*MOD_TYPES), F.col("type")).otherwise("new_redaction")) & (F.col("since") >= F.col("valid_from")))
+    )
+    passed_ = F.when(F.col("scope") == "prefix", True).when((F.col("scope") == "unresolved") | F.col("item_id").isNull(), False).otherwise(F.coalesce(F.col("fits"), F.lit(False)))
+    return joined.withColumn("fits", fits).withColumn("ok", passed_).groupBy("change_id").agg(F.bool_or("ok").alias("passed"))
+
+
+def failed_changes(outcomes: DataFrame) -> DataFrame:
+    return issues(outcomes.where("NOT passed"), "change_not_applied", F.col("change_id"))
+
+
+def reference_issues(items: DataFrame, refs: DataFrame) -> DataFrame:
+    """Duplicate ids and references to nothing."""
+    from lexstrata.operators.tree import broken_refs, duplicate_ids
+
+    return union([issues(duplicate_ids(items), "duplicate_item_id", F.col("item_id")), issues(broken_refs(refs, items), "broken_child_ref", F.col("ref_item_id"))])
+
+
+def preflight(sources: DataFrame, key: str, text: str, items: DataFrame, refs: DataFrame) -> DataFrame:
+    """Everything that must hold before a run."""
+    return preflight_dates(sources, key, text).unionByName(reference_issues(items, refs))
+
+
+def verified(checks: list[DataFrame]) -> DataFrame:
+    """All issues of checks in their fixed order, with step."""
+    return union([c.withColumn("step", F.lit(k + 1)) for k, c in enumerate(checks)])
+
+
+def as_json(found: DataFrame) -> DataFrame:
+    """issue: each row as a JSON object."""
+    return found.select(F.to_json(F.struct(*found.columns)).alias("issue"))
+
+
 def stats(found: DataFrame) -> DataFrame:
     """severity, category, n; with subtotals (null category) and the total (null severity)."""
     return found.rollup("severity", "category").agg(F.count("*").alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexstrata.functions import dates, numbers, text
-from lexstrata.operators import amend, highlights, history, temporal, tree, verify
+from lexstrata.operators import amend, highlights, history, paths, temporal, tree, verify
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -199,13 +199,13 @@ def requested(spark, d) -> DataFrame:
     return c.union(n).union(spark.createDataFrame([("x1",)], "item_id string"))
 
 
-@query(f"WITH RECURSIVE {ITEMS}, {REQUESTED}, plan AS (SELECT item_id FROM top UNION SELECT ancestor_id FROM clo WHERE item_id IN (SELECT item_id FROM top)) SELECT item_id, depth, CAST(row_number() OVER (PARTITION BY depth ORDER BY item_id) AS INTEGER) AS step FROM plan JOIN dep USING (item_id)")
+@query(f"WITH RECURSIVE {ITEMS}, {REQUESTED}, plan AS (SELECT item_id FROM top UNION SELECT ancestor_id FROM clo WHERE item_id IN (SELECT item_id FROM top)) SELECT item_id, depth, row_number() OVER (ORDER BY depth DESC, item_id) AS step FROM plan JOIN dep USING (item_id)")
 def rebuild_order(spark, d):
     i = items(spark, d)
     return tree.rebuild_plan(i, requested(spark, d), tree.closure(i))
 
 
-@query(f"WITH RECURSIVE {ITEMS}, {REQUESTED} SELECT item_id, depth, CAST(row_number() OVER (PARTITION BY depth ORDER BY item_id) AS INTEGER) AS step FROM top JOIN dep USING (item_id)")
+@query(f"WITH RECURSIVE {ITEMS}, {REQUESTED} SELECT item_id, depth, row_number() OVER (ORDER BY depth DESC, item_id) AS step FROM top JOIN dep USING (item_id)")
 def rebuild_plan(spark, d):
     i = items(spark, d)
     return tree.rebuild_plan(i, requested(spark, d), tree.closure(i), with_ancestors=False)
@@ -232,12 +232,12 @@ PATHS = "found AS (SELECT 'f' || n_nationkey AS path_id, 'n' || n_nationkey AS i
 
 @query(f"WITH {PATHS} SELECT path_id, item_id, count(*) OVER (PARTITION BY path_id) AS n_matches FROM found")
 def path_resolve(spark, d):
-    return tree.resolve_paths(regional_items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
+    return paths.resolved(regional_items(spark, d), path_table(spark, d))
 
 
 @query(f"WITH {PATHS} SELECT path_id, count(*) AS n_matches FROM found GROUP BY path_id HAVING count(*) > 1")
 def ambiguity_report(spark, d):
-    found = tree.resolve_paths(regional_items(spark, d), path_table(spark, d), 3, ["section", "chapter", "appendix", "structured_table"])
+    found = paths.resolved(regional_items(spark, d), path_table(spark, d))
     return found.where("n_matches > 1").select("path_id", "n_matches").distinct()
 
 
@@ -463,14 +463,20 @@ def roman_numbers(spark, d):
     return rows.select("p_partkey", roman.alias("roman"), numbers.roman_value(roman).cast("long").alias("value"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[\s\x{00A0}\x{0085}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]+', ' ', 'g')) AS txt FROM pages")
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[\s\x{00A0}\x{0085}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]+', ' ', 'g')) AS txt FROM pages")
 def text_clean(spark, d):
     return table(spark, d, "pages").select("page_id", text.without_tags(F.col("html")).alias("txt"))
 
 
-@query(r"SELECT page_id, len(list_filter(list_transform(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '')) AS n FROM pages WHERE regexp_matches(html, '(?is)<p[^>]*>[^<]*\w')")
+SPACES = r"[\s\x{00A0}\x{0085}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+@query(rf"""WITH p AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '{SPACES}', ' ', 'g')) AS whole,
+    list_filter(list_transform(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', '', 'g'), '{SPACES}', ' ', 'g'))), lambda x: x <> '') AS found FROM pages)
+    SELECT page_id, md5(array_to_string(CASE WHEN len(found) > 0 THEN found WHEN whole <> '' THEN [whole] ELSE [] END, '|')) AS h, CASE WHEN len(found) > 0 THEN len(found) WHEN whole <> '' THEN 1 ELSE 0 END AS n FROM p""")
 def html_paragraphs(spark, d):
-    return table(spark, d, "pages").where(F.col("html").rlike("(?is)<p[^>]*>[^<]*\\w")).select("page_id", F.size(text.paragraphs(F.col("html"))).cast("long").alias("n"))
+    found = text.paragraphs(F.col("html"))
+    return table(spark, d, "pages").select("page_id", F.md5(F.array_join(found, "|")).alias("h"), F.size(found).cast("long").alias("n"))
 
 
 @query("""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS paragraph, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) SELECT doc_id, CAST(pos AS INTEGER) AS pos, md5(paragraph) AS h FROM p""")
@@ -700,3 +706,6 @@ def declared_replacement(spark, d):
     pairs = F.array(F.struct(F.lit("old").alias("old"), F.lit("fresh").alias("new")))
     rows = table(spark, d, "orders").select("o_orderkey", F.lit(1).alias("pos"), F.repeat(F.lit("an old "), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("old"), F.repeat(F.lit("a fresh "), (F.col("o_orderkey") % 4).cast("int")).alias("new"), pairs.alias("pairs"))
     return highlights.declared_replacements(rows, "o_orderkey").select("o_orderkey", "old_text", "new_text", "position")
+
+
+from lexstrata.plans import logs, structure  # noqa: E402, F401  (they register more queries)

@@ -1,17 +1,37 @@
-"""Lineage cuts that outlive executors."""
+"""Lineage cuts that outlive executors, and numbers over whole tables."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The table as a checkpoint in the folder spark.checkpoint.dir names; where that is unset (tests), in a new local one."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder spark.checkpoint.dir names. Where that is unset, a local master (tests) gets a new one; a cluster must name one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexstrata-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The table as a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def numbered(rows: DataFrame, name: str, *order: Column) -> DataFrame:
+    """rows with `name` 1, 2, ... over all of them in `order`, sorted by ranges; no task sees more than its range."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = cut(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_place", place))
+    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each range
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return dealt.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before")

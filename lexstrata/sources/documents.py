@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexstrata.session import cut
@@ -75,3 +75,22 @@ def result_name(number: str, date: str, by_number: str, by_date: str):
 
     day = lambda c: F.date_format(c, "yyyy_MM_dd")
     return F.format_string("%s_%s_izm_%s_%s.json", file_number(F.col(number)), day(date), file_number(F.col(by_number)), day(by_date))
+
+
+def file_date(doc_type: Column, signed: Column, passed: Column, registered: Column) -> Column:
+    """yyyy_MM_dd of a law's signing, or of the first of a regulation's passing, registration and signing; '' if none is a date."""
+    from lexstrata.functions.dates import parse_date
+
+    day = F.when(doc_type == "law", parse_date(signed)).otherwise(F.coalesce(parse_date(passed), parse_date(registered), parse_date(signed)))
+    return F.coalesce(F.date_format(day, "yyyy_MM_dd"), F.lit(""))
+
+
+def read_answers(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of the JSON lists in the files of a path, in the order of file and place: file, pos, broken and the schema's fields.
+
+    A file that isn't a list gives one row with broken true, so a strict caller can refuse it.
+    """
+    rows = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    listed = rows.select("file", F.from_json("value", f"array<struct<{schema}>>").alias("list"), F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY"), F.lit(False)).alias("ok"))
+    good = listed.where("ok").select("file", F.posexplode("list").alias("pos", "row")).select("file", "pos", F.lit(False).alias("broken"), "row.*")
+    return good.unionByName(listed.where("NOT ok").select("file", F.lit(0).alias("pos"), F.lit(True).alias("broken")), allowMissingColumns=True)

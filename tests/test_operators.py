@@ -3,6 +3,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from lexstrata.operators import amend, fragments, highlights, history, temporal, tree, verify
+from lexstrata.operators.paths import resolved
 from lexstrata.sources import documents
 
 
@@ -22,13 +23,15 @@ def effective(df, date):
 
 
 def test_as_of_ends_count(spark):
-    t = timeline(spark, ("a", 0, "2016-08-08", "2017-12-14"), ("a", 1, "2017-12-15", None))
-    assert [effective(t, d) for d in ("2017-12-14", "2017-12-15", "2016-08-08", "2016-08-07")] == [{"a": 0}, {"a": 1}, {"a": 0}, {}]
+    t = timeline(spark, ("n", 0, "2003-02-27", "2003-02-28"), ("n", 1, "2003-03-01", "2003-03-01"), ("n", 2, "2003-03-02", None))
+    want = {"2003-02-26": {}, "2003-02-27": {"n": 0}, "2003-02-28": {"n": 0}, "2003-03-01": {"n": 1}, "2003-03-02": {"n": 2}, "2103-03-02": {"n": 2}}
+    assert {d: effective(t, d) for d in want} == want
 
 
 def test_as_of_overlap_tie_and_undated(spark):
-    t = timeline(spark, ("a", 0, "2019-01-01", None), ("a", 1, "2020-01-01", None), ("b", 0, "2020-01-01", None), ("b", 1, "2020-01-01", None), ("c", 0, None, None))
-    assert effective(t, "2021-01-01") == {"a": 1, "b": 0}
+    rows = [("undated", 0, None, None), ("tie", 0, "1999-07-05", "2001-01-01"), ("tie", 1, "1999-07-05", None), ("overlap", 0, "1998-05-05", "2010-01-01"), ("overlap", 1, "1999-06-06", "2000-12-31"), ("overlap", 2, "2000-12-31", None)]
+    t = timeline(spark, *rows)
+    assert [effective(t, d) for d in ("2000-01-01", "2000-12-31", "2001-01-02")] == [{"tie": 0, "overlap": 1}, {"tie": 0, "overlap": 2}, {"tie": 1, "overlap": 2}]
 
 
 def test_latest_and_active(spark):
@@ -67,7 +70,7 @@ def test_paths_pass_through_containers(spark):
     i = spark.createDataFrame([("s", None, "section", "1"), ("a", "s", "article", "1"), ("p", "a", "point", "1"), ("p2", "a", "point", "1")], ITEMS).withColumn("npa_id", F.lit(1))
     tokens = "path_id string, npa_id int, tokens array<struct<type: string, number: string>>"
     paths = spark.createDataFrame([("x", 1, [("article", "1"), ("point", "1")]), ("y", 1, [("article", "1")]), ("z", 1, [("article", "9")]), ("w", 2, [("article", "1")])], tokens)
-    got = {(r.path_id, r.item_id, r.n_matches) for r in tree.resolve_paths(i, paths, 4, ["section", "chapter"]).collect()}
+    got = {(r.path_id, r.item_id, r.n_matches) for r in resolved(i, paths).collect()}
     assert got == {("x", "p", 2), ("x", "p2", 2), ("y", "a", 1)}
 
 
