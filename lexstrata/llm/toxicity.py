@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexstrata.llm.shared import only
+from lexstrata.llm.shared import only, stored
 
 #: General English insults and slurs on persons; weights are replaced where the labels say more.
 START = "idiot moron imbecile stupid dumb dumbass fool loser scum trash garbage worthless pathetic disgusting clown vermin filth bastard bitch asshole shithead retard scumbag pig jerk freak creep degenerate".split()
@@ -191,10 +191,11 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-3)
 
 
 def training(docs: DataFrame, labels: DataFrame, most_rows: int, in_training) -> DataFrame:
-    """Texts and labels of the training rows. The label side is bounded by most_rows, so it is broadcast."""
+    """Texts and labels of the training rows, the smallest text of each doc_id. The label side is bounded by most_rows, so it is broadcast."""
     labels = only(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(in_training(F.col("doc_id")))
     some = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    return only(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    found = only(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))
+    return stored(found.select("text", "toxic"), "training")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, least_rows: int = 5, least_odds: float = 3.0, in_training=lambda doc_id: F.lit(True)) -> Model:
@@ -220,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, least_rows:
     model.weights = {w: x for w, x in model.weights.items() if x > 0}
     scale = max(model.weights.values())
     model.weights = {w: x / scale for w, x in model.weights.items()}
-    seen = rows.select("toxic", rated(model)("text").alias("x")).toPandas()  # most_rows rows of two numbers, but for copies of a doc_id
+    seen = rows.select("toxic", rated(model)("text").alias("x")).toPandas()  # most_rows rows of two numbers
     x, y = seen.x.to_numpy(), seen.toxic.to_numpy().astype(float)
     a, b = logistic(x, y)
     if b > 0:
