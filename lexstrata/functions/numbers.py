@@ -79,10 +79,11 @@ def number_path(text: Column) -> Column:
 
 
 def shown_number(number: Column, header: Column, titled: Column) -> Column:
-    """A number as rendered: headers end in '.' if a title follows, others in ')' unless they end in a mark."""
-    bare = F.regexp_replace(number.cast("string"), "[.)]+$", "")
-    marked = number.cast("string").rlike("[.)]$")
-    return F.when(header, F.when(titled, F.concat(bare, F.lit("."))).otherwise(bare)).otherwise(F.when(marked, number.cast("string")).otherwise(F.concat(bare, F.lit(")"))))
+    """A number as rendered: headers end in '.' only if a title follows, others in '.' unless they end in a mark; '' for none."""
+    own = F.trim(F.coalesce(number.cast("string"), F.lit("")))
+    dotted = F.when(own.endswith("."), own).otherwise(F.concat(own, F.lit(".")))
+    in_text = F.when(own.endswith(")"), own).otherwise(dotted)
+    return F.when(own == "", own).when(header & titled, dotted).when(header, F.regexp_replace(own, "\\.+$", "")).otherwise(in_text)
 
 
 def shift_position(position: Column, threshold: Column, delta: Column) -> Column:

@@ -82,21 +82,24 @@ def paragraphs(html: Column) -> Column:
 
 
 def without_leading_number(html: Column, number: Column) -> Column:
-    """The number, with its mark and the space after it, out of the text's first place."""
+    """The number, with its mark (if any) and the space after it, out of the text's first place."""
     bare = F.regexp_replace(number.cast("string"), "[.)]+$", "")
     text = F.regexp_replace(html, "^(\\s*(<[^>]+>)*)\\s+", "$1")
     tags = F.regexp_extract(text, "^(\\s*(?:<[^>]+>)*)", 1)
     rest = F.substring(text, F.length(tags) + F.lit(1), F.length(text))
     tail = F.substring(rest, F.length(bare) + F.lit(1), F.length(rest))
-    hit = (bare != "") & rest.startswith(bare) & tail.rlike("^[.)]")
-    return F.when(hit, F.concat(tags, F.regexp_replace(tail, "^[.)]+(?U)\\s*", ""))).otherwise(html)
+    hit = (bare != "") & rest.startswith(bare) & tail.rlike("^[.)\\s]")
+    return F.when(hit, F.concat(tags, F.regexp_replace(tail, "^[.)]*(?U)\\s*", ""))).otherwise(html)
 
 
 def with_number(html: Column, number: Column, item_type: Column) -> Column:
-    """The number before the first block's text, for parts, points and subpoints."""
+    """The number before the first block's text, 'N.' for parts and points and 'N)' for subpoints, unless it stands there already."""
+    own = number.cast("string")
+    shown = F.when(item_type == "subpoint", F.concat(F.regexp_replace(own, "\\.+$", ""), F.lit(")"))).otherwise(F.concat(own, F.lit(".")))
     tags = F.regexp_extract(html, "^(\\s*(?:<[^>]+>)*)", 1)
     rest = F.substring(html, F.length(tags) + F.lit(1), F.length(html))
-    return F.when(item_type.isin("part", "point", "subpoint"), F.concat(tags, number.cast("string"), F.lit(" "), rest)).otherwise(html)
+    there = F.startswith(rest, shown) & F.substring(rest, F.length(shown) + F.lit(1), F.lit(1)).rlike("[\\s.)]")
+    return F.when(item_type.isin("part", "point", "subpoint") & ~there, F.concat(tags, shown, F.lit(" "), rest)).otherwise(html)
 
 
 def file_number(number: Column) -> Column:
