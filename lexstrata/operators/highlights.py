@@ -66,3 +66,8 @@ def declared_replacements(rows: DataFrame, key: str) -> DataFrame:
     times = F.least(occurrences(F.col("old"), F.col("p.old")), occurrences(F.col("new"), F.col("p.new")))
     many = each.withColumn("times", times).where("times > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return many.select(key, "pos", F.col("p.old").alias("old_text"), F.col("p.new").alias("new_text"), F.concat_ws("-", "pos", "k").alias("position"))
+
+
+def pairs_marked(pairs: Column, marks: Column) -> Column:
+    """Whether each declared pair (struct old, new) stands among the marks (struct old_text, new_text)."""
+    return F.forall(pairs, lambda p: F.exists(marks, lambda m: (m["old_text"] == p["old"]) & (m["new_text"] == p["new"])))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexstrata.functions.dates import closing_date
+from lexstrata.session import cut
 
 
 def first_of(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -104,3 +105,21 @@ def synced_children(parents: DataFrame, children: DataFrame, date: Column) -> Da
     open_ = first_of(children.where("valid_to IS NULL"), ["item_id"], F.asc("rev_idx")).select(F.col("item_id").alias("o"), F.col("rev_idx").alias("closes"))
     joined = wanted.join(source, "child_id").join(open_, F.col("child_id") == F.col("o"), "left")
     return joined.select(F.col("child_id").alias("item_id"), "closes", F.coalesce("closes", "latest_idx").alias("copies"), date.alias("valid_from"), F.lit("change").alias("mod_type"), "modified_by_id")
+
+
+def synced_tree(timeline: DataFrame, refs: DataFrame, date: Column) -> DataFrame:
+    """`synced_children` through all levels: a revision made for a child refers to what the copied one did, and so on down.
+
+    timeline: item_id, rev_idx, valid_from, valid_to, modified_by_id; refs: item_id, rev_idx, child_id. Each item gets one
+    revision at most, so cycles end.
+    """
+    at = timeline.where(F.col("valid_from") == date).join(refs, ["item_id", "rev_idx"]).select("item_id", "child_id", "valid_from", "modified_by_id")
+    made = None
+    while True:
+        new = synced_children(at, timeline, date)
+        new = cut(new if made is None else new.join(made.select("item_id"), "item_id", "left_anti"))
+        if new.isEmpty():
+            return new if made is None else made
+        made = new if made is None else cut(made.unionByName(new))
+        below = refs.select("item_id", F.col("rev_idx").alias("copies"), "child_id")
+        at = new.join(below, ["item_id", "copies"]).select("item_id", "child_id", "valid_from", "modified_by_id")

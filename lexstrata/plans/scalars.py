@@ -31,7 +31,7 @@ def scalar_texts(spark, d):
 
 
 @query(f"""SELECT p_partkey AS k, CAST(p_partkey % 5 + 1 AS INTEGER) AS ordinal, '1/' || p_partkey || '/а' AS path, CASE p_partkey % 4 WHEN 0 THEN p_partkey || '.' WHEN 1 THEN CAST(p_partkey AS VARCHAR) WHEN 2 THEN p_partkey || ')' ELSE p_partkey || '.' END AS shown,
-    CASE p_partkey % 3 WHEN 0 THEN '<p>' || p_partkey || '. t</p>' WHEN 1 THEN '<p>' || p_partkey || ') t</p>' ELSE '<p>t</p>' END AS led, p_partkey % 2 = 0 AS empty, CAST(p_partkey AS VARCHAR) AS cleaned FROM part""")
+    CASE p_partkey % 3 WHEN 0 THEN '<p>' || p_partkey || '. t</p>' WHEN 1 THEN '<p>' || p_partkey || ') t</p>' ELSE '<p>t</p>' END AS led, p_partkey % 2 = 0 AS empty, CAST(p_partkey AS VARCHAR) AS cleaned, p_partkey % 3 > 0 AS marked FROM part""")
 def scalar_numbers(spark, d):
     k = F.col("p_partkey")
     kind = pick(["point", "subpoint", "article"], k % 3)
@@ -40,7 +40,8 @@ def scalar_numbers(spark, d):
     given = F.when(k % 3 == 0, c("<p>", k, ". t</p>")).otherwise("<p>t</p>")  # points bear their number already
     return table(spark, d, "part").select(
         k.alias("k"), numbers.ordinal(F.when(k % 2 == 0, pick(ORDINALS, k % 5)).otherwise((k % 5 + 1).cast("string"))).alias("ordinal"), F.array_join(numbers.number_path(c("1) -> пункт ", k, ".→а)")), "/").alias("path"),
-        numbers.shown_number(written, k % 4 < 2, k % 4 == 0).alias("shown"), text.with_number(given, k, kind).alias("led"), highlights.empty_marks(marks, F.lit(None).cast("array<string>")).alias("empty"), numbers.clean_number(c(" <b>«", k, "»</b>.) ")).alias("cleaned"))
+        numbers.shown_number(written, k % 4 < 2, k % 4 == 0).alias("shown"), text.with_number(given, k, kind).alias("led"), highlights.empty_marks(marks, F.lit(None).cast("array<string>")).alias("empty"), numbers.clean_number(c(" <b>«", k, "»</b>.) ")).alias("cleaned"),
+        highlights.pairs_marked(F.array(F.struct(F.lit("a").alias("old"), F.lit("b").alias("new"))), F.array(F.struct(F.lit("x").alias("old_text"), F.lit("b").alias("new_text")), F.struct(F.when(k % 3 > 0, "a").otherwise("y").alias("old_text"), F.lit("b").alias("new_text")))).alias("marked"))
 
 
 @query("""WITH o AS (SELECT DISTINCT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders)

@@ -405,3 +405,28 @@ def preflight_all(spark, d):
     items = o.select(F.concat(F.lit("i"), k).alias("item_id")).unionByName(o.where("k % 7 = 0").select(F.concat(F.lit("i"), k).alias("item_id")))
     refs = o.select(F.lit("p").alias("item_id"), F.concat(F.when(k % 2 == 0, "x").otherwise("i"), k).alias("ref_item_id"))
     return verify.as_json(verify.preflight(sources, "k", "valid_from", items, refs))
+
+
+@query("""WITH o AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 2 = 0), l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem)
+    SELECT 'o' || k AS item_id, '1' AS closes, 1 AS copies, '2020-01-15' AS valid_from, 'change' AS mod_type, 'm' AS modified_by_id FROM o
+    UNION ALL SELECT 'l' || k || '_' || n, CASE WHEN n % 4 = 0 THEN '1' END, 1, '2020-01-15', 'change', 'm' FROM o JOIN l USING (k) WHERE n % 2 = 0""")
+def sync_cascade(spark, d):
+    """Customers' revisions of a day refer to their even orders, these to their lines; of both some have no revision in force that day.
+
+    A third of the orders is in force and passes nothing on. Of stale items, orders and every fourth line are open from a later day on.
+    """
+    from lexstrata.operators.temporal import synced_tree
+
+    at, early, late = (F.lit(x).cast("date") for x in ("2020-01-15", "2019-01-01", "2020-02-02"))
+    none = F.lit(None).cast("date")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").distinct()
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    n, k = F.col("l_linenumber"), F.col("o_orderkey")
+    name = lambda x, *more: F.concat(F.lit(x), F.concat_ws("_", *more))
+    t = o.select(name("c", "o_custkey").alias("item_id"), at.alias("valid_from"), none.alias("valid_to")).distinct()
+    t = t.unionByName(o.select(name("o", "o_orderkey").alias("item_id"), F.when(k % 3 == 0, early).otherwise(late).alias("valid_from"), none.alias("valid_to")))
+    t = t.unionByName(lines.select(name("l", "l_orderkey", "l_linenumber").alias("item_id"), F.when(n % 4 == 0, late).otherwise(early).alias("valid_from"), F.when(n % 4 == 2, F.date_sub(at, 1)).alias("valid_to")))
+    t = t.withColumn("rev_idx", F.lit(1)).withColumn("modified_by_id", F.lit("m"))
+    refs = o.where("o_orderkey % 2 = 0").select(name("c", "o_custkey").alias("item_id"), name("o", "o_orderkey").alias("child_id")).unionByName(lines.select(name("o", "l_orderkey").alias("item_id"), name("l", "l_orderkey", "l_linenumber").alias("child_id")))
+    out = synced_tree(t, refs.withColumn("rev_idx", F.lit(1)), at)
+    return out.select("item_id", F.col("closes").cast("string").alias("closes"), "copies", day("valid_from"), "mod_type", "modified_by_id")

@@ -122,3 +122,9 @@ def test_markup_of_nulls(spark):
     none = spark.range(1).select(F.lit(None).cast("string").alias("h"))
     r = none.select(html.trimmed(F.col("h")).alias("a"), html.leading_number(F.col("h")).alias("b"), html.blocks_and_gaps(F.col("h")).alias("c"), html.fragments_by_number(F.col("h"), F.array(F.lit("1"))).alias("d"), html.answer(F.col("h")).alias("e")).first()
     assert (r.a, r.b, r.c, r.d, r.e.html) == ("", None, [], [], "")
+
+
+def test_reports_as_text(spark, tmp_path):
+    steps = spark.createDataFrame([("applied",), ("applied",), ("failed",)], "status string")
+    records.write_text(records.chain_report(steps).orderBy("status").select("line"), f"file://{tmp_path}/report")
+    assert "".join(p.read_text() for p in (tmp_path / "report").glob("part-*")).splitlines() == ["| applied | 2 |", "| failed | 1 |"]
