@@ -75,28 +75,43 @@ class IdCache:
 class LibraryWords:
     """Words to ids by the tokenizers library, each word as a text of its own; nothing is added.
 
-    Only where the file's normaliser lower-cases are ASCII words without an added token's first
-    character asked for in lower case, once for all their spellings.
+    What is surely the same is asked once, for words in ASCII without an added token's first character: all
+    spellings in upper and lower case, where the file's normaliser lower-cases; and the letters before
+    punctuation at the end of a word, where the file's pre-tokenizer cuts between letters and other signs.
     """
 
+    TAIL = ".,;:!?*#$%&"
+    MOST_KNOWN = 300_000
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library = Tokenizer.from_file(path)
+        self.library, self.known = Tokenizer.from_file(path), {}
         self.starts = {t.content[:1] for t in self.library.get_added_tokens_decoder().values()}
-        norm = json.loads(self.library.to_str())["normalizer"] or {}
+        told = json.loads(self.library.to_str())
+        norm = told["normalizer"] or {}
         self.lowers = "Lowercase" in {n["type"] for n in norm.get("normalizers", [norm]) if n}
+        cut = json.dumps(told["pre_tokenizer"])
+        self.parts = self.lowers and "|[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in cut
+
+    def split(self, word: str) -> tuple[str, str]:
+        """What to ask for: a stem and its tail, or the whole word and nothing."""
+        if not self.lowers or not word.isascii() or any(c in word for c in self.starts):
+            return word, ""
+        word = word.lower()
+        stem = word.rstrip(self.TAIL) if self.parts else word
+        return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [w.decode() for w in words]
-        if self.lowers:
-            texts = [t.lower() if t.isascii() and not any(c in t for c in self.starts) else t for t in texts]
-        once = list(dict.fromkeys(texts))
-        found = dict(zip(once, (e.ids for e in self.library.encode_batch_fast(once, add_special_tokens=False)), strict=True))
-        lists = [found[t] for t in texts]
-        count = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum())), count
+        asked = [self.split(w.decode()) for w in words]
+        if len(self.known) > self.MOST_KNOWN:
+            self.known.clear()
+        known = self.known
+        new = list({x: None for pair in asked for x in pair if x and x not in known})
+        known |= zip(new, (np.array(e.ids, np.uint32).tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True)
+        raw = [known[stem] + known[tail] if tail else known[stem] for stem, tail in asked]
+        return np.frombuffer(b"".join(raw), np.uint32), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
 
 
 class WordIds:
