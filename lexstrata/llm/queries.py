@@ -110,13 +110,31 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.balls import ball_kmeans
+
+    return ball_kmeans(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.divergence import divergences
+
+    return divergences(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexstrata.llm.sharding import shard_digests
+
+    return shard_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_decontamination, op4_jaccard_join, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_decontamination, op4_jaccard_join, op5_token_files, op6_substring_dedup, op7_toxicity, op8_sentencepiece, op9_token_counts, op10_chat_formatting, op11_centroid_clustering, op12_source_divergence, op13_sharding, pipeline)}
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -167,6 +185,26 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM docs LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op12_source_divergence": r"""
+        WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        found AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS total FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+        dense AS (SELECT lang, source, term, total, coalesce(n, 0) AS n FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+        shares AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER g + count(*) OVER g) AS p,
+            1 + (1000000000::HUGEINT * (total + 1)) // (sum(total) OVER g + count(*) OVER g) AS q FROM dense WINDOW g AS (PARTITION BY lang, source)),
+        sums AS (SELECT lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM shares AS a JOIN shares AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        parts AS (SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups AS a JOIN groups AS b USING (lang)
+                LEFT JOIN sums AS s USING (lang) WHERE a.source <> b.source AND s.source = a.source AND s.item = b.source
+            UNION ALL SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups AS a JOIN groups AS b USING (lang)
+                WHERE a.source <> b.source AND a.lang NOT IN (SELECT lang FROM kept)
+            UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
     "op10_chat_formatting": """
         WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
         numbered AS (SELECT *, row_number() OVER w AS k FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
