@@ -593,13 +593,6 @@ def json_ingest(spark, d):
     return flatten_items(docs, 3).select("path", "item_id", "parent_item_id", "item_type", "item_number", "depth", F.array_join(F.transform("sort_path", lambda x: x.cast("string")), ".").alias("place"))
 
 
-@query()
-def fragment_parse(spark, d):
-    from lexstrata.operators.fragments import parse_fragments
-
-    return parse_fragments(table(spark, d, "pages").select(F.col("page_id").alias("key"), F.col("html"), F.lit("article").alias("item_type"), F.lit("1").alias("item_number")))
-
-
 @query("""WITH b AS (SELECT l_orderkey AS item_id, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord FROM lineitem WHERE l_linenumber <> 3),
     n AS (SELECT DISTINCT l_orderkey AS item_id FROM lineitem WHERE l_linenumber = 3)
     SELECT 1 AS k, count(*) AS n_blocks, CAST(sum(CASE WHEN l_linenumber < 3 THEN 1 ELSE 0 END) AS BIGINT) AS before FROM b WHERE item_id IN (SELECT item_id FROM n)""")
@@ -708,4 +701,4 @@ def declared_replacement(spark, d):
     return highlights.declared_replacements(rows, "o_orderkey").select("o_orderkey", "old_text", "new_text", "position")
 
 
-from lexstrata.plans import logs, scalars, structure  # noqa: E402, F401  (they register more queries)
+from lexstrata.plans import logs, parsing, scalars, structure  # noqa: E402, F401  (they register more queries)
