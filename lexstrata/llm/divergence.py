@@ -4,7 +4,7 @@ Plain relational work. Matches of the term pattern are counted by language, sour
 with the number of documents that hold the term beside them, so one exchange serves both; a task counts the matches of
 its rows before they are exchanged, without making a row of each. The terms in enough documents of
 a language are its vocabulary. Groups (lang, source) are crossed with their language's vocabulary, which makes
-absent terms zeros; the dense table joins itself on lang and term, terms sum to a value for each pair of
+absent terms zeros; the dense table joins itself on lang and term (each two sources once, valued both ways), terms sum to a value for each pair of
 sources, and a window ranks. All arithmetic is on integers: the share p of a count is 1 + floor(10**9 * (count + 1) / (N + V)), where
 N sums the group's counts and V is the size of the vocabulary, and a term's value is floor((p - q)**2 / q).
 
@@ -32,7 +32,7 @@ from lexstrata.llm.shared import only, partitions, ship, stored
 #: Over the bytes of UTF-8 this matches what it matches over characters, since all of its limits are ASCII.
 MATCH = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-MANY = 200_000
+MANY = 500_000
 UNIT = 1_000_000_000
 
 
@@ -48,8 +48,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in held.items():
             if n:
                 same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(n), np.int32))) for x in (lang, source)]
-                terms = pa.array([t.decode("utf-8", "replace") for t in n], pa.string())
-                yield pa.RecordBatch.from_arrays([*same, terms, pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+                columns = [pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64()), pa.array(list(map(docs.__getitem__, n)), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*same, *columns], names=["lang", "source", "term", "n", "docs"])
         held.clear()
 
     for b in batches:
@@ -66,10 +66,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences) and docs (documents that hold it)."""
+    """lang, source, term, n (occurrences) and docs (documents that hold it), dealt by lang and term, so that no later grouping by them exchanges again."""
     rows = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    found = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    found = rows.mapInArrow(_counted, "lang string, source string, term binary, n long, docs long")
+    dealt = found.withColumn("term", F.col("term").cast("string")).repartition(partitions(docs.sparkSession), "lang", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def vocabulary(counts: DataFrame, least_docs: int) -> DataFrame:
@@ -107,8 +108,9 @@ def divergences(docs: DataFrame, least_docs: int = 3, ranks: int = 200) -> DataF
     count = F.coalesce(F.try_element_at("held", F.col("source")), F.lit(0))
     dense = crossed.select("lang", "term", "source", share(count, F.col("n"), F.col("v")).alias("p")).repartition(slices, "lang", "term")
 
-    pairs = dense.join(dense.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q")), ["lang", "term"]).where("source <> item")
-    values = pairs.groupBy("lang", "source", "item").agg(F.sum(excess(F.col("p"), F.col("q"))).alias("value"))
+    pairs = dense.join(dense.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q")), ["lang", "term"]).where("source < item")
+    sums = pairs.groupBy("lang", "source", "item").agg(F.sum(excess(F.col("p"), F.col("q"))).alias("there"), F.sum(excess(F.col("q"), F.col("p"))).alias("back"))
+    values = sums.select("lang", F.inline(F.array(F.struct("source", "item", F.col("there").alias("value")), F.struct(F.col("item").alias("source"), F.col("source").alias("item"), F.col("back").alias("value")))))
     meant = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").where("source <> item")
     pair = meant.join(values, ["lang", "source", "item"], "left").select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value"))
 
