@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,3 +37,11 @@ def numbered(rows: DataFrame, name: str, *order: Column) -> DataFrame:
     counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each range
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return dealt.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before")
+
+
+def arrow_shape(df: DataFrame, fields: str, *kept: str) -> tuple[T.StructType, pa.Schema]:
+    """The schema of rows with some columns of df and further fields, for Spark and for Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    shape = T.StructType([df.schema[k] for k in kept] + T.StructType.fromDDL(fields).fields)
+    return shape, to_arrow_schema(shape)
