@@ -18,14 +18,17 @@ def applied(timeline: DataFrame, changes: DataFrame) -> DataFrame:
     """The timeline after the changes of all items, several for one item in the order of seq.
 
     delete closes the active revision and marks it not valid; change and new_redaction close it and
-    append one; add appends. A change other than add of an item without revisions is left out here
+    append one; add appends. What is open, from before or from additions among the changes, closes at the first later
+    change that is no addition. A change other than add of an item without revisions is left out here
     (see `unresolved`). A revision already closed keeps its end.
     """
     active = active_for_writing(timeline).select(F.col("item_id").alias("a_item"), F.col("rev_idx").alias("a_idx"))
     known = changes.join(active, F.col("item_id") == F.col("a_item"), "left").where("a_item IS NOT NULL OR type = 'add'")
     w = Window.partitionBy("item_id").orderBy("seq")
-    steps = known.withColumn("k", F.row_number().over(w)).withColumn("next_from", F.lead("valid_from").over(w)).withColumn("next_type", F.lead("type").over(w))
-    first = steps.where("k = 1 AND type <> 'add'").select("item_id", F.col("type").alias("c_type"), F.col("valid_from").alias("c_from"), "a_idx")
+    later = F.first(F.when(F.col("type") != "add", F.struct("type", "valid_from")), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    closing = F.when(F.col("type") != "add", F.row_number().over(Window.partitionBy("item_id", F.col("type") == "add").orderBy("seq")))
+    steps = known.withColumn("next", later).withColumn("k", closing)
+    first = steps.where("k = 1").select("item_id", F.col("type").alias("c_type"), F.col("valid_from").alias("c_from"), "a_idx")
     closed = timeline.join(first, "item_id", "left")
     hit = F.col("a_idx").isNotNull() & (F.col("rev_idx") == F.col("a_idx"))
     closed = closed.withColumn("valid_to", F.when(hit & F.col("valid_to").isNull(), closing_date(F.col("c_from"))).otherwise(F.col("valid_to")))
@@ -33,8 +36,8 @@ def applied(timeline: DataFrame, changes: DataFrame) -> DataFrame:
     last = timeline.groupBy("item_id").agg(F.max("rev_idx").alias("last_idx"))
     fresh = steps.where("type <> 'delete'").join(last, "item_id", "left")
     place = F.coalesce("last_idx", F.lit(0)) + F.row_number().over(Window.partitionBy("item_id").orderBy("seq"))
-    ends = F.when(F.col("next_type").isNotNull() & (F.col("next_type") != "add"), closing_date(F.col("next_from")))
-    gone = F.when(F.col("next_type") == "delete", F.date_format("next_from", "yyyy-MM-dd"))
+    ends = closing_date(F.col("next.valid_from"))
+    gone = F.when(F.col("next.type") == "delete", F.date_format("next.valid_from", "yyyy-MM-dd"))
     rows = fresh.withColumn("rev_idx", place).withColumn("valid_to", ends).withColumn("not_valid", gone)
     new = rows.select("item_id", F.col("rev_idx").cast("int").alias("rev_idx"), "valid_from", "valid_to", F.col("new_value").alias("value"), F.col("type").alias("mod_type"), "modified_by_id", "not_valid")
     return closed.select(new.columns).unionByName(new)
@@ -99,13 +102,6 @@ def chain_scan(documents: DataFrame, folder: str, name: str) -> DataFrame:
     return chain_order(documents, [folder], *order)
 
 
-def folded(timeline: DataFrame, batches: list[DataFrame], keep) -> DataFrame:
-    """Amendments one after another; `keep` (a function of a table and a name) writes each step where all executors see it."""
-    for k, changes in enumerate(batches):
-        timeline = keep(applied(timeline, changes), f"step_{k}")
-    return timeline
-
-
 def stage_answers(changes: DataFrame, answers: DataFrame) -> DataFrame:
     """Each change with the next unused answer of its key: the n-th change of a key takes the n-th answer."""
     k = F.row_number().over(Window.partitionBy("base_key").orderBy("seq")) - 1
