@@ -72,7 +72,9 @@ def merged(old: DataFrame, new: DataFrame, roots: DataFrame) -> DataFrame:
         safe = lambda t: t.withColumn("item_number", F.coalesce("item_number", F.lit("\u0000")))
         both = safe(below_old).join(safe(below_new), keys, "full_outer").select("old_id", "new_id")
         inside = n.join(added.select(F.col("new_id").alias("new_up")), "new_up").select(F.lit(None).cast("string").alias("old_id"), "new_id")
-        at = cut(both.unionByName(inside).select("old_id", "new_id", F.lit(len(levels) + 1).alias("depth"), F.lit(False).alias("top")))
+        at = both.unionByName(inside).select("old_id", "new_id", F.lit(len(levels) + 1).alias("depth"), F.lit(False).alias("top"))
+        seen = reduce(DataFrame.unionByName, levels).select(F.col("old_id").alias("o"), F.col("new_id").alias("n"))
+        at = cut(at.join(seen, F.col("old_id").eqNullSafe(F.col("o")) & F.col("new_id").eqNullSafe(F.col("n")), "left_anti"))  # an item below itself ends the walk
         if at.isEmpty():
             break
         levels.append(at)
@@ -94,19 +96,22 @@ def merged(old: DataFrame, new: DataFrame, roots: DataFrame) -> DataFrame:
     return out.select("old_id", "new_id", action.alias("action"), "top", head.alias("head_changed"), "depth")
 
 
-def history_rows(actions: DataFrame, timeline: DataFrame, date: Column, modified_by: Column) -> DataFrame:
+def history_rows(actions: DataFrame, timeline: DataFrame, date: Column, modified_by: Column, placeholders: DataFrame | None = None) -> DataFrame:
     """The timeline of merged items after a merge: nothing is lost.
 
     timeline: item_id, rev_idx, valid_from, valid_to, mod_type, modified_by_id, not_valid. change closes the last
     open revision the day before and appends one (new_redaction at the top, change below); add appends
-    the first one; close and moved end the open one, not valid. Other items stay as they are.
+    the first one; close and moved end the open one, not valid. Other items stay as they are. The open revision of a placeholder (item_id),
+    made for an addition before its content was known, never was in force: it ends as not valid when the content comes.
     """
     last = timeline.groupBy("item_id").agg(F.max("rev_idx").alias("last_idx"), F.max(F.when(F.col("valid_to").isNull(), F.col("rev_idx"))).alias("open_idx"))
     acts = actions.where("action <> 'keep'").select(F.coalesce("old_id", "new_id").alias("item_id"), "action", "top")
     joined = timeline.join(acts, "item_id", "left").join(last.select("item_id", "open_idx"), "item_id", "left")
+    stubs = (placeholders if placeholders is not None else acts.where("false")).select("item_id", F.lit(True).alias("stub")).distinct()
+    joined = joined.join(stubs, "item_id", "left").withColumn("stub", F.coalesce("stub", F.lit(False)))
     hit = F.col("action").isin("change", "close", "moved") & (F.col("rev_idx") == F.col("open_idx"))
     hit = F.coalesce(hit, F.lit(False))
-    closed = joined.withColumn("valid_to", F.when(hit, closing_date(date)).otherwise(F.col("valid_to"))).withColumn("not_valid", F.when(hit & F.col("action").isin("close", "moved"), F.date_format(date, "yyyy-MM-dd")).otherwise(F.col("not_valid")))
+    closed = joined.withColumn("valid_to", F.when(hit, closing_date(date)).otherwise(F.col("valid_to"))).withColumn("not_valid", F.when(hit & (F.col("action").isin("close", "moved") | F.col("stub")), F.date_format(date, "yyyy-MM-dd")).otherwise(F.col("not_valid")))
     kind = F.when(F.col("action") == "add", "add").when(F.col("top"), "new_redaction").otherwise("change")
     fresh = acts.where("action IN ('change', 'add')").join(last, "item_id", "left").select("item_id", (F.coalesce("last_idx", F.lit(0)) + 1).cast("int").alias("rev_idx"), date.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), kind.alias("mod_type"), modified_by.alias("modified_by_id"), F.lit(None).cast("string").alias("not_valid"))
     return closed.select(*fresh.columns).unionByName(fresh)

@@ -28,18 +28,22 @@ def word_type(word: Column) -> Column:
     return reduce(lambda acc, s: F.when(word.contains(s[0]), F.lit(s[1])).otherwise(acc), reversed(STEMS), F.lit(None).cast("string"))
 
 
-def word_number(word: Column) -> Column:
-    """The number a word (in lower case) stands for: digits, dotted digits, one letter, Roman in upper case; else null."""
-    bare = F.regexp_replace(word, "[.,;:)]+$", "")
-    bare = F.regexp_replace(F.regexp_replace(bare, f"^[{QUOTES}]+|[{QUOTES}]+$", ""), "[.,;:)]+$", "")
+def bare_word(word: Column) -> Column:
+    """Without marks and quotes around it."""
+    return F.regexp_replace(word, f"[.,;:){QUOTES}]+$|^[{QUOTES}]+", "")
+
+
+def word_number(bare: Column) -> Column:
+    """The number a bare word (in lower case) stands for: digits, dotted digits, one letter, Roman in upper case; else null."""
     return F.when(bare.rlike("^[ivxlcdm]+[⁰¹²³⁴⁵⁶⁷⁸⁹]*$"), F.upper(bare)).when(bare.rlike("^[0-9.]*[0-9][0-9.]*$|^[а-я]$"), bare)
 
 
 def structural_tokens(text: Column) -> Column:
     """Types and numbers of a path text, outermost first; a type without a number after it has none; other words are skipped."""
     words = F.split(F.lower(squeezed(text)), " ")
-    pairs = F.transform(words, lambda w, i: F.struct(word_type(w).alias("type"), word_number(F.get(words, i + 1)).alias("number")))
-    return F.filter(pairs, lambda p: p["type"].isNotNull())
+    beside = F.zip_with(words, F.slice(words, 2, 1 << 20), lambda w, after: F.struct(word_type(w).alias("type"), after.alias("after")))  # no step looks back at the whole
+    typed = F.transform(F.filter(beside, lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), bare_word(p["after"]).alias("bare")))
+    return F.transform(typed, lambda p: F.struct(p["type"].alias("type"), word_number(p["bare"]).alias("number")))
 
 
 def paragraph_order(text: Column) -> Column:
@@ -55,46 +59,61 @@ def named_addition(text: Column) -> Column:
     return F.get(structural_tokens(text), 0)
 
 
+NO_NUMBER = "-"
+
+
+def with_keys(items: DataFrame) -> DataFrame:
+    """A row for each number_key an item answers to: its cleaned number, and NO_NUMBER where a wanted one without number fits it (see `number_matches`)."""
+    own = F.concat(F.lit("n"), clean_number(F.col("item_number")))
+    keys = F.array_compact(F.array(own, F.when(number_matches(F.col("item_type"), F.col("item_number"), F.lit(None).cast("string")), NO_NUMBER)))
+    return items.withColumn("number_key", F.explode(keys))
+
+
+def wanted_key(number: Column) -> Column:
+    return F.when(F.coalesce(F.trim(number.cast("string")), F.lit("")) == "", NO_NUMBER).otherwise(F.concat(F.lit("n"), clean_number(number)))
+
+
+def _matched(items: DataFrame, wanted: DataFrame, inside: str) -> DataFrame:
+    w = wanted.select("want_id", inside, "item_type", wanted_key(F.col("item_number")).alias("number_key"))
+    found = with_keys(items.select("item_id", inside, "item_type", "item_number")).join(w, [inside, "item_type", "number_key"])
+    return found.select("want_id", "item_id", F.count("*").over(Window.partitionBy("want_id")).alias("n_matches"))
+
+
 def matching(kids: DataFrame, wanted: DataFrame) -> DataFrame:
     """Each wanted (want_id, parent_item_id, item_type, item_number) with the children that match it and how many there are."""
-    w = wanted.select("want_id", F.col("parent_item_id").alias("up"), F.col("item_type").alias("wanted_type"), F.col("item_number").alias("wanted_number"))
-    hit = (F.col("parent_item_id") == F.col("up")) & (F.col("item_type") == F.col("wanted_type"))
-    found = kids.join(w, hit).where(number_matches(F.col("item_type"), F.col("item_number"), F.col("wanted_number")))
-    return found.select("want_id", "item_id", F.count("*").over(Window.partitionBy("want_id")).alias("n_matches"))
+    return _matched(kids, wanted, "parent_item_id")
 
 
 def matching_anywhere(items: DataFrame, wanted: DataFrame) -> DataFrame:
     """As `matching`, over all items of the wanted document (npa_id)."""
-    w = wanted.select("want_id", F.col("npa_id").alias("doc"), F.col("item_type").alias("wanted_type"), F.col("item_number").alias("wanted_number"))
-    found = items.join(w, (F.col("npa_id") == F.col("doc")) & (F.col("item_type") == F.col("wanted_type"))).where(number_matches(F.col("item_type"), F.col("item_number"), F.col("wanted_number")))
-    return found.select("want_id", "item_id", F.count("*").over(Window.partitionBy("want_id")).alias("n_matches"))
+    return _matched(items, wanted, "npa_id")
 
 
 def resolved(items: DataFrame, paths: DataFrame, transparent: tuple[str, ...] = TRANSPARENT) -> DataFrame:
     """path_id, item_id, n_matches: each item that a path leads to.
 
     A path starts at the roots of its document. An item that matches the next token takes it; one that
-    doesn't is passed through if its type is transparent.
+    doesn't is passed through if its type is transparent. Matches are joined by parent, type and number; an item below itself is met once.
     """
-    nodes = items.select("npa_id", "item_id", "parent_item_id", "item_type", "item_number")
+    below = F.coalesce("parent_item_id", F.lit("")).alias("up")
+    nodes = items.select("npa_id", "item_id", below, "item_type", "item_number")
+    keyed = cut(with_keys(nodes).select("npa_id", "up", "item_type", "number_key", "item_id"))
+    passed = cut(nodes.where(F.col("item_type").isin(*transparent)).select("npa_id", "up", "item_id"))
     n = F.size("tokens")
-
-    def advance(rows: DataFrame) -> DataFrame:
-        token = F.get("tokens", F.col("used"))
-        hit = (F.col("item_type") == token["type"]) & number_matches(F.col("item_type"), F.col("item_number"), token["number"])
-        rows = rows.withColumn("hit", F.coalesce(hit, F.lit(False)))
-        return rows.where(F.col("hit") | F.col("item_type").isin(*transparent)).withColumn("used", F.col("used") + F.col("hit").cast("int"))
-
-    at = advance(nodes.where("parent_item_id IS NULL").join(paths.where(n > 0), "npa_id").withColumn("used", F.lit(0)))
-    children = nodes.select("npa_id", "item_id", F.col("parent_item_id").alias("up"), "item_type", "item_number")
+    at = paths.where(n > 0).select("npa_id", F.lit("").alias("up"), "path_id", "tokens", F.lit(0).alias("used"), F.expr("cast(array() AS array<string>)").alias("above"))
     found = []
     while True:
-        at = cut(at)
-        found.append(at.where((F.col("used") == n) & F.col("hit")).select("path_id", "item_id"))
-        open_ = at.where(F.col("used") < n).select("npa_id", F.col("item_id").alias("up"), "path_id", "tokens", "used")
-        if open_.isEmpty():
+        token = F.get("tokens", F.col("used"))
+        told = at.withColumn("item_type", token["type"]).withColumn("number_key", wanted_key(token["number"]))
+        kept = ["npa_id", "item_id", "path_id", "tokens", "used", "above"]
+        hit = told.join(keyed, ["npa_id", "up", "item_type", "number_key"]).select(*kept).withColumn("used", F.col("used") + 1)
+        through = at.join(passed, ["npa_id", "up"]).select(*kept)
+        through = through.join(hit.select("path_id", "item_id", (F.col("used") - 1).alias("used")), ["path_id", "item_id", "used"], "left_anti").select(*kept)
+        rows = cut(hit.withColumn("hit", F.lit(True)).unionByName(through.withColumn("hit", F.lit(False))).where("NOT array_contains(above, item_id)"))
+        found.append(rows.where((F.col("used") == n) & F.col("hit")).select("path_id", "item_id"))
+        at = rows.where(F.col("used") < n).select("npa_id", F.col("item_id").alias("up"), "path_id", "tokens", "used", F.concat("above", F.array("item_id")).alias("above"))
+        if at.isEmpty():
             break
-        at = advance(children.join(open_, ["npa_id", "up"]).drop("up"))
     return reduce(DataFrame.unionByName, found).withColumn("n_matches", F.count("*").over(Window.partitionBy("path_id")))
 
 
