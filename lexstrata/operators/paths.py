@@ -21,6 +21,8 @@ STEMS = (("стат", "article"), ("част", "part"), ("подпункт", "su
 # Types that a path may leave out.
 TRANSPARENT = ("appendix", "structured_table", "section", "chapter")
 CONTAINERS = ("chapter", "section")
+# Beginnings of path texts and what a topic must hold for them.
+KEYWORDS = (("наименование", "наименовани"), ("преамбул", "преамбул"), ("статья", "стать"))
 QUOTES = "«»“”‘’\"'"
 
 
@@ -219,11 +221,18 @@ def topic(html: Column) -> Column:
 
 def topic_patterns(text: Column) -> Column:
     """Beginnings of type words and the numbers after them in a path text."""
-    pattern = F.lit("(?iu)(часть|части|пункт[а-яё]*|стать[а-яё]+|подпункт[а-яё]*|абзац[а-яё]*|глав[а-яё]*|раздел[а-яё]*)\\s+«?\\s*([а-яё]|[0-9]+(?:\\.[0-9]+)?)\\s*»?")
+    stems = "|".join(stem for stem, kind in STEMS if kind not in ("appendix", "preamble", "structured_table"))
+    pattern = F.lit(f"(?iu)((?:{stems})[а-яё]*)\\s+«?\\s*([а-яё]|[0-9]+(?:\\.[0-9]+)?)\\s*»?")
     words, numbers = (F.regexp_extract_all(text, pattern, k) for k in (1, 2))
     return F.zip_with(words, numbers, lambda w, n: F.struct(F.substring(F.lower(w), 1, 4).alias("stem"), n.alias("number")))
 
 
+def keyword(text: Column) -> Column:
+    """What a topic must hold if the path text begins with the word of a title, a preamble or an article; else null."""
+    low = F.lower(F.trim(text))
+    return reduce(lambda acc, k: F.when(low.startswith(k[0]), F.lit(k[1])).otherwise(acc), reversed(KEYWORDS), F.lit(None).cast("string"))
+
+
 def topic_score(text: Column, patterns: Column) -> Column:
     """How many of the patterns' numbers stand near their word: at most 25 characters after its start, or right before it."""
 
@@ -243,9 +252,10 @@ def narrowed(items: DataFrame, closed: DataFrame, asks: DataFrame) -> DataFrame:
     items: item_id, html (its first paragraph), preorder; asks: want_id, item_id, text.
     """
     below = closed.select(F.col("ancestor_id").alias("item_id"), F.col("item_id").alias("below"), "distance")
-    scored = asks.withColumn("patterns", topic_patterns(F.col("text"))).where(F.size("patterns") > 0).join(below, "item_id")
+    told = asks.withColumn("patterns", topic_patterns(F.col("text"))).withColumn("keyword", keyword(F.col("text")))
+    scored = told.where("size(patterns) > 0 OR keyword IS NOT NULL").join(below, "item_id")
     own = items.select(F.col("item_id").alias("below"), topic(F.col("html")).alias("topic"), "preorder")
-    scored = scored.join(own, "below").withColumn("score", topic_score(F.col("topic"), F.col("patterns"))).where("score > 0")
+    scored = scored.join(own, "below").withColumn("score", topic_score(F.col("topic"), F.col("patterns")) + F.coalesce(F.contains("topic", F.col("keyword")).cast("int"), F.lit(0))).where("score > 0")
     best = scored.groupBy("want_id").agg(F.max_by("below", F.struct("score", "distance", -F.col("preorder"))).alias("best"))
     return asks.join(best, "want_id", "left").select("want_id", F.coalesce("best", "item_id").alias("item_id"))
 

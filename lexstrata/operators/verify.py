@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexstrata.functions.dates import bad_date, valid_format
@@ -105,7 +105,9 @@ def highlight_checks(timeline: DataFrame) -> DataFrame:
 def inherited_references(blocks: DataFrame, timeline: DataFrame) -> DataFrame:
     """References of a new wording that the revision before it had too, though the child has no open revision."""
     refs = blocks.where("ref_item_id IS NOT NULL").select("item_id", "rev_idx", "ref_item_id").distinct()
-    before = refs.select("item_id", (F.col("rev_idx") + 1).alias("rev_idx"), "ref_item_id")
+    listed = Window.partitionBy("item_id").orderBy("rev_idx")
+    next_ = timeline.select("item_id", "rev_idx").distinct().withColumn("next_idx", F.lead("rev_idx").over(listed))  # places may have gaps
+    before = refs.join(next_.where("next_idx IS NOT NULL"), ["item_id", "rev_idx"]).select("item_id", F.col("next_idx").alias("rev_idx"), "ref_item_id")
     wordings = timeline.where("mod_type = 'new_redaction'").select("item_id", "rev_idx")
     kept = refs.join(wordings, ["item_id", "rev_idx"]).join(before, ["item_id", "rev_idx", "ref_item_id"], "left_semi")
     open_ = timeline.where("valid_to IS NULL").select(F.col("item_id").alias("ref_item_id")).distinct()
