@@ -95,16 +95,17 @@ class Rollup:
         """Commits the batch unless its id is known; says whether it did."""
         return self._commit(batch, deltas(events), [])
 
-    def totals(self) -> DataFrame:
-        folders = [f"{self.path}/data/{f}" for f in self.published().values() if f]
+    def totals(self, of: dict[str, str] | None = None) -> DataFrame:
+        """The sums of all batches, or of those of a list read before (`published`)."""
+        folders = [f"{self.path}/data/{f}" for f in (self.published() if of is None else of).values() if f]
         rows = self.spark.read.schema(DELTA).parquet(*folders) if folders else self.spark.createDataFrame([], DELTA)
         out = rows.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
         return out.where("n_docs <> 0 OR n_tokens <> 0")
 
     def compact(self, into: "Rollup", batch: str) -> bool:
         """The totals as one batch of another store, which then knows the ids of all batches in it."""
-        folded = self.committed()
-        return into._commit(batch, self.totals().select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens")), folded)
+        known = self.published()  # read once: a batch that comes later is neither in the sums nor among the ids
+        return into._commit(batch, self.totals(known).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens")), sorted(known))
 
 
 def later_copies(rows: DataFrame) -> DataFrame:

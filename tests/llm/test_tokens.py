@@ -195,3 +195,22 @@ def test_count_query_equals_recount(spark, docs_of):
     for b, events in queries.count_events(docs, PATH).items():
         rollup.commit(b, events)
     assert {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()} == total
+
+
+def test_a_batch_that_comes_amid_a_compaction_counts_once(spark, tmp_path, monkeypatch):
+    schema = "source string, lang string, version string, sign int, n_tokens long"
+    make = lambda n: spark.createDataFrame([("a", "en", "v1", 1, n)], schema)
+    one, two = token_counts.Rollup(spark, f"file://{tmp_path}/one"), token_counts.Rollup(spark, f"file://{tmp_path}/two")
+    one.commit("b1", make(10))
+    read = one.published
+
+    def late():
+        found = read()
+        monkeypatch.setattr(one, "published", read)
+        one.commit("b2", make(5))
+        return found
+
+    monkeypatch.setattr(one, "published", late)
+    assert one.compact(two, "all")
+    assert two.commit("b2", make(5)) and not two.commit("b1", make(10))
+    assert [r.n_tokens for r in two.totals().collect()] == [15]
