@@ -17,7 +17,7 @@
 5. The longest common subsequence of the item and the text around the passage is taken over whole words
    (64-bit hashes). A leak has at least `share` of the item's words in it, in a stretch of text not much
    longer than the item, and, unless nearly all of the item is there, at least half of the item's last words
-   (its answer). A paraphrase, whose passage has a cosine of PARAPHRASE or more, needs PARAPHRASE_SHARE of
+   (its answer). A paraphrase, found by its passage's cosine alone, needs PARAPHRASE_SHARE of
    the words and two thirds of the answer. An item under LEAST_WORDS words leaks where all its words stand in a row.
 
 Items are a stated query set: they are read in blocks of MOST_ITEMS, each held against all rows.
@@ -45,7 +45,7 @@ from lexstrata.llm.shared import dropped, only, partitions, stored
 FEATURES, RANK = 1 << 14, 64
 PASSAGE, STRIDE = 16, 8
 LEAST_WEIGHT = 0.1
-COSINE, PARAPHRASE, PARAPHRASE_SHARE = 0.5, 0.75, 0.45
+COSINE, PARAPHRASE_SHARE = 0.5, 0.45
 LEAST_WORDS = 8
 MOST_ITEMS = 5_000
 ROWS_AT_ONCE = 4096
@@ -204,7 +204,7 @@ class Lists:
         own = (vectors @ self.centroids.T).argmax(1) if n else np.zeros(0, np.int64)
         self.members = [np.flatnonzero(own == c) for c in range(len(self.centroids))]
         self.vectors = [np.ascontiguousarray(vectors[m].T) for m in self.members]
-        self.probes = max(1, -(-k // 3)) if k > 3 else k
+        self.probes = -(-k // 2)
 
     def near(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query, vector and cosine of pairs over `least`."""
@@ -280,7 +280,7 @@ def leaked(item: np.ndarray, text: np.ndarray, share: float, cosine: float = 0.0
     n, tail = lcs(item, text), max(3, len(item) // 5)
     if n >= fewest(len(item), share):
         return n if n >= 0.85 * len(item) or 2 * lcs(item[-tail:], text) >= tail else 0
-    if cosine >= PARAPHRASE and n >= max(LEAST_WORDS - 1, PARAPHRASE_SHARE * len(item)):
+    if cosine >= COSINE and n >= max(LEAST_WORDS - 1, PARAPHRASE_SHARE * len(item)):
         return n if 3 * lcs(item[-tail:], text) >= 2 * tail else 0
     return 0
 

@@ -4,6 +4,7 @@ import os
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lexstrata.llm import chat, leaks, quality, toxicity
@@ -110,9 +111,9 @@ def test_leaks_of_short_items_and_paraphrases(spark, docs_of, words):
     a, b = np.arange(40, dtype=np.uint64), np.arange(40, dtype=np.uint64)
     b[np.arange(0, 32, 2)] += 100
     b[[1, 3]] += 100  # 22 of 40 are left: only a near passage makes it a leak
-    assert leaks.leaked(a, b, 0.6) == 0 and leaks.leaked(a, b, 0.6, leaks.PARAPHRASE) == 22
+    assert leaks.leaked(a, b, 0.6) == 0 and leaks.leaked(a, b, 0.6, leaks.COSINE) == 22
     b[-4:] += 100
-    assert leaks.leaked(a, b, 0.6, leaks.PARAPHRASE) == 0
+    assert leaks.leaked(a, b, 0.6, leaks.COSINE) == 0
 
 
 def test_lists_find_near_vectors():
@@ -249,3 +250,29 @@ def test_pipeline(spark, docs_of, words, tmp_path):
     assert rows[0].text == texts[0] and rows[3].text == texts[3] and rows[7].text is None
     assert rows[4].text.split() == texts[4].split()[:70]
     assert all(rows[k].text == texts[k] and rows[k].decoded == texts[k] for k in range(9, first))
+
+
+def test_recall_of_paraphrases(spark):
+    """Items of 20 to 50 words of which about half are kept in order, the last fifth whole, the others replaced by chance words."""
+
+    rng = random.Random(23)
+    stock = [f"{''.join(rng.choice('abcdefghijklm') for _ in range(rng.randint(2, 8)))}{k}" for k in range(4000)]
+    weights = [1 / (k + 3) for k in range(4000)]
+    words = lambda n: rng.choices(stock, weights, k=n)
+    items, docs, planted = [], [], set()
+    for k in range(250):
+        item = words(rng.randint(20, 50))
+        n, tail = len(item), max(3, len(item) // 5)
+        kept = {*rng.sample(range(n - tail), max(0, round(rng.uniform(0.46, 0.59) * n) - tail)), *range(n - tail, n)}
+        text = [x if i in kept else words(1)[0] for i, x in enumerate(item)]
+        number = {w: j for j, w in enumerate(dict.fromkeys(item + text))}
+        common = leaks.lcs(np.array([number[x] for x in item]), np.array([number[x] for x in text]))
+        if leaks.PARAPHRASE_SHARE * n <= common < 0.6 * n:
+            planted.add(k)
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(words(rng.randint(30, 200)) + text + words(rng.randint(30, 200)))))
+    docs += [(1000 + k, " ".join(words(rng.randint(50, 400)))) for k in range(200)]
+    found = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert len(planted) > 200 and len({k for k in planted if (k, k) in got}) >= 0.9 * len(planted)
+    assert all(d == i for d, i in got)
