@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lexstrata.functions import numbers, text
 from lexstrata.operators.bodies import rendered_tree, renumbered
 from lexstrata.operators.tree import closure
+from lexstrata.session import cut
 
 HEADED = ("article", "chapter", "section", "appendix")
 COUNTED = ("part", "point", "subpoint")
@@ -90,7 +91,7 @@ def shown_blocks(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes
 
 def rendered_items(roots: DataFrame, items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes: DataFrame, bare: DataFrame | None = None) -> DataFrame:
     """root_id, html of whole items (roots: root_id), children in the places of their references."""
-    return rendered_tree(roots, shown_blocks(items, blocks, heads, prefixes, bare))
+    return rendered_tree(roots, cut(shown_blocks(items, blocks, heads, prefixes, bare)), most_levels=2)
 
 
 def texts_below(roots: DataFrame, items: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def texts_below(roots: DataFrame, items: DataFrame, blocks: DataFrame) -> DataFr
     own = blocks.where("type = 'paragraph'").groupBy("item_id").agg(F.trim(said).alias("html_text"))
     texts = own.select("item_id", F.lit(-1).alias("ord"), "html_text", F.lit(None).cast("string").alias("ref_item_id"))
     below = items.where("parent_item_id IS NOT NULL").select(F.col("parent_item_id").alias("item_id"), F.col("place").cast("int").alias("ord"), F.lit(None).cast("string").alias("html_text"), F.col("item_id").alias("ref_item_id"))
-    return rendered_tree(roots, texts.unionByName(below)).select("root_id", F.replace("html", F.lit("\n"), F.lit(" ")).alias("text"))
+    return rendered_tree(roots, cut(texts.unionByName(below)), most_levels=2).select("root_id", F.replace("html", F.lit("\n"), F.lit(" ")).alias("text"))
 
 
 # --- pending items
@@ -113,7 +114,7 @@ def pending_ids(items: DataFrame, pending: DataFrame) -> DataFrame:
 def rebuild_steps(items: DataFrame, requested: DataFrame, pending: DataFrame) -> DataFrame:
     """item_id, depth, step of the requested items that have staged markup or no requested ancestor; deepest first, then by id."""
     from lexstrata.operators.tree import depths, dominating
-    from lexstrata.session import cut, numbered
+    from lexstrata.session import numbered
 
     closed = cut(closure(items))
     asked = requested.select("item_id").distinct()
@@ -141,8 +142,6 @@ def pending_markup(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefix
     with rebuilt descendants takes its own markup and then their new paragraphs, in document order, at any depth; without
     markup of its own it takes the whole of itself as rendered with what was rebuilt below it, without its number.
     """
-    from lexstrata.session import cut
-
     new = cut(staged_blocks(blocks, pending))
     paths = cut(_document_order(items))
     closed = cut(closure(items))
@@ -167,8 +166,6 @@ def _document_order(items: DataFrame) -> DataFrame:
     """item_id, sort_path: places from the root down."""
     from itertools import count
 
-    from lexstrata.session import cut
-
     at = items.where("parent_item_id IS NULL").select("item_id", F.array(F.col("place").cast("long")).alias("sort_path"))
     out = at
     for level in count(1):
