@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,3 +47,9 @@ def arrow_shape(df: DataFrame, fields: str, *kept: str) -> tuple[T.StructType, p
 
     shape = T.StructType([df.schema[k] for k in kept] + T.StructType.fromDDL(fields).fields)
     return shape, to_arrow_schema(shape)
+
+
+def in_batches(rows: Iterable[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Rows in Arrow batches of up to `size`."""
+    for part in batched(rows, size):
+        yield pa.RecordBatch.from_pylist(list(part), schema=schema)
