@@ -72,8 +72,8 @@ def test_counts_are_told_in_pieces(spark, monkeypatch):
     parts = list(divergence._counted(iter(rows)))
     for b in parts:
         for r in b.to_pylist():
-            found[0][r["source"], r["term"]] += r["n"]
-            found[1][r["source"], r["term"]] += r["docs"]
+            found[0][r["source"], r["term"].decode()] += r["n"]
+            found[1][r["source"], r["term"].decode()] += r["docs"]
     assert len(parts) > 1 and found[0]["a", "a"] == 4 and found[1]["a", "a"] == 3 and found[0]["b", "a"] == 1
 
 
