@@ -16,8 +16,8 @@ def renumbered(blocks: DataFrame, keys: list[str], *order) -> DataFrame:
     return blocks.withColumn("ord", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("int"))
 
 
-def with_references(blocks: DataFrame, additions: DataFrame, places: DataFrame) -> DataFrame:
-    """Bodies (item_id, ord, ref_item_id) with references to added children (item_id, ref_item_id).
+def with_references(blocks: DataFrame, additions: DataFrame, places: DataFrame, *kept: str) -> DataFrame:
+    """Bodies (item_id, ord, ref_item_id and kept columns) with references to added children (item_id, ref_item_id).
 
     places (ref_item_id, place) orders siblings. A reference goes after that of the nearest sibling before
     it, else before that of the nearest after it, else to the end.
@@ -31,8 +31,9 @@ def with_references(blocks: DataFrame, additions: DataFrame, places: DataFrame)
     held = near.where("old = 0").select("item_id", "ref_item_id", "place", "after", "before")
     ends = blocks.groupBy("item_id").agg(F.max("ord").alias("top"))
     placed = held.join(ends, "item_id", "left").select("item_id", "ref_item_id", F.coalesce(F.col("after") + 0.5, F.col("before") - 0.5, F.col("top") + 0.5, F.lit(1.0)).alias("spot"), "place")
-    old = blocks.select("item_id", "ref_item_id", F.col("ord").cast("double").alias("spot"), F.lit(0).cast("int").alias("place"))
-    return renumbered(old.unionByName(placed.withColumn("place", F.col("place").cast("int"))), ["item_id"], "spot", "place").select("item_id", "ord", "ref_item_id")
+    old = blocks.select("item_id", "ref_item_id", F.col("ord").cast("double").alias("spot"), F.lit(0).cast("int").alias("place"), *kept)
+    every = old.unionByName(placed.withColumn("place", F.col("place").cast("int")), allowMissingColumns=True)
+    return renumbered(every, ["item_id"], "spot", "place").select("item_id", "ord", "ref_item_id", *kept)
 
 
 def rewritten(blocks: DataFrame, texts: DataFrame, key: str) -> DataFrame:
@@ -42,21 +43,23 @@ def rewritten(blocks: DataFrame, texts: DataFrame, key: str) -> DataFrame:
     return renumbered(new.unionByName(old), [key], "kind", "spot").select(key, "ord", "html_text", "ref_item_id")
 
 
+TAGS = "\\s*((?:</?[^>]*>\\s*)*)$"
+
+
 def ending(text, mark: str):
-    return F.rtrim(text).endswith(mark)
+    return F.coalesce(text, F.lit("")).rlike(f"[{mark}]{TAGS}")
 
 
 def after_addition(siblings: DataFrame) -> DataFrame:
-    """Texts of siblings (parent_item_id, item_number, text, added) after additions at the end.
+    """Texts (plain or markup) of siblings (parent_item_id, item_number, text, added) after additions at the end, one after another by number.
 
-    The item before an added last one ends in ';' instead of '.', if other siblings end in ';'.
+    The item before an added last one ends in ';' instead of '.', if a sibling before the added one ends in ';'.
     """
     w = Window.partitionBy("parent_item_id").orderBy(number_tuple(F.col("item_number")), "item_number")
-    every = Window.partitionBy("parent_item_id")
-    listed = F.max(ending(F.col("text"), ";")).over(every)
-    follows = F.lead("added").over(w) & F.lead("item_number", 2).over(w).isNull()
-    hit = F.coalesce(follows, F.lit(False)) & ~F.col("added") & listed & ending(F.col("text"), ".")
-    return siblings.withColumn("new_text", F.when(hit, F.regexp_replace("text", "\\.\\s*$", ";")).otherwise(F.col("text")))
+    listed = F.max(ending(F.col("text"), ";")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    follows = F.min("added").over(w.rowsBetween(1, Window.unboundedFollowing))
+    hit = F.coalesce(follows & listed, F.lit(False)) & ending(F.col("text"), ".")
+    return siblings.withColumn("new_text", F.when(hit, F.regexp_replace("text", f"\\.{TAGS}", ";$1")).otherwise(F.col("text")))
 
 
 def after_deletion(siblings: DataFrame) -> DataFrame:
