@@ -701,4 +701,4 @@ def declared_replacement(spark, d):
     return highlights.declared_replacements(rows, "o_orderkey").select("o_orderkey", "old_text", "new_text", "position")
 
 
-from lexstrata.plans import documents, editing, logs, parsing, rebuilding, running, scalars, structure, timing  # noqa: E402, F401  (they register more queries)
+from lexstrata.plans import adding, documents, editing, logs, parsing, rebuilding, running, scalars, structure, timing  # noqa: E402, F401  (they register more queries)
