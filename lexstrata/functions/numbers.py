@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -15,13 +16,20 @@ ORDINALS = {"перв": 1, "втор": 2, "трет": 3, "четверт": 4, "
 ROMAN = "^(?=[IVXLCDM])M{0,3}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$"
 
 
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with a value that is worked out once, however often `then` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def roman_value(text: Column) -> Column:
     """Value of a Roman number, null for other texts: a digit below its successor counts negative."""
-    upper = F.upper(F.trim(text))
-    value = lambda c: F.element_at(F.create_map(*[F.lit(x) for pair in zip("IVXLCDM", (1, 5, 10, 50, 100, 500, 1000), strict=True) for x in pair]), c)
-    values = F.transform(F.split(upper, ""), value)
-    signed = F.transform(values, lambda v, i: F.when(v < F.coalesce(F.get(values, i + 1), F.lit(0)), -v).otherwise(v))
-    return F.when(upper.rlike(ROMAN), F.aggregate(signed, F.lit(0), lambda a, x: a + x))
+
+    def value(upper: Column) -> Column:
+        digits = [F.lit(v) * (F.length(upper) - F.length(F.replace(upper, F.lit(c), F.lit("")))) for c, v in zip("IVXLCDM", (1, 5, 10, 50, 100, 500, 1000), strict=True)]
+        below = [F.when(upper.contains(a) | upper.contains(b), F.lit(-2 * v)).otherwise(0) for a, b, v in (("IV", "IX", 1), ("XL", "XC", 10), ("CD", "CM", 100))]
+        return F.when(upper.rlike(ROMAN), reduce(Column.__add__, digits + below))
+
+    return once(F.upper(F.trim(text)), value)
 
 
 def superscripts_to_digits(text: Column) -> Column:
@@ -40,9 +48,8 @@ def clean_number(text: Column) -> Column:
     """Normal form for comparison: '1)', '1.' and '1' agree, Roman becomes Arabic, look-alike letters Cyrillic."""
     bare = F.regexp_replace(F.trim(F.regexp_replace(text.cast("string"), "<[^>]+>", "")), "[\"«»“”'(,;:]", "")
     bare = F.regexp_replace(bare, "[.)]+$", "")
-    roman = roman_value(bare)
-    digits = F.regexp_replace(bare, "^0+(?=\\d+$)", "")
-    return F.coalesce(roman.cast("string"), F.translate(F.lower(digits), LATIN, CYRILLIC))
+    digits = lambda b: F.regexp_replace(b, "^0+(?=\\d+$)", "")
+    return once(bare, lambda b: F.coalesce(roman_value(b).cast("string"), F.translate(F.lower(digits(b)), LATIN, CYRILLIC)))
 
 
 def item_number(item_type: Column, number: Column) -> Column:

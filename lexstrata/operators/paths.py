@@ -119,25 +119,26 @@ def resolved(items: DataFrame, paths: DataFrame, transparent: tuple[str, ...] =
     return reduce(DataFrame.unionByName, found).withColumn("n_matches", F.count("*").over(Window.partitionBy("path_id")))
 
 
-def deepest_ancestors(items: DataFrame, paths: DataFrame, matches=None) -> DataFrame:
+def deepest_ancestors(items: DataFrame, paths: DataFrame, typed: bool = True) -> DataFrame:
     """path_id, item_id, remaining: how far a path goes from the roots, taking the first match at each level, and the tokens left.
 
-    item_id is null where not even the first token matches. matches(item type, item number, token) may
-    replace the rule of types and numbers.
+    item_id is null where not even the first token matches. Items are met by type and number (see `with_keys`);
+    without `typed` by their cleaned number alone. Keys are made once, and a level's rows are written once.
     """
-    matches = matches or (lambda t, n, token: (t == token["type"]) & number_matches(t, n, token["number"]))
-    kids = items.select(F.col("npa_id").alias("doc"), F.col("parent_item_id").alias("up"), F.col("item_id").alias("child"), "item_type", "item_number", "place")
-    at = paths.select("path_id", "npa_id", "tokens", F.lit(0).alias("used"), F.lit(None).cast("string").alias("item_id"))
+    own = with_keys(items) if typed else items.withColumn("number_key", clean_number(F.col("item_number"))).where("number_key IS NOT NULL")
+    kids = cut(own.select(F.col("npa_id").alias("doc"), F.col("parent_item_id").alias("up"), F.col("item_id").alias("child"), F.col("item_type").alias("own_type"), F.col("number_key").alias("own_key"), "place"))
+    key = lambda t: wanted_key(t["number"]) if typed else clean_number(t["number"])
+    token = F.transform("tokens", lambda t: F.struct(t["type"].alias("type"), key(t).alias("number_key")))
+    at = cut(paths.select("path_id", "npa_id", "tokens", token.alias("keys"), F.lit(0).alias("used"), F.lit(None).cast("string").alias("item_id")))
     ended = []
-    while True:
-        at = cut(at)
-        if at.isEmpty():
-            break
-        hit = at.join(kids, (F.col("npa_id") == F.col("doc")) & F.col("item_id").eqNullSafe(F.col("up"))).where(matches(F.col("item_type"), F.col("item_number"), F.get("tokens", F.col("used"))))
-        first = hit.groupBy("path_id").agg(F.min_by("child", F.struct("place", "child")).alias("child"))
-        both = at.join(first, "path_id", "left")
+    while not at.isEmpty():
+        asked = at.select("path_id", "npa_id", "item_id", F.get("keys", F.col("used")).alias("token"))
+        asked = asked.select("path_id", "npa_id", "item_id", F.col("token.type").alias("type"), F.col("token.number_key").alias("number_key")).where("number_key IS NOT NULL")
+        same = (F.col("npa_id") == F.col("doc")) & F.col("item_id").eqNullSafe(F.col("up")) & (F.col("number_key") == F.col("own_key"))
+        first = asked.join(kids, same & (F.col("type") == F.col("own_type")) if typed else same).groupBy("path_id").agg(F.min_by("child", F.struct("place", "child")).alias("child"))
+        both = cut(at.join(first, "path_id", "left"))
         ended.append(both.where("child IS NULL").select("path_id", "item_id", F.slice("tokens", F.col("used") + 1, F.size("tokens")).alias("remaining")))
-        at = both.where("child IS NOT NULL").select("path_id", "npa_id", "tokens", (F.col("used") + 1).alias("used"), F.col("child").alias("item_id"))
+        at = both.where("child IS NOT NULL").select("path_id", "npa_id", "tokens", "keys", (F.col("used") + 1).alias("used"), F.col("child").alias("item_id"))
     return reduce(DataFrame.unionByName, ended) if ended else at.select("path_id", "item_id", F.col("tokens").alias("remaining"))
 
 
@@ -200,7 +201,7 @@ def appendix_by_number(items: DataFrame, wanted: DataFrame) -> DataFrame:
 def by_numbers(items: DataFrame, paths: DataFrame) -> DataFrame:
     """path_id, item_id of paths that name numbers only (array<string>), each the first child with that number; null where one is missing."""
     steps = paths.select("path_id", "npa_id", F.transform("numbers", lambda x: F.struct(F.lit(None).cast("string").alias("type"), x.alias("number"))).alias("tokens"))
-    found = deepest_ancestors(items, steps, lambda t, n, token: clean_number(n) == clean_number(token["number"]))
+    found = deepest_ancestors(items, steps, typed=False)
     return found.select("path_id", F.when(F.size("remaining") == 0, F.col("item_id")).alias("item_id"))
 
 

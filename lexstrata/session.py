@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import batched
 
 import pyarrow as pa
@@ -26,9 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The table as a checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The table, written to the shared folder as Parquet and read back. (`checkpoint` would work it out twice and write it without packing.)"""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if "void" in df.schema.simpleString():  # Parquet has no such type
+        return df.checkpoint()
+    path = f"{folder}/lexstrata/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def numbered(rows: DataFrame, name: str, *order: Column) -> DataFrame:
@@ -49,6 +56,25 @@ def arrow_shape(df: DataFrame, fields: str, *kept: str) -> tuple[T.StructType, p
     return shape, to_arrow_schema(shape)
 
 
+def row_dicts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[dict]:
+    """The rows of Arrow batches, `size` at a time as Python objects: a batch of long rows is never unpacked as a whole."""
+    for b in batches:
+        for at in range(0, b.num_rows, size):
+            yield from b.slice(at, size).to_pylist()
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
+    """Arrow batches made meanwhile hold `most` bytes, however long their rows are; the setting before comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def in_batches(rows: Iterable[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Rows in Arrow batches of up to `size`."""
     for part in batched(rows, size):

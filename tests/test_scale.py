@@ -1,0 +1,27 @@
+"""What keeps the cost of shared steps in proportion to their input."""
+
+from pyspark.sql import functions as F
+
+from lexstrata.functions import numbers
+from lexstrata.session import cut
+
+
+def test_cut_works_a_table_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    found = cut(spark.range(100).mapInArrow(run, "id long"))
+    assert found.count() == 100 and seen.value == 100
+
+
+def test_cut_keeps_rows_with_untyped_columns(spark):
+    assert [tuple(r) for r in cut(spark.sql("SELECT 1 AS a, NULL AS b")).collect()] == [(1, None)]
+
+
+def test_a_number_is_cleaned_once(spark):
+    plan = spark.range(1).select(numbers.clean_number(F.col("id")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<[^>]+>") == 1
