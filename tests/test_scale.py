@@ -25,3 +25,29 @@ def test_cut_keeps_rows_with_untyped_columns(spark):
 def test_a_number_is_cleaned_once(spark):
     plan = spark.range(1).select(numbers.clean_number(F.col("id")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<[^>]+>") == 1
+
+
+def test_a_fragment_is_dealt_once(spark):
+    from lexstrata.operators import fragments
+
+    rows = spark.createDataFrame([("k", "d_article_1", "<p>1. x</p>")], "key string, element_id string, html string")
+    found = fragments.events(fragments.classified(fragments.blocks(fragments._told(rows))))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_long_rows_are_unpacked_a_few_at_a_time():
+    import pyarrow as pa
+
+    from lexstrata.session import row_dicts
+
+    sizes = []
+
+    class Batch:
+        num_rows = 1000
+
+        def slice(self, at, size):
+            sizes.append(min(size, 1000 - at))
+            return pa.RecordBatch.from_pylist([{"x": i} for i in range(at, min(at + size, 1000))])
+
+    assert [r["x"] for r in row_dicts([Batch()])] == list(range(1000)) and max(sizes) <= 256
