@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexstrata.functions.dates import closing_date
 from lexstrata.functions.numbers import item_number
@@ -27,19 +28,22 @@ def fingerprints(items: DataFrame) -> DataFrame:
     Level by level from the leaves: a round prints every item all of whose children are printed. Items
     of a cycle get none.
     """
-    own = cut(items.select("item_id", "parent_item_id", "place", F.concat_ws("|", "item_type", item_number(F.col("item_type"), F.col("item_number")), canonical(F.col("text"))).alias("own")))
+    own = items.select("item_id", "parent_item_id", "place", F.concat_ws("|", "item_type", item_number(F.col("item_type"), F.col("item_number")), canonical(F.col("text"))).alias("own"))
     n = own.where("parent_item_id IS NOT NULL").groupBy(F.col("parent_item_id").alias("item_id")).agg(F.count("*").alias("n"))
-    left = cut(own.join(n, "item_id", "left").withColumn("n", F.coalesce("n", F.lit(0))))
-    ready = cut(left.where("n = 0").select("item_id", "parent_item_id", "place", F.md5("own").alias("fingerprint")))
-    printed = ready
+    none = F.expr("cast(array() AS array<struct<place: bigint, fingerprint: string>>)").cast(T.ArrayType(T.StructType([items.schema["place"], T.StructField("fingerprint", T.StringType())])))
+    left = cut(own.join(n, "item_id", "left").select("item_id", "parent_item_id", "place", "own", F.coalesce("n", F.lit(0)).alias("n"), none.alias("kids")))
+    ready = left.where("n = 0").select("item_id", "parent_item_id", "place", F.md5("own").alias("fingerprint"))
     left = left.where("n > 0")
+    printed = []
     while not ready.isEmpty():
-        held = printed.groupBy(F.col("parent_item_id").alias("item_id")).agg(F.count("*").alias("have"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "fingerprint"))), lambda x: x["fingerprint"]), "").alias("below"))
-        full = left.join(held, "item_id").where("n = have")
-        ready = cut(full.select("item_id", "parent_item_id", "place", F.md5(F.concat("own", F.lit("/"), "below")).alias("fingerprint")))
-        left = cut(left.join(ready, "item_id", "left_anti"))
-        printed = cut(printed.unionByName(ready))
-    return printed.select("item_id", "fingerprint")
+        printed.append(ready.select("item_id", "fingerprint"))
+        more = ready.where("parent_item_id IS NOT NULL").groupBy(F.col("parent_item_id").alias("item_id")).agg(F.collect_list(F.struct("place", "fingerprint")).alias("more"))
+        # an item keeps its children's prints until all are there: prints aren't gathered again each round
+        told = cut(left.join(more, "item_id", "left").withColumn("kids", F.concat("kids", F.coalesce("more", none))).drop("more"))
+        below = F.array_join(F.transform(F.array_sort("kids"), lambda x: x["fingerprint"]), "")
+        ready = told.where(F.size("kids") == F.col("n")).select("item_id", "parent_item_id", "place", F.md5(F.concat("own", F.lit("/"), below)).alias("fingerprint"))
+        left = told.where(F.size("kids") < F.col("n"))
+    return reduce(DataFrame.unionByName, printed) if printed else ready.select("item_id", "fingerprint")
 
 
 def identical(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -102,12 +102,12 @@ def moved_pairs(old: DataFrame, new: DataFrame, gone: DataFrame, prints: tuple[D
 
     prints: item_id, fingerprint of both trees (`merge.fingerprints`). Each new item is taken once, by the smallest old id.
     """
-    from lexstrata.operators.tree import closure
+    from lexstrata.operators.tree import descendants
 
     key = ["new_root", "item_type", "number", "fingerprint"]
     number = F.coalesce("item_number", F.lit("")).alias("number")
     o = gone.join(old.select("item_id", "item_type", number), "item_id").join(prints[0], "item_id").withColumnRenamed("item_id", "old_id")
-    below = closure(new).select("item_id", F.col("ancestor_id").alias("new_root"), "distance").join(gone.select("new_root").distinct(), "new_root", "left_semi")
+    below = descendants(new, gone.select(F.col("new_root").alias("ancestor_id"))).select("item_id", F.col("ancestor_id").alias("new_root"), "distance")
     n = below.join(new.select("item_id", "item_type", number, "place"), "item_id").join(prints[1], "item_id")
     nth = lambda t, *order: t.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     return nth(o, "old_id").join(nth(n, "distance", "place", "item_id"), [*key, "nth"]).select("old_id", F.col("item_id").alias("new_id"))

@@ -6,6 +6,8 @@ doubling path length, so a depth of d takes log2(d) joins; cycles end because pa
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,25 @@ def closure(items: DataFrame) -> DataFrame:
     return out.where("item_id <> ancestor_id")
 
 
+def descendants(items: DataFrame, roots: DataFrame) -> DataFrame:
+    """item_id, ancestor_id, distance of the items below `roots` (ancestor_id): the rows of `closure` with these ancestors, without those of all others.
+
+    A round goes one level down, so shallow trees are walked cheaply; each level is written once.
+    """
+    kids = items.where("parent_item_id IS NOT NULL").select("item_id", F.col("parent_item_id").alias("up")).distinct()
+    at = roots.select("ancestor_id", F.col("ancestor_id").alias("up")).distinct()
+    levels: list[DataFrame] = []
+    while True:
+        found = at.join(kids, "up").where("item_id <> ancestor_id").select("item_id", "ancestor_id").distinct()
+        for level in levels:  # a cycle ends
+            found = found.join(level, ["item_id", "ancestor_id"], "left_anti")
+        found = cut(found.withColumn("distance", F.lit(len(levels) + 1)))
+        levels.append(found)
+        if found.isEmpty():
+            return reduce(DataFrame.unionByName, levels)
+        at = found.select("ancestor_id", F.col("item_id").alias("up"))
+
+
 def depths(items: DataFrame, closed: DataFrame) -> DataFrame:
     """item_id, depth (1 at a root)."""
     n = closed.groupBy("item_id").agg(F.max("distance").alias("d"))

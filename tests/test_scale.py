@@ -51,3 +51,22 @@ def test_long_rows_are_unpacked_a_few_at_a_time():
             return pa.RecordBatch.from_pylist([{"x": i} for i in range(at, min(at + size, 1000))])
 
     assert [r["x"] for r in row_dicts([Batch()])] == list(range(1000)) and max(sizes) <= 256
+
+
+def test_prints_gather_children_of_uneven_depth(spark):
+    from lexstrata.operators import merge
+
+    tree = [("a", None, 1), ("b", "a", 1), ("c", "a", 2), ("d", "b", 1), ("x", None, 1), ("y", "x", 1), ("z", "x", 2), ("w", "y", 1), ("l", "m", 1), ("m", "l", 1)]
+    rows = spark.createDataFrame([(i, up, "part", None, place, "") for i, up, place in tree], "item_id string, parent_item_id string, item_type string, item_number string, place int, text string")
+    found = dict(merge.fingerprints(rows).collect())
+    assert found["a"] == found["x"] != found["b"] == found["y"] and set(found) == set("abcdxyzw")
+
+
+def test_only_rows_below_the_roots_are_walked(spark):
+    from lexstrata.operators import tree
+
+    edges = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", None), ("f", "e"), ("p", "q"), ("q", "p")]
+    items = spark.createDataFrame(edges, "item_id string, parent_item_id string")
+    roots = spark.createDataFrame([("a",), ("c",), ("p",)], "ancestor_id string")
+    want = {r for r in tree.closure(items).collect() if r.ancestor_id in ("a", "c", "p")}
+    assert set(tree.descendants(items, roots).collect()) == want
