@@ -22,17 +22,20 @@ def refs_of(blocks: DataFrame) -> DataFrame:
     return blocks.where("ref_item_id IS NOT NULL").select("item_id", "rev_idx", "ref_item_id")
 
 
-def tree_checks(items: DataFrame, blocks: DataFrame) -> DataFrame:
-    """References to nothing, children that no revision refers to, and bodies out of order."""
+def reference_checks(items: DataFrame, blocks: DataFrame) -> DataFrame:
+    """References to nothing, and children that no revision refers to."""
     refs = refs_of(blocks)
     return verify.union([
         verify.issues(tree.broken_refs(refs, items), "child_ref_broken", F.col("item_id")),
         verify.issues(tree.unreferenced_children(items, refs), "child_ref_missing", F.col("item_id"), "warning"),
-        verify.issues(tree.disordered_bodies(blocks, ["item_id", "rev_idx"], "ord"), "body_order_invalid", F.col("item_id")),
-        verify.block_checks(blocks),
     ])
 
 
+def body_checks(blocks: DataFrame) -> DataFrame:
+    """Bodies out of order, and blocks that hold nothing or are of no known type."""
+    return verify.union([verify.issues(tree.disordered_bodies(blocks, ["item_id", "rev_idx"], "ord"), "body_order_invalid", F.col("item_id")), verify.block_checks(blocks)])
+
+
 def sync_checks(timeline: DataFrame, blocks: DataFrame) -> DataFrame:
     """References of dated revisions whose child has no revision in force on their day."""
     parents = timeline.select("item_id", "rev_idx", "valid_from").join(refs_of(blocks).withColumnRenamed("ref_item_id", "child_id"), ["item_id", "rev_idx"])
@@ -43,14 +46,41 @@ def sync_checks(timeline: DataFrame, blocks: DataFrame) -> DataFrame:
 def verify_document(tables: dict[str, DataFrame], changes: DataFrame | None = None, outcomes: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:
     """category, severity, element, message, step of all issues; the checks of changes (change_id, type, description), their outcomes
     (change_id, passed) and the change log (change_id, applied) run where these are given. Steps keep their numbers."""
-    items, timeline, blocks, heads = (tables[t] for t in TABLES)
-    checks = [
-        verify.item_checks(items), tree_checks(items, blocks), sync_checks(timeline, blocks), verify.revision_checks(items, timeline), verify.head_checks(heads),
-        verify.changer_checks(timeline), verify.highlight_checks(timeline), verify.failed_changes(outcomes) if outcomes is not None else None,
-        verify.change_log_checks(log) if log is not None else None, verify.inlined_children(blocks), verify.description_checks(changes) if changes is not None else None,
-        verify.inherited_references(blocks, timeline),
-    ]
-    return verify.union([c.withColumn("step", F.lit(k)) for k, c in enumerate(checks, 1) if c is not None])
+    found = [(step, check(*(tables[t] for t in reads))) for step, reads, check in CHECKS]
+    if outcomes is not None:
+        found.append((8, verify.failed_changes(outcomes)))
+    if log is not None:
+        found.append((9, verify.change_log_checks(log)))
+    if changes is not None:
+        found.append((11, verify.description_checks(changes)))
+    return verify.union([c.withColumn("step", F.lit(k)) for k, c in sorted(found, key=lambda x: x[0])])
+
+
+#: step, the tables a check reads, and the check.
+CHECKS = (
+    (1, ("items",), verify.item_checks), (2, ("items", "blocks"), reference_checks), (2, ("blocks",), body_checks), (3, ("timeline", "blocks"), sync_checks),
+    (4, ("items", "timeline"), verify.revision_checks), (5, ("heads",), verify.head_checks), (6, ("timeline",), verify.changer_checks), (7, ("timeline",), verify.highlight_checks),
+    (10, ("blocks",), verify.inlined_children), (12, ("blocks", "timeline"), verify.inherited_references),
+)
+
+
+class IssueCounter:
+    """Numbers of issues of one state of the tables after another: a check runs again only where a table that it reads is another one."""
+
+    def __init__(self) -> None:
+        self.known: dict[int, tuple[list[DataFrame], int]] = {}
+
+    def __call__(self, tables: dict[str, DataFrame]) -> int:
+        due = []
+        for k, (_, reads, check) in enumerate(CHECKS):
+            given = [tables[t] for t in reads]
+            if k not in self.known or any(a is not b for a, b in zip(given, self.known[k][0], strict=True)):
+                due.append(check(*given).select(F.lit(k).alias("k")))
+                self.known[k] = (given, 0)
+        if due:
+            for k, n in verify.union(due).groupBy("k").agg(F.count("*").alias("n")).collect():
+                self.known[k] = (self.known[k][0], n)
+        return sum(n for _, n in self.known.values())
 
 
 def fixes(amendment: Column, document: Column) -> list[tuple[str, Callable[[dict], dict]]]:
@@ -85,4 +115,4 @@ def fixes(amendment: Column, document: Column) -> list[tuple[str, Callable[[dict
 
 def repaired_document(tables: dict[str, DataFrame], amendment: Column, document: Column, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[dict, DataFrame]:
     """The tables after all repairs, and a row for each: step, fix, issues_before, issues_after. A second run changes nothing."""
-    return repairs.run_fixes(tables, fixes(amendment, document), verify_document, keep)
+    return repairs.run_fixes(tables, fixes(amendment, document), IssueCounter(), keep)

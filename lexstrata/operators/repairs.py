@@ -44,17 +44,18 @@ def without_empty_copies(items: DataFrame, *filled: DataFrame) -> DataFrame:
     return items.join(copies, "item_id", "left_anti")
 
 
-def run_fixes(tables: dict, fixes: list[tuple[str, Callable[[dict], dict]]], verify: Callable[[dict], DataFrame], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[dict, DataFrame]:
+def run_fixes(tables: dict, fixes: list[tuple[str, Callable[[dict], dict]]], verify: Callable[[dict], DataFrame | int], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[dict, DataFrame]:
     """Tables after all fixes, one after another, and a row for each: step, fix, issues_before, issues_after.
 
-    A fix takes the tables and returns those it changed; `keep` writes a changed table where all executors see it.
+    A fix takes the tables and returns those it changed; `keep` writes a changed table where all executors see it. verify gives issue rows or their number.
     """
     spark = next(iter(tables.values())).sparkSession
-    log, before = [], verify(tables).count()
+    count = lambda found: found if isinstance(found, int) else found.count()
+    log, before = [], count(verify(tables))
     for k, (name, fix) in enumerate(fixes):
         changed = {t: keep(df, f"fix_{k}_{t}") for t, df in fix(tables).items()}
         tables = {**tables, **changed}
-        after = verify(tables).count()
+        after = count(verify(tables))
         log.append((k + 1, name, before, after))
         before = after
     return tables, spark.createDataFrame(log, "step int, fix string, issues_before long, issues_after long")

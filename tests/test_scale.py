@@ -70,3 +70,22 @@ def test_only_rows_below_the_roots_are_walked(spark):
     roots = spark.createDataFrame([("a",), ("c",), ("p",)], "ancestor_id string")
     want = {r for r in tree.closure(items).collect() if r.ancestor_id in ("a", "c", "p")}
     assert set(tree.descendants(items, roots).collect()) == want
+
+
+def test_only_checks_of_changed_tables_run_again(spark, monkeypatch):
+    from lexstrata.operators import document
+
+    ran = []
+    spy = lambda step, reads, check: (step, reads, lambda *t: ran.append(step) or check(*t))
+    monkeypatch.setattr(document, "CHECKS", tuple(spy(*c) for c in document.CHECKS))
+    tables = {
+        "items": spark.sql("SELECT 'a' AS item_id, CAST(NULL AS STRING) AS parent_item_id, 'part' AS item_type, '1' AS item_number, 2 AS item_level, 1 AS depth, 1 AS place"),
+        "timeline": spark.sql("SELECT 'a' AS item_id, 1 AS rev_idx, CAST(NULL AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to, 'add' AS mod_type, CAST(NULL AS STRING) AS modified_by_id, CAST(NULL AS STRING) AS highlights"),
+        "blocks": spark.sql("SELECT 'a' AS item_id, 1 AS rev_idx, 1 AS ord, 'child_ref' AS block_type, CAST(NULL AS STRING) AS html_text, 'b' AS ref_item_id"),
+        "heads": spark.sql("SELECT 'a' AS item_id, 1 AS rev_idx, CAST(NULL AS DATE) AS valid_to"),
+    }
+    count = document.IssueCounter()
+    assert count(tables) == document.verify_document(tables).count() == 3
+    del ran[:]
+    tables["items"] = tables["items"].withColumn("item_level", tables["items"]["depth"])
+    assert count(tables) == 2 and sorted(ran) == [1, 2, 4]
