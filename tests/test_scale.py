@@ -95,4 +95,4 @@ def test_fragments_with_a_fixed_id_are_parsed(spark):
     from lexstrata.operators import fragments
 
     rows = spark.sql("SELECT 1L AS key, '<p>2) x</p>' AS html, 'd_article_1_part_1' AS element_id")
-    assert [r.item_id for r in fragments.parse(rows).items.orderBy("pos").collect()] == ["d_article_1_part_1", "d_article_1_part_1_point_2"]
+    assert [r.item_id for r in fragments.parse(rows).items.orderBy("pos").collect()] == ["d_article_1_part_1", "d_article_1_part_1_part_2"]
