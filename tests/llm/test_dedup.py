@@ -251,3 +251,37 @@ def test_divide_skip_is_exact():
                 a, b = root[i], root[j]
                 root = [min(a, b) if r in (a, b) else r for r in root]
     assert got.tolist() == root
+
+
+def test_few_rows_that_no_key_equals_are_marked(docs_of):
+    from lexstrata.llm.shared import marked
+
+    spark = docs_of([]).sparkSession
+    rows = spark.range(20_000).selectExpr("nullif(id, 0) AS doc", "id * 7 AS rid", "'x' AS text")
+    told = marked(rows, rows.where("doc IS NULL OR rid % 91 = 0").select("doc", "rid"), "doc", "rid")
+    assert told.columns == ["doc", "rid", "text", "maybe"] and told.where("maybe IS NULL").count() == 0
+    assert told.where("(doc IS NULL OR rid % 91 = 0) AND NOT maybe").count() == 0 and told.where("maybe").count() < 1600
+    assert marked(rows, rows.where("false").select("doc", "rid"), "doc", "rid").where("maybe").count() == 0
+
+
+def test_texts_outside_all_components_are_not_turned_into_sets(docs_of, monkeypatch):
+    made = docs_of([]).sparkSession.sparkContext.accumulator(0)
+    spy = overlap.set_maker
+
+    def counting(n):
+        run = spy(n)
+
+        def counted(parts):
+            for part in parts:
+                made.add(part.num_rows)
+                yield from run([part])
+
+        return counted
+
+    shuffled = []
+    by_key = overlap.sets_of
+    monkeypatch.setattr(overlap, "set_maker", counting)
+    monkeypatch.setattr(overlap, "sets_of", lambda docs, nodes, n: (shuffled.append(1), by_key(docs, nodes, n))[1])
+    docs = [(i, " ".join(f"w{i}_{k}" for k in range(40))) for i in range(50)] + [(100 + i, " ".join(["same"] * 9 + [f"x{k}" for k in range(60)] + [f"y{i}"])) for i in range(3)]
+    assert rows(overlap.similarity_components(docs_of(docs))) == brute_components(docs, 4, 85)
+    assert made.value == 3 and shuffled == [1]
