@@ -285,3 +285,21 @@ def test_texts_outside_all_components_are_not_turned_into_sets(docs_of, monkeypa
     docs = [(i, " ".join(f"w{i}_{k}" for k in range(40))) for i in range(50)] + [(100 + i, " ".join(["same"] * 9 + [f"x{k}" for k in range(60)] + [f"y{i}"])) for i in range(3)]
     assert rows(overlap.similarity_components(docs_of(docs))) == brute_components(docs, 4, 85)
     assert made.value == 3 and shuffled == [1]
+
+
+def test_texts_that_surely_stay_skip_the_join(docs_of, words, monkeypatch):
+    import corpus_pipeline
+
+    real, met = corpus_pipeline.marked, []
+
+    def spy(*x):
+        met.append(real(*x))
+        return met[-1]
+
+    monkeypatch.setattr(corpus_pipeline, "marked", spy)
+    a, b = " ".join(words(40)), " ".join(words(40))
+    docs = docs_of([(5, a), (3, a), (None, a), (7, b), (None, b), (9, None)] + [(100 + i, " ".join(words(30))) for i in range(60)])
+    out = corpus_pipeline.one_of_each_group(docs.sparkSession, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == [3, 7, 9, *range(100, 160)]
+    assert met[0].where("maybe").count() <= 5
