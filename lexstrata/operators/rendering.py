@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.functions import numbers, text
 from lexstrata.operators.bodies import rendered_tree, renumbered
-from lexstrata.operators.tree import closure
+from lexstrata.operators.tree import ancestors, closure
 from lexstrata.session import cut
 
 HEADED = ("article", "chapter", "section", "appendix")
@@ -113,13 +113,17 @@ def pending_ids(items: DataFrame, pending: DataFrame) -> DataFrame:
 
 def rebuild_steps(items: DataFrame, requested: DataFrame, pending: DataFrame) -> DataFrame:
     """item_id, depth, step of the requested items that have staged markup or no requested ancestor; deepest first, then by id."""
-    from lexstrata.operators.tree import depths, dominating
     from lexstrata.session import numbered
 
-    closed = cut(closure(items))
-    asked = requested.select("item_id").distinct()
-    kept = asked.join(pending_ids(items, pending), "item_id", "left_semi").unionByName(dominating(asked, closed)).distinct()
-    return numbered(kept.join(depths(items, closed), "item_id"), "step", F.desc("depth"), F.asc("item_id"))
+    items = cut(items.select("item_id", "parent_item_id"))
+    asked = cut(requested.select("item_id").distinct())
+    upper = asked.select(F.col("item_id").alias("ancestor_id"), F.lit(True).alias("asked"))
+    above = ancestors(items, asked).join(upper, "ancestor_id", "left")
+    above = above.groupBy("item_id").agg(F.max("distance").alias("distance"), F.coalesce(F.max("asked"), F.lit(False)).alias("covered"))
+    staged = pending.where("html IS NOT NULL AND html <> ''").select("item_id").distinct().withColumn("staged", F.lit(True))
+    told = items.select("item_id").join(asked, "item_id").join(staged, "item_id", "left").join(above, "item_id", "left")
+    kept = told.where("staged OR NOT coalesce(covered, false)").select("item_id", (F.coalesce("distance", F.lit(0)) + 1).alias("depth"))
+    return numbered(kept, "step", F.desc("depth"), F.asc("item_id"))
 
 
 def staged_blocks(blocks: DataFrame, pending: DataFrame) -> DataFrame:

@@ -51,6 +51,22 @@ def descendants(items: DataFrame, roots: DataFrame) -> DataFrame:
         at = found.select("ancestor_id", F.col("item_id").alias("up"))
 
 
+def ancestors(items: DataFrame, below: DataFrame) -> DataFrame:
+    """item_id, ancestor_id, distance of the ancestors of `below` (item_id): the rows of `closure` for these items, without those of all others.
+
+    A round goes one level up and is written once; way: the ancestors met so far, so a cycle ends.
+    """
+    edges = items.where("parent_item_id IS NOT NULL").select(F.col("item_id").alias("ancestor_id"), F.col("parent_item_id").alias("up")).dropDuplicates()
+    at = below.select("item_id", F.col("item_id").alias("ancestor_id"), F.array("item_id").alias("way")).distinct()
+    levels: list[DataFrame] = []
+    while True:
+        met = at.join(edges, "ancestor_id").where("NOT array_contains(way, up)").select("item_id", F.col("up").alias("ancestor_id"), F.concat("way", F.array("up")).alias("way"))
+        at = cut(met.dropDuplicates(["item_id", "ancestor_id"]))
+        levels.append(at.select("item_id", "ancestor_id", F.lit(len(levels) + 1).alias("distance")))
+        if at.isEmpty():
+            return reduce(DataFrame.unionByName, levels).groupBy("item_id", "ancestor_id").agg(F.min("distance").alias("distance"))
+
+
 def depths(items: DataFrame, closed: DataFrame) -> DataFrame:
     """item_id, depth (1 at a root)."""
     n = closed.groupBy("item_id").agg(F.max("distance").alias("d"))

@@ -96,3 +96,17 @@ def test_fragments_with_a_fixed_id_are_parsed(spark):
 
     rows = spark.sql("SELECT 1L AS key, '<p>2) x</p>' AS html, 'd_article_1_part_1' AS element_id")
     assert [r.item_id for r in fragments.parse(rows).items.orderBy("pos").collect()] == ["d_article_1_part_1", "d_article_1_part_1_part_2"]
+
+
+def test_only_rows_above_the_items_are_walked(spark):
+    from lexstrata.operators import rendering, tree
+
+    edges = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("d", "a"), ("e", None), ("f", "e"), ("p", "q"), ("q", "p"), ("o", "gone")]
+    items = spark.createDataFrame(edges, "item_id string, parent_item_id string")
+    below = spark.createDataFrame([("d",), ("p",), ("o",), ("none",)], "item_id string")
+    want = {r for r in tree.closure(items).collect() if r.item_id in ("d", "p", "o")}
+    assert set(tree.ancestors(items, below).collect()) == want
+    pending = spark.createDataFrame([("d", "<p>x</p>"), ("f", "")], "item_id string, html string")
+    asked = spark.createDataFrame([("b",), ("d",), ("c",), ("o",), ("none",), ("f",)], "item_id string")
+    steps = [(r.item_id, r.depth, r.step) for r in rendering.rebuild_steps(items, asked, pending).orderBy("step").collect()]
+    assert steps[0][:2] == ("d", 3) and {s[:2] for s in steps} == {("d", 3), ("b", 2), ("f", 2), ("o", 2)} and len(steps) == 5
