@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.functions import numbers, text
 from lexstrata.operators.bodies import rendered_tree, renumbered
-from lexstrata.operators.tree import ancestors, closure
+from lexstrata.operators.tree import ancestors
 from lexstrata.session import cut
 
 HEADED = ("article", "chapter", "section", "appendix")
@@ -132,11 +132,10 @@ def staged_blocks(blocks: DataFrame, pending: DataFrame) -> DataFrame:
 
     parts = pending.where("html IS NOT NULL AND html <> ''").select("item_id", F.posexplode(blocks_and_gaps(F.col("html"))).alias("k", "html_text"))
     new = parts.select("item_id", F.lit(0).alias("side"), F.col("k").alias("ord"), F.lit("paragraph").alias("type"), "html_text", F.lit(None).cast("string").alias("ref_item_id"))
-    staged = new.select("item_id").distinct()
-    columns = ["item_id", F.lit(1).alias("side"), "ord", "type", "html_text", "ref_item_id"]
-    refs = blocks.where("type = 'child_ref'").join(staged, "item_id", "left_semi").select(*columns)
-    rest = blocks.join(staged, "item_id", "left_anti").select(*columns)
-    return renumbered(new.unionByName(refs).unionByName(rest), ["item_id"], "side", "ord").drop("side")
+    staged = new.select("item_id").distinct().withColumn("_staged", F.lit(True))
+    left = blocks.join(staged, "item_id", "left").where("_staged IS NULL OR type = 'child_ref'")
+    left = left.select("item_id", F.lit(1).alias("side"), "ord", "type", "html_text", "ref_item_id")
+    return renumbered(new.unionByName(left), ["item_id"], "side", "ord").drop("side")
 
 
 def pending_markup(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes: DataFrame, pending: DataFrame, rebuilt: DataFrame) -> DataFrame:
@@ -146,10 +145,11 @@ def pending_markup(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefix
     with rebuilt descendants takes its own markup and then their new paragraphs, in document order, at any depth; without
     markup of its own it takes the whole of itself as rendered with what was rebuilt below it, without its number.
     """
+    items, pending = cut(items), cut(pending)
     new = cut(staged_blocks(blocks, pending))
-    paths = cut(_document_order(items))
-    closed = cut(closure(items))
-    below = closed.join(rebuilt.select("item_id").distinct(), "item_id", "left_semi").join(pending.where("mod_type = 'change'").select(F.col("item_id").alias("ancestor_id")), "ancestor_id", "left_semi")
+    below = ancestors(items, rebuilt.select("item_id").distinct()).join(pending.where("mod_type = 'change'").select(F.col("item_id").alias("ancestor_id")), "ancestor_id", "left_semi")
+    below = cut(below.select("item_id", "ancestor_id"))
+    paths = _document_order(items)
     has = below.select(F.col("ancestor_id").alias("item_id")).distinct().withColumn("has", F.lit(True))
     told = pending.join(has, "item_id", "left").withColumn("has", F.coalesce("has", F.lit(False)))
     own = F.coalesce("html", F.lit("")) != ""
@@ -168,17 +168,14 @@ def pending_markup(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefix
 
 def _document_order(items: DataFrame) -> DataFrame:
     """item_id, sort_path: places from the root down."""
-    from itertools import count
-
     at = items.where("parent_item_id IS NULL").select("item_id", F.array(F.col("place").cast("long")).alias("sort_path"))
+    kids = items.where("parent_item_id IS NOT NULL").select("item_id", F.col("parent_item_id").alias("up"), F.col("place").cast("long").alias("place"))
     out = at
-    for level in count(1):
-        if level % 4 == 0:
-            at = cut(at)
-            if at.isEmpty():
-                return out
-        kids = items.select("item_id", F.col("parent_item_id").alias("up"), F.col("place").cast("long").alias("place"))
+    while True:  # each level is written once
         at = kids.join(at.withColumnRenamed("item_id", "up"), "up").where(F.size("sort_path") < F.lit(10_000)).select("item_id", F.concat("sort_path", F.array("place")).alias("sort_path"))
+        at = cut(at)
+        if at.isEmpty():
+            return out
         out = out.unionByName(at)
 
 

@@ -110,3 +110,16 @@ def test_only_rows_above_the_items_are_walked(spark):
     asked = spark.createDataFrame([("b",), ("d",), ("c",), ("o",), ("none",), ("f",)], "item_id string")
     steps = [(r.item_id, r.depth, r.step) for r in rendering.rebuild_steps(items, asked, pending).orderBy("step").collect()]
     assert steps[0][:2] == ("d", 3) and {s[:2] for s in steps} == {("d", 3), ("b", 2), ("f", 2), ("o", 2)} and len(steps) == 5
+
+
+def test_bodies_meet_staged_markup_once(spark):
+    from lexstrata.operators import rendering
+
+    blocks = spark.createDataFrame([("a", 1, "paragraph", "<p>old</p>", None), ("a", 2, "child_ref", None, "b"), ("b", 1, "paragraph", "<p>b</p>", None), ("c", 1, None, "x", None)], "item_id string, ord long, type string, html_text string, ref_item_id string")
+    pending = spark.createDataFrame([("a", "<p>new</p>"), ("a", "<p>new</p>"), ("b", ""), ("z", "<p>z</p>")], "item_id string, html string")
+    found = rendering.staged_blocks(blocks, pending)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Left") == 1 and "LeftSemi" not in plan and "LeftAnti" not in plan
+    got = sorted((r.item_id, r.ord, r.html_text, r.ref_item_id) for r in found.collect() if r.item_id != "a")
+    assert got == [("b", 1, "<p>b</p>", None), ("c", 1, "x", None), ("z", 1, "<p>z</p>", None)]
+    assert [r.ref_item_id for r in found.where("item_id = 'a'").orderBy("ord").collect()] == [None, None, "b"]
