@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lexstrata.session import cut
 
+AT_ONCE = 4
+
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """path, raw, doc (VARIANT; null where the file isn't JSON), broken."""
@@ -25,22 +28,33 @@ def parsed(rows: DataFrame) -> DataFrame:
 def flatten_items(docs: DataFrame, most_levels: int = 16) -> DataFrame:
     """A row for each item of the trees: path, item_id, parent_item_id, item_type, item_number, item_level, depth, sort_path, item.
 
-    Level by level; sort_path orders items as they stand in the document. From most_levels on, each level is looked
-    at before it is taken.
+    The first levels, most_levels or AT_ONCE, are taken in one pass over the documents, so each is parsed once: a row of the deepest level so far
+    gives itself and its children. sort_path orders items as they stand in the document. From there on, each level
+    is looked at before it is taken.
     """
-    at = docs.where("NOT broken").select("path", F.variant_get("doc", "$.npa_items_revision", "array<variant>").alias("children"), F.lit(None).cast("string").alias("parent_item_id"), F.expr("cast(array() AS array<int>)").alias("sort_path"))
-    levels = []
-    for depth in count(1):
-        if depth > most_levels and (at := cut(at.where("size(children) > 0"))).isEmpty():
+    kids = lambda item: F.variant_get(item, "$.item_children", "array<variant>")
+    tops = docs.where("NOT broken").select("path", F.posexplode(F.variant_get("doc", "$.npa_items_revision", "array<variant>")).alias("k", "item"))
+    at = tops.select("path", F.lit(None).cast("string").alias("parent_item_id"), F.lit(1).alias("depth"), F.array("k").alias("sort_path"), "item")
+    most_levels = min(most_levels, AT_ONCE)
+    for depth in range(1, most_levels):
+        none = F.array(F.lit(None).cast("variant"))  # place 0: the item itself
+        down = F.when(F.col("depth") == depth, F.concat(none, F.coalesce(kids(F.col("item")), F.expr("cast(array() AS array<variant>)")))).otherwise(none)
+        rows = at.select("*", F.posexplode(down).alias("k", "kid"))
+        new = F.col("k") > 0
+        at = rows.select(
+            "path", F.when(new, F.variant_get("item", "$.item_id", "string")).otherwise(F.col("parent_item_id")).alias("parent_item_id"), F.when(new, depth + 1).otherwise(F.col("depth")).alias("depth"),
+            F.when(new, F.concat("sort_path", F.array(F.col("k") - 1))).otherwise(F.col("sort_path")).alias("sort_path"), F.when(new, F.col("kid")).otherwise(F.col("item")).alias("item"),
+        )
+    levels = [at]
+    for depth in count(most_levels):
+        at = at.where(F.col("depth") == depth).select("path", kids(F.col("item")).alias("children"), F.variant_get("item", "$.item_id", "string").alias("parent_item_id"), "sort_path").where("size(children) > 0")
+        if (at := cut(at)).isEmpty():
             break
-        rows = at.select("path", "parent_item_id", "sort_path", F.posexplode("children").alias("k", "item"))
-        rows = rows.select("path", F.variant_get("item", "$.item_id", "string").alias("item_id"), "parent_item_id", F.variant_get("item", "$.item_type", "string").alias("item_type"), F.variant_get("item", "$.item_number", "string").alias("item_number"), F.try_variant_get("item", "$.item_level", "int").alias("item_level"), F.lit(depth).alias("depth"), F.concat("sort_path", F.array("k")).alias("sort_path"), "item")
-        levels.append(rows)
-        at = rows.select("path", F.variant_get("item", "$.item_children", "array<variant>").alias("children"), F.col("item_id").alias("parent_item_id"), "sort_path")
-    out = levels[0]
-    for rows in levels[1:]:
-        out = out.unionByName(rows)
-    return out
+        at = at.select("path", "parent_item_id", F.lit(depth + 1).alias("depth"), "sort_path", F.posexplode("children").alias("k", "item")).withColumn("sort_path", F.concat("sort_path", F.array("k"))).drop("k")
+        levels.append(at)
+    out = reduce(DataFrame.unionByName, levels)
+    text = lambda name: F.variant_get("item", f"$.{name}", "string").alias(name)
+    return out.select("path", text("item_id"), "parent_item_id", text("item_type"), text("item_number"), F.try_variant_get("item", "$.item_level", "int").alias("item_level"), "depth", "sort_path", "item")
 
 
 def revisions_of(items: DataFrame) -> DataFrame:

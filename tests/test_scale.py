@@ -123,3 +123,20 @@ def test_bodies_meet_staged_markup_once(spark):
     got = sorted((r.item_id, r.ord, r.html_text, r.ref_item_id) for r in found.collect() if r.item_id != "a")
     assert got == [("b", 1, "<p>b</p>", None), ("c", 1, "x", None), ("z", 1, "<p>z</p>", None)]
     assert [r.ref_item_id for r in found.where("item_id = 'a'").orderBy("ord").collect()] == [None, None, "b"]
+
+
+def test_documents_are_parsed_in_one_pass(spark):
+    from lexstrata.sources import documents
+
+    deep = '{"item_id":"g"}'
+    for i in "fedcb":
+        deep = f'{{"item_id":"{i}","item_children":[{deep},null]}}'
+    raw = f'{{"npa_items_revision":[{{"item_id":"a","item_level":"x"}},{deep}]}}'
+    docs = documents.parsed(spark.createDataFrame([("p", raw), ("q", "{"), ("r", "{}")], "path string, raw string"))
+    three = documents.flatten_items(docs, 3)
+    plan = three._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("npa_items_revision") <= 2
+    want = [("a", None, 1, [0]), ("b", None, 1, [1]), ("c", "b", 2, [1, 0]), (None, "b", 2, [1, 1]), ("d", "c", 3, [1, 0, 0])]
+    for found in (three, documents.flatten_items(docs)):
+        got = {(r.item_id, r.parent_item_id, r.depth, tuple(r.sort_path)) for r in found.select("item_id", "parent_item_id", "depth", "sort_path").collect()}
+        assert {(i, up, d, tuple(at)) for i, up, d, at in want} <= got and ("g", "f", 6, (1, 0, 0, 0, 0, 0)) in got and len(got) == 12
