@@ -140,3 +140,17 @@ def test_documents_are_parsed_in_one_pass(spark):
     for found in (three, documents.flatten_items(docs)):
         got = {(r.item_id, r.parent_item_id, r.depth, tuple(r.sort_path)) for r in found.select("item_id", "parent_item_id", "depth", "sort_path").collect()}
         assert {(i, up, d, tuple(at)) for i, up, d, at in want} <= got and ("g", "f", 6, (1, 0, 0, 0, 0, 0)) in got and len(got) == 12
+
+
+def test_additions_write_their_tables_once(spark, monkeypatch):
+    from lexstrata.operators import additions
+
+    written, real = [], additions.cut
+    monkeypatch.setattr(additions, "cut", lambda df: (written.append(tuple(df.columns)), real(df))[1])
+    items = spark.createDataFrame([(1, "a", None, "article", "1", 1, 1), (1, "p", "a", "point", "2)", 2, 1)], "npa_id long, item_id string, parent_item_id string, item_type string, item_number string, item_level int, place int")
+    blocks = spark.createDataFrame([("a", 1, "child_ref", None, "p"), ("p", 1, "paragraph", "<p>x.</p>", None)], "item_id string, ord int, type string, html_text string, ref_item_id string")
+    new = spark.createDataFrame([(7, 1, 1, "a", "point", "3", "<p>3) y.</p>", "01.02.2024", "m")], "change_id long, npa_id long, seq int, parent_item_id string, item_type string, item_number string, html string, valid_from string, modified_by_id string")
+    out = additions.added(items, blocks, new)
+    assert sorted((r.item_id, r.ord, r.html_text, r.ref_item_id) for r in out.blocks.where("item_id = 'a'").collect()) == [("a", 1, None, "p"), ("a", 2, None, "a_point_3")]
+    assert ("npa_id", "item_id", "parent_item_id", "item_type", "item_number", "item_level", "place") in written
+    assert written.count(("item_id", "ord", "type", "html_text", "ref_item_id")) == 2  # bodies as they were, and with what came
