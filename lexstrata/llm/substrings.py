@@ -178,7 +178,7 @@ def window_sender(size: int):
 def repeats(docs: DataFrame, size: int) -> DataFrame:
     """doc, rid, start, end: windows of keyed documents that also start in a smaller doc_id."""
     found = superwindows(docs, finder(size), True, True)
-    asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner")
+    asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner", read_twice=True)
     single = asked.select("doc", "rid", "text", "list").mapInArrow(window_sender(size), SENT_DDL)
     second = stored(dealt(single, "name").mapInArrow(resolver(True, True), FOUND_DDL), "windows")
     released(docs.sparkSession)
@@ -218,7 +218,7 @@ def digests(docs: DataFrame, size: int = 13) -> DataFrame:
                 sha = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 yield from batches(schema, [part.column(0).slice(lo, hi - lo), np.diff(words.first), np.diff(sums), sha])
 
-    listed = with_lists(docs, repeats(docs, size), "start", "end")
+    listed = with_lists(docs, repeats(docs, size), "start", "end", read_twice=True)
     return listed.select("doc_id", "text", "list").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -233,7 +233,7 @@ def deduplicated(docs: DataFrame, size: int = 13, text: str = "text") -> DataFra
     found = repeats(keyed(only(docs, "doc_id", text).toDF("doc_id", "text")), size)
     safe = docs.toDF(*[f"c{k}" for k in range(len(fields))])  # no name clashes with those added
     keys = F.coalesce(f"c{names.index('doc_id')}", F.lit(NO_ID)).cast("long").alias("doc"), F.hash(F.coalesce(F.col(f"c{at}"), F.lit(""))).alias("rid")
-    listed = with_lists(safe.select("*", *keys), found, "start", "end")
+    listed = with_lists(safe.select("*", *keys), found, "start", "end", read_twice=True)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

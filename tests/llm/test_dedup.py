@@ -303,3 +303,20 @@ def test_texts_that_surely_stay_skip_the_join(docs_of, words, monkeypatch):
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [3, 7, 9, *range(100, 160)]
     assert met[0].where("maybe").count() <= 5
+
+
+def test_texts_without_repeats_skip_the_join_with_their_lists(docs_of, words, monkeypatch):
+    from lexstrata.llm import superwindows
+
+    real, met = superwindows.marked, []
+
+    def spy(*x):
+        met.append(real(*x))
+        return met[-1]
+
+    monkeypatch.setattr(superwindows, "marked", spy)
+    a = " ".join(words(40))
+    docs = [(5, a), (3, a), (None, a), (9, None)] + [(100 + i, " ".join(words(30))) for i in range(60)]
+    found = sorted((tuple(r) for r in substrings.digests(docs_of(docs)).collect()), key=repr)
+    assert found == brute_words(docs, 13)
+    assert met and all(m.where("maybe").count() <= 5 for m in met)
