@@ -101,20 +101,22 @@ def containers(sections: DataFrame, wanted: DataFrame) -> DataFrame:
 def rendered_tree(roots: DataFrame, blocks: DataFrame, most_levels: int = 16) -> DataFrame:
     """root_id, html: the texts of a root's body and, at the place of each reference, those of what it refers to.
 
-    Level by level: a row carries the places that lead to it, and the whole is put together once, in
-    their order. A reference to an item that leads to it is left out. From most_levels on, each level is looked at
-    before it is taken.
+    Level by level, along the references alone: a row carries the places that lead to it. Texts are met once, by the items of
+    all levels, and put together in their order. A reference to an item that leads to it is left out. From most_levels on, each
+    level is written once and looked at before it is taken. blocks are read twice.
     """
+    refs = cut(blocks.where("ref_item_id IS NOT NULL").select("item_id", "ord", "ref_item_id"))
+    texts = blocks.where("html_text IS NOT NULL").select("item_id", "ord", "html_text")
     at = roots.select("root_id", F.col("root_id").alias("item_id"), F.expr("cast(array() AS array<int>)").alias("path"), F.array("root_id").alias("above"))
-    out = None
+    met = None
     for level in count():
         if level >= most_levels and (at := cut(at)).isEmpty():
             break
-        rows = at.join(blocks, "item_id").withColumn("path", F.concat("path", F.array(F.col("ord").cast("int"))))
-        texts = rows.where("html_text IS NOT NULL").select("root_id", "path", "html_text")
-        out = texts if out is None else out.unionByName(texts)
-        further = rows.where("ref_item_id IS NOT NULL AND NOT array_contains(above, ref_item_id)")
-        at = further.select("root_id", F.col("ref_item_id").alias("item_id"), "path", F.concat("above", F.array("ref_item_id")).alias("above"))
+        own = at.select("root_id", "item_id", "path")
+        met = own if met is None else met.unionByName(own)
+        further = at.join(refs, "item_id").where("NOT array_contains(above, ref_item_id)")
+        at = further.select("root_id", F.col("ref_item_id").alias("item_id"), F.concat("path", F.array(F.col("ord").cast("int"))).alias("path"), F.concat("above", F.array("ref_item_id")).alias("above"))
+    out = met.join(texts, "item_id").select("root_id", F.concat("path", F.array(F.col("ord").cast("int"))).alias("path"), "html_text")
     ordered = F.array_sort(F.collect_list(F.struct("path", "html_text")))
     return out.groupBy("root_id").agg(F.array_join(F.transform(ordered, lambda x: x["html_text"]), "\n").alias("html"))
 

@@ -65,7 +65,7 @@ def header_line(item_type: Column, number: Column, head: Column, prefix: Column)
 def shown_blocks(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes: DataFrame, bare: DataFrame | None = None) -> DataFrame:
     """item_id, ord, html_text, ref_item_id as rendered: headed items begin with their line (not those in `bare`), counted ones with
     their number before the first paragraph; references to other than own children are left out."""
-    told = items.join(heads, "item_id", "left").join(prefixes, "item_id", "left")
+    told = items.where(F.col("item_type").isin(*HEADED)).join(heads, "item_id", "left").join(prefixes, "item_id", "left")
     if bare is not None:
         told = told.join(bare.select("item_id", F.lit(True).alias("_bare")), "item_id", "left").withColumn("_bare", F.coalesce("_bare", F.lit(False)))
     else:
@@ -78,20 +78,22 @@ def shown_blocks(items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes
     children = items.select(F.col("item_id").alias("ref_item_id"), F.col("parent_item_id").alias("item_id"))
     refs = blocks.where("type = 'child_ref'").join(children, ["item_id", "ref_item_id"], "left_semi").select("item_id", "ord", none.alias("html_text"), "ref_item_id")
 
-    counted = items.where(F.col("item_type").isin(*COUNTED)).select("item_id", numbers.shown_number(F.col("item_number"), F.lit(False), F.lit(False)).alias("number"))
-    first = blocks.where("type = 'paragraph'").groupBy("item_id").agg(F.min("ord").alias("first"))
-    numbered = counted.join(first, "item_id", "left")
-    missing = numbered.where("first IS NULL").select("item_id", F.lit(0).alias("ord"), F.concat("number", F.lit(" ")).alias("html_text"), ref_none.alias("ref_item_id"))
+    number = numbers.shown_number(F.col("item_number"), F.lit(False), F.lit(False))
+    counted = items.where(F.col("item_type").isin(*COUNTED)).select("item_id", F.lit(None).cast(blocks.schema["ord"].dataType).alias("ord"), none.alias("type"), none.alias("html_text"), number.alias("number"))
+    texts = blocks.where(F.col("type").isin(*SHOWN)).select("item_id", "ord", "type", "html_text", none.alias("number"))
+    own = Window.partitionBy("item_id")  # numbers and texts of an item meet in one exchange
+    both = counted.unionByName(texts).select("*", F.max("number").over(own).alias("said"), F.min(F.when(F.col("type") == "paragraph", F.col("ord"))).over(own).alias("first"))
     tag = F.regexp_extract("html_text", "(?is)^(<p[^>]*>)", 1)
-    with_number = F.concat(tag, F.col("number"), F.lit(" "), F.substring(F.col("html_text"), F.length(tag) + F.lit(1), F.length("html_text")))
-    texts = blocks.where(F.col("type").isin(*SHOWN) & F.col("html_text").isNotNull()).join(numbered.where("first IS NOT NULL"), "item_id", "left")
-    shown = texts.select("item_id", "ord", F.when((F.col("type") == "paragraph") & (F.col("ord") == F.col("first")), with_number).otherwise(F.col("html_text")).alias("html_text"), ref_none.alias("ref_item_id"))
-    return headers.unionByName(missing).unionByName(shown).unionByName(refs)
+    with_number = F.concat(tag, F.col("said"), F.lit(" "), F.substring(F.col("html_text"), F.length(tag) + F.lit(1), F.length("html_text")))
+    numbered = F.when((F.col("type") == "paragraph") & (F.col("ord") == F.col("first")) & F.col("said").isNotNull(), with_number).otherwise(F.col("html_text"))
+    line = F.when(F.col("type").isNotNull(), numbered).when(F.col("first").isNull(), F.concat("said", F.lit(" ")))
+    shown = both.select("item_id", F.coalesce("ord", F.lit(0)).alias("ord"), line.alias("html_text"), ref_none.alias("ref_item_id")).where("html_text IS NOT NULL")
+    return headers.unionByName(shown).unionByName(refs)
 
 
 def rendered_items(roots: DataFrame, items: DataFrame, blocks: DataFrame, heads: DataFrame, prefixes: DataFrame, bare: DataFrame | None = None) -> DataFrame:
     """root_id, html of whole items (roots: root_id), children in the places of their references."""
-    return rendered_tree(roots, cut(shown_blocks(items, blocks, heads, prefixes, bare)), most_levels=2)
+    return rendered_tree(roots, shown_blocks(items, blocks, heads, prefixes, bare), most_levels=1)
 
 
 def texts_below(roots: DataFrame, items: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -100,7 +102,7 @@ def texts_below(roots: DataFrame, items: DataFrame, blocks: DataFrame) -> DataFr
     own = blocks.where("type = 'paragraph'").groupBy("item_id").agg(F.trim(said).alias("html_text"))
     texts = own.select("item_id", F.lit(-1).alias("ord"), "html_text", F.lit(None).cast("string").alias("ref_item_id"))
     below = items.where("parent_item_id IS NOT NULL").select(F.col("parent_item_id").alias("item_id"), F.col("place").cast("int").alias("ord"), F.lit(None).cast("string").alias("html_text"), F.col("item_id").alias("ref_item_id"))
-    return rendered_tree(roots, cut(texts.unionByName(below)), most_levels=2).select("root_id", F.replace("html", F.lit("\n"), F.lit(" ")).alias("text"))
+    return rendered_tree(roots, texts.unionByName(below), most_levels=1).select("root_id", F.replace("html", F.lit("\n"), F.lit(" ")).alias("text"))
 
 
 # --- pending items

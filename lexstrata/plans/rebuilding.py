@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.operators import rendering
 from lexstrata.plans.catalogue import query, table
+from lexstrata.session import cut
 
 S = "cast({} AS string)"
 
@@ -14,7 +15,7 @@ S = "cast({} AS string)"
 def tree(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """items (with place), open blocks, heads, prefixes."""
     c, o, li = table(spark, d, "customer"), table(spark, d, "orders"), table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("s"))
-    li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    li = cut(li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"))
     none = F.lit(None).cast("string")
     a = lambda k: F.concat(F.lit("c"), F.col(k).cast("string"))
     p = lambda k, ok: F.concat(a(k), F.lit("_o"), F.col(ok).cast("string"))
@@ -28,7 +29,7 @@ def tree(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     texts = texts.unionByName(li.where("s % 3 > 0").select(q.alias("item_id"), F.lit(0).cast("long").alias("ord"), F.when(F.col("s") % 3 == 1, "paragraph").otherwise("table_fragment").alias("type"), say(F.col("s").cast("string")).alias("html_text")))
     refs = items.where("parent_item_id IS NOT NULL").select(F.col("parent_item_id").alias("item_id"), F.col("place").alias("ord"), F.lit("child_ref").alias("type"), none.alias("html_text"), F.col("item_id").alias("ref_item_id"))
     heads = c.select(a("c_custkey").alias("item_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("head"))
-    prefixes = spark.createDataFrame([], "item_id string, prefix string")
+    prefixes = heads.where("false").withColumnRenamed("head", "prefix")
     return items, texts.withColumn("ref_item_id", none).unionByName(refs), heads, prefixes
 
 

@@ -154,3 +154,18 @@ def test_additions_write_their_tables_once(spark, monkeypatch):
     assert sorted((r.item_id, r.ord, r.html_text, r.ref_item_id) for r in out.blocks.where("item_id = 'a'").collect()) == [("a", 1, None, "p"), ("a", 2, None, "a_point_3")]
     assert ("npa_id", "item_id", "parent_item_id", "item_type", "item_number", "item_level", "place") in written
     assert written.count(("item_id", "ord", "type", "html_text", "ref_item_id")) == 2  # bodies as they were, and with what came
+
+
+def test_texts_are_not_carried_along_references(spark, monkeypatch):
+    from lexstrata.operators import bodies, rendering
+
+    written = []
+    for module in (bodies, rendering):
+        monkeypatch.setattr(module, "cut", lambda df: written.append(df.columns) or cut(df))
+    items = spark.createDataFrame([("a", None, "article", "1", 1), ("p", "a", "part", "2", 1), ("q", "a", "part", "3", 2)], "item_id string, parent_item_id string, item_type string, item_number string, place int")
+    rows = [("a", 1, "paragraph", "<p>A</p>", None), ("a", 2, "child_ref", None, "q"), ("a", 3, "child_ref", None, "p"), ("p", 2, "paragraph", "<p>B</p>", None), ("p", 1, "table_fragment", "<t>", None), ("q", 1, "table_fragment", "<u>", None)]
+    blocks = spark.createDataFrame(rows, "item_id string, ord int, type string, html_text string, ref_item_id string")
+    none = items.where("false").select("item_id", F.lit("").alias("head"))
+    out = rendering.rendered_items(items.limit(1).select(F.col("item_id").alias("root_id")), items, blocks, none, none.withColumnRenamed("head", "prefix"))
+    assert out.first().html == "\n".join(["<p><b>Статья 1</b></p>", "<p>A</p>", "3. ", "<u>", "<t>", "<p>2. B</p>"])
+    assert written and not any("html_text" in columns for columns in written)
