@@ -77,8 +77,9 @@ def wanted_key(number: Column) -> Column:
 
 def _matched(items: DataFrame, wanted: DataFrame, inside: str) -> DataFrame:
     w = wanted.select("want_id", inside, "item_type", wanted_key(F.col("item_number")).alias("number_key"))
-    found = with_keys(items.select("item_id", inside, "item_type", "item_number")).join(w, [inside, "item_type", "number_key"])
-    return found.select("want_id", "item_id", F.count("*").over(Window.partitionBy("want_id")).alias("n_matches"))
+    keys = [inside, "item_type", "number_key"]
+    keyed = with_keys(items.select("item_id", inside, "item_type", "item_number")).withColumn("n_matches", F.count("*").over(Window.partitionBy(*keys)))
+    return keyed.join(w, keys).select("want_id", "item_id", "n_matches")  # a wanted has one key, so what it meets is counted where it is met
 
 
 def matching(kids: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexstrata.functions import html
 from lexstrata.operators import bodies, merge, paths, repairs, router, tree, verify
 from lexstrata.plans.catalogue import day, query, table
+from lexstrata.session import cut
 
 ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII"]
 pick = lambda values, at: F.get(F.array(*[F.lit(v) for v in values]), at.cast("int"))
@@ -104,7 +105,7 @@ def changer_ids(spark, d):
 
 @query("WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem) SELECT k || '/' || n AS want_id, 'a' || k || '_point_' || n AS item_id, 1 AS n_matches FROM l WHERE n % 2 = 1")
 def child_by_number(spark, d):
-    i = legal_items(spark, d)
+    i = cut(legal_items(spark, d))
     wanted = i.where("item_type = 'point' AND place % 2 = 1").select(F.concat_ws("/", "npa_id", "place").alias("want_id"), "npa_id", "parent_item_id", "item_type", F.concat(F.lit("«"), "place", F.lit("».")).alias("item_number"))
     found = paths.matching(i, wanted).unionByName(paths.matching_anywhere(i, wanted))
     return found.distinct().select("want_id", "item_id", F.col("n_matches").cast("int").alias("n_matches"))

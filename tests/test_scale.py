@@ -169,3 +169,13 @@ def test_texts_are_not_carried_along_references(spark, monkeypatch):
     out = rendering.rendered_items(items.limit(1).select(F.col("item_id").alias("root_id")), items, blocks, none, none.withColumnRenamed("head", "prefix"))
     assert out.first().html == "\n".join(["<p><b>Статья 1</b></p>", "<p>A</p>", "3. ", "<u>", "<t>", "<p>2. B</p>"])
     assert written and not any("html_text" in columns for columns in written)
+
+
+def test_matches_are_counted_where_they_are_met(spark):
+    from lexstrata.operators import paths
+
+    items = spark.createDataFrame([("a", "u", "point", "1)"), ("b", "u", "point", "1."), ("c", "v", "point", "2")], "item_id string, parent_item_id string, item_type string, item_number string")
+    wanted = spark.createDataFrame([("w1", "u", "point", "1"), ("w2", "v", "point", "«2»"), ("w3", "v", "point", "3")], "want_id string, parent_item_id string, item_type string, item_number string")
+    found = paths.matching(items, wanted)
+    assert {tuple(r) for r in found.collect()} == {("w1", "a", 2), ("w1", "b", 2), ("w2", "c", 1)}
+    assert "hashpartitioning(want_id" not in found._jdf.queryExecution().executedPlan().toString()
