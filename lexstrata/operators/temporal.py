@@ -6,6 +6,8 @@ valid_to (null: open). Both ends of an interval count. Everything is partitioned
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,15 +113,22 @@ def synced_tree(timeline: DataFrame, refs: DataFrame, date: Column) -> DataFrame
     """`synced_children` through all levels: a revision made for a child refers to what the copied one did, and so on down.
 
     timeline: item_id, rev_idx, valid_from, valid_to, modified_by_id; refs: item_id, rev_idx, child_id. Each item gets one
-    revision at most, so cycles end.
+    revision at most, so cycles end. All parents are of one day, so what a child would get is worked out once for all levels.
     """
-    at = timeline.where(F.col("valid_from") == date).join(refs, ["item_id", "rev_idx"]).select("item_id", "child_id", "valid_from", "modified_by_id")
-    made = None
+    refs = cut(refs.select("item_id", "rev_idx", "child_id"))
+    dated_ = F.col("valid_from").isNotNull()
+    latest = F.max_by("rev_idx", F.struct("valid_from", F.when(dated_, -F.col("rev_idx")).otherwise(F.col("rev_idx"))))
+    open_ = F.min(F.when(F.col("valid_to").isNull(), F.col("rev_idx")))
+    told = timeline.groupBy(F.col("item_id").alias("child_id")).agg(F.coalesce(F.bool_or(covers(date)), F.lit(False)).alias("held"), open_.alias("closes"), latest.alias("latest_idx"))
+    stale = cut(told.where("NOT held").drop("held"))
+    at = timeline.where(F.col("valid_from") == date).join(refs, ["item_id", "rev_idx"]).select("child_id", "modified_by_id")
+    made: list[DataFrame] = []
     while True:
-        new = synced_children(at, timeline, date)
-        new = cut(new if made is None else new.join(made.select("item_id"), "item_id", "left_anti"))
+        new = at.groupBy("child_id").agg(F.min("modified_by_id").alias("modified_by_id")).join(stale, "child_id")
+        new = new.select(F.col("child_id").alias("item_id"), "closes", F.coalesce("closes", "latest_idx").alias("copies"), date.alias("valid_from"), F.lit("change").alias("mod_type"), "modified_by_id")
+        for level in made:
+            new = new.join(level.select("item_id"), "item_id", "left_anti")
+        made.append(new := cut(new))
         if new.isEmpty():
-            return new if made is None else made
-        made = new if made is None else cut(made.unionByName(new))
-        below = refs.select("item_id", F.col("rev_idx").alias("copies"), "child_id")
-        at = new.join(below, ["item_id", "copies"]).select("item_id", "child_id", "valid_from", "modified_by_id")
+            return reduce(DataFrame.unionByName, made)
+        at = new.join(refs.withColumnRenamed("rev_idx", "copies"), ["item_id", "copies"]).select("child_id", "modified_by_id")

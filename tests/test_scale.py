@@ -179,3 +179,15 @@ def test_matches_are_counted_where_they_are_met(spark):
     found = paths.matching(items, wanted)
     assert {tuple(r) for r in found.collect()} == {("w1", "a", 2), ("w1", "b", 2), ("w2", "c", 1)}
     assert "hashpartitioning(want_id" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_synced_tree_ranks_no_revisions(spark, monkeypatch):
+    from lexstrata.operators import temporal
+
+    monkeypatch.setattr(temporal, "latest_revision", None)  # what a child would get is worked out once, not by level
+    day = lambda s: F.lit(s).cast("date")
+    rows = [("p", 1, "2020-01-15", None, "m"), ("o", 1, "2019-01-01", "2019-06-01", None), ("o", 2, "2019-03-01", "2019-05-01", None), ("l", 1, None, "2018-01-01", None), ("l", 2, None, None, None), ("h", 1, "2019-01-01", None, None)]
+    timeline = spark.createDataFrame(rows, "item_id string, rev_idx int, valid_from string, valid_to string, modified_by_id string").withColumn("valid_from", F.col("valid_from").cast("date")).withColumn("valid_to", F.col("valid_to").cast("date"))
+    refs = spark.createDataFrame([("p", 1, "o"), ("p", 1, "h"), ("p", 1, "gone"), ("o", 2, "l"), ("l", 2, "o")], "item_id string, rev_idx int, child_id string")
+    found = temporal.synced_tree(timeline, refs, day("2020-01-15"))
+    assert {(r.item_id, r.closes, r.copies, r.modified_by_id) for r in found.collect()} == {("o", None, 2, "m"), ("l", 2, 2, "m")}
