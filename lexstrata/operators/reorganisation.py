@@ -67,9 +67,9 @@ def reorganised(items: DataFrame, blocks: DataFrame, changes: DataFrame) -> Reor
     none = F.lit(None).cast("string")
 
     bodies = blocks.join(at.select(F.col("article").alias("item_id"), "part_one", "npa_id", "level", "description", *dated), "item_id")
-    live = bodies.where("ref_item_id IS NOT NULL").select(F.col("item_id").alias("parent_item_id"), F.col("ref_item_id").alias("item_id")).distinct()
-    kids = items.select("npa_id", "item_id", "parent_item_id", "item_type", "item_number", F.col("place").cast("long").alias("place")).join(live, ["parent_item_id", "item_id"], "left_semi")
-    kids = kids.join(at.drop("npa_id"), F.col("parent_item_id") == F.col("article"))
+    bodies = cut(bodies.where("ref_item_id IS NOT NULL OR type = 'paragraph'"))
+    live = bodies.where("ref_item_id IS NOT NULL").select(F.col("item_id").alias("parent_item_id"), F.col("ref_item_id").alias("item_id"), "part_one", "level", *dated).distinct()
+    kids = items.select("npa_id", "item_id", "parent_item_id", "item_type", "item_number", F.col("place").cast("long").alias("place")).join(live, ["parent_item_id", "item_id"])
     copies = cut(kids.select(
         "npa_id", F.concat_ws("_", "part_one", "item_type", F.nullif(_bare(F.col("item_number")), F.lit(""))).alias("item_id"), F.col("item_id").alias("old_id"), F.col("part_one").alias("parent_item_id"),
         "item_type", "item_number", (F.col("level") + 2).alias("item_level"), "place", F.lit("change").alias("mod_type"), *dated,

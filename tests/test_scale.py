@@ -191,3 +191,10 @@ def test_a_synced_tree_ranks_no_revisions(spark, monkeypatch):
     refs = spark.createDataFrame([("p", 1, "o"), ("p", 1, "h"), ("p", 1, "gone"), ("o", 2, "l"), ("l", 2, "o")], "item_id string, rev_idx int, child_id string")
     found = temporal.synced_tree(timeline, refs, day("2020-01-15"))
     assert {(r.item_id, r.closes, r.copies, r.modified_by_id) for r in found.collect()} == {("o", None, 2, "m"), ("l", 2, 2, "m")}
+
+
+def test_lines_of_additions_are_grouped_once(spark):
+    from lexstrata.plans import adding
+
+    items, blocks, _ = adding.asked(spark, "/root/testdata/sf0.001")
+    assert not any("Exchange" in t._jdf.queryExecution().executedPlan().toString() for t in (items, blocks))
