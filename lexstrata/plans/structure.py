@@ -139,14 +139,14 @@ def appendix_by_number(spark, d):
     SELECT 'a' || o.k AS want_id, 'a' || o.k || CASE WHEN EXISTS (SELECT 1 FROM l WHERE l.k = o.k AND l.n = w) THEN '_point_' || w WHEN m.n > 1 AND m.n < w THEN '_point_' || m.n ELSE '' END AS item_id FROM o LEFT JOIN m ON m.k = o.k""")
 def narrowed_source(spark, d):
     """Point n tells of 'пункт n'; asked for point k % 3 + 2. The last point of an order tells of every number after its own."""
-    i = legal_items(spark, d)
+    i = cut(legal_items(spark, d))
     last = i.where("item_type = 'point'").groupBy("parent_item_id").agg(F.max("place").alias("last"))
     points = i.where("item_type = 'point'").join(last, "parent_item_id")
     told = F.when(F.col("place") == F.col("last"), F.sequence(F.col("place"), F.greatest(F.col("place"), F.lit(9)))).otherwise(F.array("place"))
     topic = F.array_join(F.transform(told, lambda n: F.concat(F.lit("<p>в Пункте "), n, F.lit(" закона"))), ", ")
     topics = points.select("item_id", F.when(F.col("last") == 1, "<p>без номера").otherwise(F.concat(topic, F.lit(" слова «пункт 2» заменить</p>"))).alias("html"), F.col("place").alias("preorder"))
     asks = i.where("item_type = 'article'").select(F.col("item_id").alias("want_id"), "item_id", F.concat(F.lit("статья 40 пункт «"), F.col("npa_id") % 3 + 2, F.lit("»")).alias("text"))
-    return paths.narrowed(topics, tree.closure(i), asks)
+    return paths.narrowed(topics, tree.descendants(i, asks.select(F.col("item_id").alias("ancestor_id"))), asks)
 
 
 @query("WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem) SELECT k AS npa_id, 'a' || k || '_point_' || min(n) AS item_id FROM l WHERE k % 2 = 0 OR n % 2 = 0 GROUP BY k")
