@@ -14,7 +14,7 @@ def spoiled(spark, d) -> dict[str, DataFrame]:
     """Orders with faults: even ones have a wrong level, those divisible by 3 no date, by 4 an empty second holder of their id, by 5 a
     reference to nothing; the last line of every order is not referred to."""
     o = table(spark, d, "orders")
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    li = cut(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct())
     k = F.col("o_orderkey")
     name = lambda c: F.concat(F.lit("o"), F.col(c).cast("string"))
     line = F.concat(name("l_orderkey"), F.lit("_"), F.col("l_linenumber").cast("string"))
