@@ -134,11 +134,11 @@ def finder(size: int):
     return find
 
 
-def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits: int, place_bits: int, named, ahead: int = 0):
+def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray, size: int, prefix: Prefix, low_bits: int, place_bits: int, named, ahead: int = 0, anchor: int = 1):
     """Superwindows from each window's chosen key (rank, place, low_bits more); named gives the names of keys.
 
-    low_bits hold the anchor's length less one (0 bits: no sides are given). prefix: of what contents are
-    made of; ahead: elements after its own that a value of it stands for.
+    low_bits hold the anchor's length less `anchor`. prefix: of what contents are made of; ahead: elements
+    after its own that a value of it stands for. Sides that are not longer than that are all told as equal.
     """
     new = np.ones(len(starts), bool)
     new[1:] = (best[1:] != best[:-1]) | (row[1:] != row[:-1])
@@ -148,12 +148,13 @@ def cut(best: np.ndarray, starts: np.ndarray, row: np.ndarray, first: np.ndarray
     low = ((key >> np.uint64(low_bits)) & np.uint64((1 << place_bits) - 1)).astype(np.int64)
     begin = starts[at]
     content = mix(prefix.of(begin, begin + count + size - 1 - ahead) + (low - begin).astype(np.uint64))
-    length = (key & np.uint64((1 << low_bits) - 1)).astype(np.int64) + 1
+    length = (key & np.uint64((1 << low_bits) - 1)).astype(np.int64) + anchor
     half = (size - length + 1) // 2
+    seen = np.maximum(half - ahead, 0)
     sides = np.zeros(len(at), np.int64)
     for ok, a, shift in ((low - begin >= half, low - half, 16), (begin + count + size - 1 - low - length >= half, low + length, 0)):
-        ok = np.flatnonzero(ok & (low_bits > 0))
-        sides[ok] |= ((prefix.of(a[ok], (a + half)[ok]) >> np.uint64(48)).astype(np.int64) | 1) << shift
+        ok = np.flatnonzero(ok)
+        sides[ok] |= ((prefix.of(a[ok], (a + seen)[ok]) >> np.uint64(48)).astype(np.int64) | 1) << shift
     return named(key), content, row[at], begin - first[row[at]], count, sides.astype(np.uint32).view(np.int32)
 
 
@@ -178,7 +179,7 @@ def window_sender(size: int):
 def repeats(docs: DataFrame, size: int) -> DataFrame:
     """doc, rid, start, end: windows of keyed documents that also start in a smaller doc_id."""
     found = superwindows(docs, finder(size), True, True)
-    asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner", read_twice=True)
+    asked = with_lists(docs.select("doc", "rid", "text"), found.where(f"kind >= {ASKED}"), "start", "end", how="inner")
     single = asked.select("doc", "rid", "text", "list").mapInArrow(window_sender(size), SENT_DDL)
     second = stored(dealt(single, "name").mapInArrow(resolver(True, True), FOUND_DDL), "windows")
     released(docs.sparkSession)
@@ -218,7 +219,7 @@ def digests(docs: DataFrame, size: int = 13) -> DataFrame:
                 sha = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 yield from batches(schema, [part.column(0).slice(lo, hi - lo), np.diff(words.first), np.diff(sums), sha])
 
-    listed = with_lists(docs, repeats(docs, size), "start", "end", read_twice=True)
+    listed = with_lists(docs, repeats(docs, size), "start", "end")
     return listed.select("doc_id", "text", "list").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -233,7 +234,7 @@ def deduplicated(docs: DataFrame, size: int = 13, text: str = "text") -> DataFra
     found = repeats(keyed(only(docs, "doc_id", text).toDF("doc_id", "text")), size)
     safe = docs.toDF(*[f"c{k}" for k in range(len(fields))])  # no name clashes with those added
     keys = F.coalesce(f"c{names.index('doc_id')}", F.lit(NO_ID)).cast("long").alias("doc"), F.hash(F.coalesce(F.col(f"c{at}"), F.lit(""))).alias("rid")
-    listed = with_lists(safe.select("*", *keys), found, "start", "end", read_twice=True)
+    listed = with_lists(safe.select("*", *keys), found, "start", "end")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -5,10 +5,10 @@ alone, so equal windows choose equal anchors at equal places. Neighbouring windo
 same anchor form a superwindow: (name of the anchor, hash of all it spans, place, number of
 windows). Equal superwindows hold equal windows, and equal windows lie in superwindows of one
 name. So a window can repeat only if its superwindow's name does, and one shuffle of superwindows
-tells which to look at: those that share a name ("asked"). Where the names and contents of
-superwindows are sure enough (`settle`), equal ones are known as repeats at once, and of the others only
-those are asked about that share half a window of context, left or right of the anchor, with another
-content of their name: of two equal windows around one anchor one side is that long.
+tells which to look at: those that share a name and half a window of context, left or right of the
+anchor, with another ("asked"): of two equal windows around one anchor one side is that long. Where
+the names and contents of superwindows are sure enough (`settle`), equal ones are known as repeats at
+once, and only those are asked about that share such a side with another content.
 
 Which occurrence is the first: `by_document` compares documents only (occurrences in the first
 document all stay); otherwise places count too. Before the shuffle each task keeps, of equal
@@ -145,6 +145,16 @@ def send(name, content, doc, rid, start, count, sides, by_document: bool, check:
         yield from batches(SENT, [np.full(len(d), REPEAT, np.int8), d ^ (s << 20), e, d, r, s, np.zeros(len(d), np.int32)])
 
 
+def beside(name: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Of rows sorted by name: which share a side with another of their name."""
+    group = np.cumsum(changes(name)).astype(np.int64) << 16
+    near = np.zeros(len(name), bool)
+    for side in ((sides >> 16) & 0xFFFF, sides & 0xFFFF):
+        _, inverse, n = np.unique(group | side, return_inverse=True, return_counts=True)
+        near |= (n[inverse] > 1) & (side > 0)
+    return near
+
+
 def resolve(rows: list[np.ndarray], by_document: bool, settle: bool) -> Iterator[pa.RecordBatch]:
     """FOUND rows of all SENT rows of some names."""
     kind, name, content, doc, rid, at, sides = rows
@@ -162,18 +172,14 @@ def resolve(rows: list[np.ndarray], by_document: bool, settle: bool) -> Iterator
         name, content, doc, rid, at, sides = (x[own] for x in (name, content, doc, rid, at, sides))
         start, count = at >> COUNT_BITS, at & ((1 << COUNT_BITS) - 1)
         crowd = np.isin(name, crowded)
-        ask = np.ones(len(name), bool)
         if settle:
             new = changes(name, content)
             late = later(doc, start, new, by_document)
             ends.append((doc[late], rid[late], start[late], (start + count)[late]))
             one = np.flatnonzero(new)  # each content once
-            group = np.cumsum(changes(name[one])).astype(np.int64) << 16
-            near = np.zeros(len(one), bool)
-            for side in ((sides[one] >> 16) & 0xFFFF, sides[one] & 0xFFFF):
-                _, inverse, n = np.unique(group | side, return_inverse=True, return_counts=True)
-                near |= (n[inverse] > 1) & (side > 0)
-            ask = ~late & (crowd | near[np.cumsum(new) - 1])
+            ask = ~late & (crowd | beside(name[one], sides[one])[np.cumsum(new) - 1])
+        else:
+            ask = crowd | beside(name, sides)
         yield from batches(FOUND, [(ASKED + crowd[ask]).astype(np.int8), name[ask], doc[ask], rid[ask], start[ask], (start + count)[ask]])
     d, r, s, e = merged(*(np.concatenate(x) for x in zip(*ends, strict=True)))
     yield from batches(FOUND, [np.full(len(d), KNOWN, np.int8), np.zeros(len(d), np.int64), d, r, s, e])
@@ -223,15 +229,14 @@ def superwindows(docs: DataFrame, find: Callable, by_document: bool, settle: boo
     return out
 
 
-def with_lists(docs: DataFrame, rows: DataFrame, *columns: str, how: str = "left", read_twice: bool = False) -> DataFrame:
+def with_lists(docs: DataFrame, rows: DataFrame, *columns: str, how: str = "left", keys: DataFrame | None = None) -> DataFrame:
     """Keyed documents with the list of their rows (structs of `columns`), each once.
 
-    Where rows may be read twice (stored ones), documents that surely have none are not shuffled.
+    Documents that surely have no row of `keys` are not shuffled. Those are stored rows that tell the documents
+    of `rows`; by default `rows`, which must be stored ones then, as they are read twice.
     """
     lists = rows.groupBy("doc", "rid").agg(F.collect_set(F.struct(*columns)).alias("list"))
-    if not read_twice:
-        return docs.join(lists.hint("merge"), ["doc", "rid"], how)
-    told = marked(docs, rows, "doc", "rid")
+    told = marked(docs, rows if keys is None else keys, "doc", "rid")
     met = told.where("maybe").drop("maybe").join(lists.hint("merge"), ["doc", "rid"], how)
     if how == "inner":
         return met

@@ -320,3 +320,49 @@ def test_texts_without_repeats_skip_the_join_with_their_lists(docs_of, words, mo
     found = sorted((tuple(r) for r in substrings.digests(docs_of(docs)).collect()), key=repr)
     assert found == brute_words(docs, 13)
     assert met and all(m.where("maybe").count() <= 5 for m in met)
+
+
+def test_texts_without_repeated_bytes_skip_both_joins(docs_of, words, monkeypatch):
+    from lexstrata.llm import superwindows
+
+    real, met = superwindows.marked, []
+
+    def spy(*x):
+        met.append(real(*x))
+        return met[-1]
+
+    monkeypatch.setattr(superwindows, "marked", spy)
+    a = " ".join(words(40))
+    docs = [(5, a), (3, a), (None, a), (9, None)] + [(100 + i, " ".join(words(30))) for i in range(60)]
+    assert rows(suffixes.digests(docs_of(docs))) == brute_bytes(docs, 100)
+    assert len(met) == 2 and all(m.where("maybe").count() <= 5 for m in met)
+
+
+def test_shuffles_of_bytes_are_dropped_before_texts_are_dealt_again(docs_of, monkeypatch):
+    real, let_go, steps = suffixes.stored, suffixes.released, []
+    monkeypatch.setattr(suffixes, "stored", lambda df, name: (steps.append(name), real(df, name))[1])
+    monkeypatch.setattr(suffixes, "released", lambda spark: (steps.append("released"), let_go(spark))[1])
+    docs = [(k, "abcdefgh" * 20) for k in range(3)]
+    assert rows(suffixes.digests(docs_of(docs))) == brute_bytes(docs, 100)
+    assert "released" in steps[steps.index("classes") :]
+
+
+def test_anchors_without_context_in_common_are_not_asked_about(docs_of):
+    from lexstrata.llm.superwindows import ASKED, keyed, superwindows
+
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    asked = lambda n: superwindows(keyed(docs_of([some(90) + p + some(90) for p in [some(n)] * 20])), suffixes.finder(100), False, False, suffixes.same_strings(100)).where(f"kind >= {ASKED}").count()
+    assert asked(60) == 0 and asked(105) > 0
+
+
+@pytest.mark.parametrize("size", [8, 33, 46, 48, 100])
+def test_passages_about_as_long_as_a_string(docs_of, size):
+    rng = random.Random(size)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    docs = []
+    for n in (size - 2, size - 1, size, size + 1, size + 9, 2 * size):
+        for _ in range(4):
+            p = some(n)
+            docs += [(len(docs) + k, some(before) + p + some(after)) for k, (before, after) in enumerate([(0, 70), (70, 0), (1, 1), (50, 60)])]
+    assert rows(suffixes.digests(docs_of(docs), size)) == brute_bytes(docs, size)
