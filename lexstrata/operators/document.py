@@ -38,7 +38,7 @@ def body_checks(blocks: DataFrame) -> DataFrame:
 
 def sync_checks(timeline: DataFrame, blocks: DataFrame) -> DataFrame:
     """References of dated revisions whose child has no revision in force on their day."""
-    parents = timeline.select("item_id", "rev_idx", "valid_from").join(refs_of(blocks).withColumnRenamed("ref_item_id", "child_id"), ["item_id", "rev_idx"])
+    parents = timeline.select("item_id", "rev_idx", "valid_from").join(refs_of(blocks).withColumnRenamed("ref_item_id", "child_id").hint("merge"), ["item_id", "rev_idx"])
     found = temporal.missing_children(parents, timeline)
     return found.select("category", F.lit("error").alias("severity"), F.col("item_id").cast("string").alias("element"), F.lit("").alias("message"))
 

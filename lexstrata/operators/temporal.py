@@ -89,9 +89,9 @@ def missing_children(parents: DataFrame, children: DataFrame) -> DataFrame:
     refs = parents.where("valid_from IS NOT NULL").select("item_id", "child_id", "valid_from").distinct()
     spans = children.select(F.col("item_id").alias("c"), F.col("valid_from").alias("c_from"), F.col("valid_to").alias("c_to"))
     held = (F.col("child_id") == F.col("c")) & (F.col("c_from") <= F.col("valid_from")) & (F.col("c_to").isNull() | (F.col("valid_from") <= F.col("c_to")))
-    missing = refs.join(spans, held, "left_anti")
+    missing = refs.join(spans.hint("merge"), held, "left_anti")
     known = spans.where("c_from IS NOT NULL").select("c").distinct()
-    return missing.join(known, missing.child_id == known.c, "left").select("item_id", "child_id", "valid_from", F.when(F.col("c").isNotNull(), "stale_child_revision").otherwise("revision_child_missing").alias("category"))
+    return missing.join(known.hint("merge"), missing.child_id == known.c, "left").select("item_id", "child_id", "valid_from", F.when(F.col("c").isNotNull(), "stale_child_revision").otherwise("revision_child_missing").alias("category"))
 
 
 def synced_children(parents: DataFrame, children: DataFrame, date: Column) -> DataFrame:

@@ -124,13 +124,13 @@ def sibling_places(items: DataFrame, *ties: Column) -> DataFrame:
 
 def broken_refs(refs: DataFrame, items: DataFrame) -> DataFrame:
     """References to items that aren't there."""
-    return refs.join(items.select(F.col("item_id").alias("ref_item_id")), "ref_item_id", "left_anti")
+    return refs.join(items.select(F.col("item_id").alias("ref_item_id")).hint("merge"), "ref_item_id", "left_anti")
 
 
 def unreferenced_children(items: DataFrame, refs: DataFrame) -> DataFrame:
     """Children that no revision of their parent refers to."""
     known = refs.select(F.col("item_id").alias("p"), F.col("ref_item_id").alias("r"))
-    return items.where("parent_item_id IS NOT NULL").join(known, (F.col("item_id") == F.col("r")) & (F.col("parent_item_id") == F.col("p")), "left_anti")
+    return items.where("parent_item_id IS NOT NULL").join(known.hint("merge"), (F.col("item_id") == F.col("r")) & (F.col("parent_item_id") == F.col("p")), "left_anti")
 
 
 def disordered_bodies(blocks: DataFrame, keys: list[str], place: str) -> DataFrame:

@@ -24,7 +24,7 @@ def spoiled(spark, d) -> dict[str, DataFrame]:
     items = items.unionByName(li.select(line.alias("item_id"), name("l_orderkey").alias("parent_item_id"), F.lit("point").alias("item_type"), F.col("l_linenumber").cast("string").alias("item_number"), F.lit(2).alias("item_level"), F.lit(2).alias("depth"), F.col("l_linenumber").cast("int").alias("place"), F.lit(1).alias("copy")))
     row = lambda i, since: [i.alias("item_id"), F.lit(1).alias("rev_idx"), since.cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), none.alias("mod_type"), none.alias("modified_by_id"), none.alias("highlights"), F.lit(1).alias("copy")]
     timeline = o.select(*row(name("o_orderkey"), F.when(k % 3 > 0, "1999-01-01"))).unionByName(li.select(*row(line, F.lit("1999-01-01"))))
-    refs = li.join(li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("top")), "l_orderkey").where("l_linenumber < top").select(name("l_orderkey").alias("item_id"), F.col("l_linenumber").alias("n"), line.alias("ref_item_id"))
+    refs = li.join(li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("top")).hint("merge"), "l_orderkey").where("l_linenumber < top").select(name("l_orderkey").alias("item_id"), F.col("l_linenumber").alias("n"), line.alias("ref_item_id"))
     refs = refs.unionByName(o.where("o_orderkey % 5 = 0").select(name("o_orderkey").alias("item_id"), F.lit(0).alias("n"), F.lit("nothing").alias("ref_item_id")))
     from pyspark.sql import Window
 

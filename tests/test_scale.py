@@ -198,3 +198,11 @@ def test_lines_of_additions_are_grouped_once(spark):
 
     items, blocks, _ = adding.asked(spark, "/root/testdata/sf0.001")
     assert not any("Exchange" in t._jdf.queryExecution().executedPlan().toString() for t in (items, blocks))
+
+
+def test_checks_gather_no_ids_in_the_driver(spark):
+    from lexstrata.operators import document
+    from lexstrata.plans import documents
+
+    found = document.verify_document(documents.spoiled(spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
