@@ -1,4 +1,7 @@
-"""Repairs of item and body tables, each with the rows it changed, and the driver that runs them in their fixed order."""
+"""Repairs of item and body tables, each with the rows it changed, and the driver that runs them in their fixed order.
+
+As in `verify`, joins whose sides both grow with the document are sorted ones.
+"""
 
 from __future__ import annotations
 
@@ -18,11 +21,11 @@ def with_missing_refs(blocks: DataFrame, children: DataFrame, active: DataFrame)
     """
     held = blocks.where("ref_item_id IS NOT NULL").select(F.col("item_id").alias("parent_item_id"), "rev_idx", F.col("ref_item_id").alias("child"))
     open_ = active.where("mod_type IS NULL OR mod_type <> 'new_redaction'").select(F.col("item_id").alias("parent_item_id"), "rev_idx")
-    wanted = children.where("parent_item_id IS NOT NULL").select("parent_item_id", F.col("item_id").alias("child"), "place").join(open_, "parent_item_id")
-    missing = wanted.join(held, ["parent_item_id", "rev_idx", "child"], "left_anti")
+    wanted = children.where("parent_item_id IS NOT NULL").select("parent_item_id", F.col("item_id").alias("child"), "place").join(open_.hint("merge"), "parent_item_id")
+    missing = wanted.join(held.hint("merge"), ["parent_item_id", "rev_idx", "child"], "left_anti")
     last = blocks.groupBy("item_id", "rev_idx").agg(F.max("ord").alias("top"))
     k = F.row_number().over(Window.partitionBy("parent_item_id", "rev_idx").orderBy("place", "child"))
-    rows = missing.withColumn("k", k).withColumnRenamed("parent_item_id", "item_id").join(last, ["item_id", "rev_idx"], "left")
+    rows = missing.withColumn("k", k).withColumnRenamed("parent_item_id", "item_id").join(last.hint("merge"), ["item_id", "rev_idx"], "left")
     new = rows.select("item_id", "rev_idx", (F.coalesce("top", F.lit(0)) + F.col("k")).cast("int").alias("ord"), F.col("child").alias("ref_item_id"))
     return blocks.unionByName(new, allowMissingColumns=True)
 
@@ -31,7 +34,9 @@ def without_broken_refs(blocks: DataFrame, items: DataFrame, timeline: DataFrame
     """Blocks without references to unknown items in open revisions, renumbered; closed revisions stay as they are."""
     known = items.select(F.col("item_id").alias("known")).distinct()
     open_ = timeline.select("item_id", "rev_idx", F.col("valid_to").isNull().alias("is_open"))
-    looked = blocks.join(known, F.col("ref_item_id") == F.col("known"), "left").join(open_, ["item_id", "rev_idx"], "left")
+    refs, texts = blocks.where("ref_item_id IS NOT NULL"), blocks.where("ref_item_id IS NULL")  # texts have no key, so they would all meet in one task
+    told = refs.join(known.hint("merge"), F.col("ref_item_id") == F.col("known"), "left").unionByName(texts.withColumn("known", F.lit(None).cast(known.schema["known"].dataType)))
+    looked = told.join(open_.hint("merge"), ["item_id", "rev_idx"], "left")
     broken = F.col("ref_item_id").isNotNull() & F.col("known").isNull() & F.coalesce("is_open", F.lit(False))
     return renumbered(looked.where(~broken).drop("known", "is_open"), ["item_id", "rev_idx"], "ord").select(*blocks.columns)
 
@@ -40,8 +45,8 @@ def without_empty_copies(items: DataFrame, *filled: DataFrame) -> DataFrame:
     """Items without the renamed copies (_double_N) that no other table (each with item_id) has rows of."""
     copies = items.where(F.col("item_id").rlike("_double_[0-9]+$")).select("item_id")
     for t in filled:
-        copies = copies.join(t.select("item_id").distinct(), "item_id", "left_anti")
-    return items.join(copies, "item_id", "left_anti")
+        copies = copies.join(t.select("item_id").distinct().hint("merge"), "item_id", "left_anti")
+    return items.join(copies.hint("merge"), "item_id", "left_anti")
 
 
 def run_fixes(tables: dict, fixes: list[tuple[str, Callable[[dict], dict]]], verify: Callable[[dict], DataFrame | int], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[dict, DataFrame]:

@@ -206,3 +206,22 @@ def test_checks_gather_no_ids_in_the_driver(spark):
 
     found = document.verify_document(documents.spoiled(spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repairs_gather_no_ids_in_the_driver(spark):
+    from lexstrata.operators import repairs
+    from lexstrata.plans import documents
+
+    t = documents.spoiled(spark, "/root/testdata/sf0.001")
+    found = (repairs.with_missing_refs(t["blocks"], t["items"], t["timeline"]), repairs.without_broken_refs(t["blocks"], t["items"], t["timeline"]), repairs.without_empty_copies(t["items"], t["blocks"], t["heads"]))
+    assert ["BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString() for df in found] == [False] * 3
+
+
+def test_broken_references_go_and_texts_stay(spark):
+    from lexstrata.operators import repairs
+
+    blocks = spark.createDataFrame([("a", 1, 1, None, "x"), ("a", 1, 2, "gone", None), ("a", 1, 3, "b", None), ("a", 0, 1, "gone", None), ("c", 1, 1, None, "y")], "item_id string, rev_idx int, ord int, ref_item_id string, html_text string")
+    items = spark.createDataFrame([("a",), ("b",), ("c",)], "item_id string")
+    timeline = spark.sql("SELECT * FROM VALUES ('a', 0, DATE'2001-01-01'), ('a', 1, NULL), ('c', 1, NULL) AS t(item_id, rev_idx, valid_to)")
+    got = sorted(tuple(r) for r in repairs.without_broken_refs(blocks, items, timeline).select("item_id", "rev_idx", "ord", F.coalesce("ref_item_id", "html_text")).collect())
+    assert got == [("a", 0, 1, "gone"), ("a", 1, 1, "x"), ("a", 1, 2, "b"), ("c", 1, 1, "y")]
