@@ -225,3 +225,21 @@ def test_broken_references_go_and_texts_stay(spark):
     timeline = spark.sql("SELECT * FROM VALUES ('a', 0, DATE'2001-01-01'), ('a', 1, NULL), ('c', 1, NULL) AS t(item_id, rev_idx, valid_to)")
     got = sorted(tuple(r) for r in repairs.without_broken_refs(blocks, items, timeline).select("item_id", "rev_idx", "ord", F.coalesce("ref_item_id", "html_text")).collect())
     assert got == [("a", 0, 1, "gone"), ("a", 1, 1, "x"), ("a", 1, 2, "b"), ("c", 1, 1, "y")]
+
+
+def test_a_fragments_level_and_answers_are_not_broadcast(spark, monkeypatch):
+    from lexstrata.operators import fragments
+
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(fragments, "cut", kept)
+    html = "<table><tr><td>1.</td><td>a</td></tr></table>"
+    rows = spark.createDataFrame([("k", "d_article_1_structured_table_1", html), ("m", "d_article_2", f"<p>x</p>{html}")], "key string, element_id string, html string")
+    decisions = spark.createDataFrame([("p", "part", "child")], "pattern string, parent_kind string, relation string")
+    found = fragments.parse(rows, decisions).items.where("item_type = 'point'").select("item_id", "item_level").collect()
+    assert sorted(map(tuple, found)) == [("d_article_1_structured_table_1_point_1", 3), ("d_article_2_structured_table_1_point_1", 3)]
+    assert "BroadcastHashJoin" not in plans[0] and "Join" not in plans[1]
