@@ -366,3 +366,12 @@ def test_passages_about_as_long_as_a_string(docs_of, size):
             p = some(n)
             docs += [(len(docs) + k, some(before) + p + some(after)) for k, (before, after) in enumerate([(0, 70), (70, 0), (1, 1), (50, 60)])]
     assert rows(suffixes.digests(docs_of(docs), size)) == brute_bytes(docs, size)
+
+
+def test_prefixes_and_pairs_go_once_they_are_read(docs_of, monkeypatch):
+    made, gone = [], []
+    monkeypatch.setattr(overlap, "stored", lambda df, name, keep=overlap.stored: (made.append(name), keep(df, name))[1])
+    monkeypatch.setattr(overlap, "dropped", lambda *tables, drop=overlap.dropped: (gone.extend(t._lexstrata_path.rsplit("/", 1)[1] for t in tables), drop(*tables)))
+    found = overlap.similarity_components(docs_of([(1, "a b c d e"), (2, "a b c d e"), (3, "x y z v w")]))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert {"listed", "pairs", "groups", "links", "nodes"} <= set(gone) and "labels" in gone and made.count("records") == 2 and gone.count("records") == 1
